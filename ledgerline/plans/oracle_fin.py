@@ -220,7 +220,7 @@ def _ts_sql(src_cte: str, entity: str) -> str:
     def typed(expr, m):
         return f"CAST({expr} AS {'BIGINT' if m in FIN.COUNT_COLS else 'DOUBLE'})"
 
-    cols = [entity, "month"] + [typed(m, m) + f" AS {m}" for m in ms]
+    cols = [entity, "month"] + [typed(f"_{m}", m) + f" AS {m}" for m in ms]
     for m in ms:
         prev = f"LAG(_{m}, 1) {w}"
         cols.append(typed(f"_{m} - {prev}", m) + f" AS {m}_mom_delta")

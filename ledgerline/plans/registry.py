@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import crm as K
 from ..operators import financial as FIN
 from ..operators.financial import as_report
 from ..sources import testdata as TD
@@ -56,23 +57,48 @@ FIN_QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _profiles(spark, sf_dir):
+    return K.smart_profiles(_pa(spark, sf_dir))
+
+
+OVERLAP_BRANDS = ("PROMO", "STANDARD")
+
+CRM_QUERIES: dict[str, QueryFn] = {
+    "k1_player_master_list": lambda s, d: as_report(K.player_master_list(_pa(s, d))),
+    "k3_rfm_summary": lambda s, d: as_report(K.rfm_summary(_pa(s, d))),
+    "k4_smart_profiles": lambda s, d: as_report(_profiles(s, d)),
+    "k5_vip_tier_summary": lambda s, d: as_report(K.tier_summary(_pa(s, d))),
+    "k5b_vip_tier_by_brand": lambda s, d: as_report(K.tier_summary_by_brand(_pa(s, d))),
+    "k6_cross_brand_overlap": lambda s, d: as_report(K.overlap_stats(_pa(s, d), *OVERLAP_BRANDS)),
+    "k6b_multi_brand_overlap": lambda s, d: as_report(K.multi_brand_overlap(_pa(s, d))),
+    "k7_ltv_curves": lambda s, d: as_report(K.ltv_curves(_pa(s, d))),
+    "k8_cohort_retention_matrix": lambda s, d: as_report(K.cohort_retention_matrix(_pa(s, d))),
+    "k9_retention_heatmap": lambda s, d: as_report(K.retention_heatmap(_pa(s, d))),
+    "k10_pareto_curve": lambda s, d: as_report(K.pareto_curve(_pa(s, d))),
+    "k11_pareto_tiers": lambda s, d: as_report(K.pareto_tiers(_pa(s, d))),
+    "k12_product_affinity": lambda s, d: as_report(K.product_affinity(_pa(s, d))),
+    "k13_reactivation_velocity": lambda s, d: as_report(K.reactivation_velocity(TD.player_lines(s, d))),
+    "k14_vip_churn_radar": lambda s, d: as_report(K.vip_churn_radar(_pa(s, d))),
+    "k15_crown_jewels": lambda s, d: as_report(K.crown_jewels(_profiles(s, d))),
+    "k16_bonus_abusers": lambda s, d: as_report(K.bonus_abusers(_profiles(s, d))),
+    "k17_promo_exploitation": lambda s, d: as_report(K.promo_exploitation(_profiles(s, d))),
+    "k18_payment_friction": lambda s, d: as_report(K.payment_friction(_profiles(s, d))),
+    "k19_churn_targets": lambda s, d: as_report(K.churn_targets(_profiles(s, d))),
+    "k20_profile_counts": lambda s, d: as_report(K.profile_counts(_profiles(s, d))),
+    "k20b_profile_extract": lambda s, d: as_report(K.profile_extract(_profiles(s, d), K.COLD_CROWN)),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    out.update(FIN_QUERIES)
-    try:
-        from . import registry_more
-        out.update(registry_more.QUERIES)
-    except ImportError:
-        pass
+    for block in (FIN_QUERIES, CRM_QUERIES):
+        out.update(block)
     return out
 
 
 def all_oracles() -> dict[str, str]:
-    from . import oracle_fin
-    out = dict(oracle_fin.ORACLES)
-    try:
-        from . import oracle_more
-        out.update(oracle_more.ORACLES)
-    except ImportError:
-        pass
+    from . import oracle_crm, oracle_fin
+    out: dict[str, str] = {}
+    for mod in (oracle_fin, oracle_crm):
+        out.update(mod.ORACLES)
     return out
