@@ -90,7 +90,7 @@ def embedded_date(toks) -> Column:
     """The last three non-blank tokens read as ``yyyy-MM-dd`` (null if not a date)."""
     nb = F.filter(col(toks), lambda t: F.trim(t) != "")
     last3 = F.when(F.size(nb) >= 3, F.concat_ws("-", F.slice(nb, -3, 3)))
-    return F.when(last3.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(last3, F.lit("yyyy-M-d")))
+    return F.when(last3.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(last3, "yyyy-M-d"))
 
 
 def data_age_days(toks, ops_date, sentinel: int | None = None) -> Column:
@@ -106,7 +106,7 @@ def data_age_from_range_suffix(name, ops_date) -> Column:
     """Only names ending ``…-yyyy-mm-dd_yyyy-mm-dd`` carry an age; null otherwise."""
     pat = r"(\d{4}-\d{2}-\d{2})_\d{4}-\d{2}-\d{2}$"
     d = F.regexp_extract(col(name), pat, 1)
-    return F.when(col(name).rlike(pat), F.datediff(col(ops_date), F.try_to_date(d, F.lit("yyyy-MM-dd"))))
+    return F.when(col(name).rlike(pat), F.datediff(col(ops_date), F.try_to_date(d, "yyyy-MM-dd")))
 
 
 def core_signature(name) -> Column:

@@ -10,8 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from ..operators import crm as K
 from ..operators import financial as FIN
+from ..operators import ops as O
+from ..operators import periods as P
+from ..operators import quality as Q
+from ..sources import dims
 from ..operators.financial import as_report
 from ..sources import testdata as TD
 
@@ -89,16 +95,94 @@ CRM_QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _ops(spark, sf_dir):
+    return TD.ops_daily(spark, sf_dir)
+
+
+def _base(spark, sf_dir):
+    return O.ops_base(_ops(spark, sf_dir))
+
+
+def _bench(spark, sf_dir):
+    return O.historical_benchmarks(_ops(spark, sf_dir))
+
+
+def _snaps(spark, sf_dir):
+    return O.snapshots_base(TD.ops_snapshots(spark, sf_dir))
+
+
+def _latest_snaps(spark, sf_dir):
+    return O.latest_snapshots(_snaps(spark, sf_dir))
+
+
+P1_SPEC = P.FilterSpec(client="Northwind Gaming", engagement="NLI", campaign="dk", start="1997-01-01",
+                       end="1999-12-31")
+
+OPS_QUERIES: dict[str, QueryFn] = {
+    "c1_campaign_parse": lambda s, d: as_report(O.campaign_parts(_ops(s, d))),
+    "c8_campaign_signatures": lambda s, d: _base(s, d).select(
+        "campaign_name", "core_signature", "campaign_signature", "strategy_signature", "ops_lifecycle"),
+    "c12_short_name_totals": lambda s, d: O.short_name_totals(_ops(s, d)),
+    "f16_campaign_summary": lambda s, d: as_report(FIN.campaign_summary(TD.campaign_monthly(s, d))),
+    "o3_daily_pulse": lambda s, d: O.daily_pulse(_ops(s, d)),
+    "o4_pulse_windows": lambda s, d: as_report(O.pulse_windows(O.daily_pulse(_ops(s, d)))),
+    "o5_historical_benchmarks": lambda s, d: as_report(_bench(s, d)),
+    "o6_half_over_half": lambda s, d: as_report(O.half_over_half(_ops(s, d))),
+    "o7_sla_fulfilment": lambda s, d: as_report(O.sla_fulfilment(_ops(s, d))),
+    "o8_sla_breaches": lambda s, d: as_report(O.sla_breaches(_ops(s, d), dims.contractual_volumes(s))),
+    "o9_volume_90d": lambda s, d: as_report(O.volume_90d(_ops(s, d))),
+    "o10_cac_header": lambda s, d: as_report(O.cac_header(_ops(s, d), _bench(s, d))),
+    "o11_weekly_conversions": lambda s, d: as_report(O.weekly_conversions(_ops(s, d))),
+    "o12_weekly_logins_cpc": lambda s, d: as_report(O.weekly_logins_cpc(_ops(s, d))),
+    "o13_latest_snapshots": lambda s, d: _latest_snaps(s, d).select(
+        "campaign_name", "ops_client", "ops_date", "records", "calls", "conversions",
+        F.date_format("snapshot_timestamp", "yyyy-MM-dd HH:mm:ss").alias("snapshot_at")),
+    "o14_daily_efficiency": lambda s, d: as_report(O.daily_efficiency(_ops(s, d))),
+    "o15_weekly_efficiency": lambda s, d: as_report(O.weekly_efficiency(_ops(s, d))),
+    "o16_pitch_scorecard": lambda s, d: as_report(O.pitch_scorecard(_base(s, d))),
+    "o18_daily_campaign_detail": lambda s, d: as_report(O.daily_campaign_detail(_base(s, d))),
+    "o19_true_cost_ledger": lambda s, d: as_report(O.true_cost_ledger(_ops(s, d), _bench(s, d))),
+    "o20_morning_variance": lambda s, d: as_report(O.morning_variance(_ops(s, d))),
+    "o21_sla_pacing": lambda s, d: as_report(O.sla_pacing(_ops(s, d), dims.contractual_volumes(s))),
+    "o22_trend_flags": lambda s, d: as_report(O.trend_flags(_ops(s, d))),
+    "o23_client_alias_recap": lambda s, d: _ops(s, d).groupBy(O.normalise_client("ops_client").alias("client"))
+        .agg(F.sum("records").cast("bigint").alias("records")),
+    "o24_recap": lambda s, d: O.recap(_snaps(s, d)),
+    "o25_outcome_distributions": lambda s, d: O.outcome_distributions(_ops(s, d)),
+    "o26_signature_targets": lambda s, d: as_report(O.signature_targets(
+        _base(s, d), dims.granular_benchmarks(_ops(s, d)))),
+    "q1_registry_gaps": lambda s, d: Q.registry_gaps(_pa(s, d)),
+    "q2_compliance_grid": lambda s, d: Q.compliance_grid(_pa(s, d)),
+    "q3_unmapped_tags": lambda s, d: Q.unmapped_tags(_ops(s, d), dims.client_mapping(s)),
+    "q4_client_health": lambda s, d: as_report(Q.client_health(
+        dims.client_mapping(s), dims.contractual_volumes(s), _ops(s, d), _pa(s, d))),
+    "q5_ops_completeness": lambda s, d: as_report(Q.ops_completeness(_ops(s, d), _pa(s, d))),
+    "q7_daily_drilldown": lambda s, d: Q.daily_drilldown(_ops(s, d)),
+    "q8_date_gaps": lambda s, d: Q.date_gaps(_ops(s, d)),
+    "q9_sync_check": lambda s, d: Q.sync_check(_ops(s, d), _latest_snaps(s, d)),
+    "q10_post_load_check": lambda s, d: Q.post_load_check(_ops(s, d)),
+    "p1_global_filter": lambda s, d: P.filter_ops(_ops(s, d), P1_SPEC).select(
+        "campaign_name", "ops_client", "ops_date", "records", "conversions"),
+    "p2_filter_domains": lambda s, d: P.filter_domains(_ops(s, d), _pa(s, d)),
+    "p3_date_bounds": lambda s, d: P.date_bounds(_ops(s, d), _pa(s, d)),
+    "p4_period_presets": lambda s, d: as_report(P.period_presets(_ops(s, d))),
+    "p5_completed_halves": lambda s, d: P.completed_halves(_ops(s, d)),
+    "p6_completed_weeks": lambda s, d: P.completed_weeks(_ops(s, d)),
+    "p8_search_page": lambda s, d: P.search_page(_ops(s, d).select("campaign_name", "ops_date", "records"),
+                                                 "campaign_name", "nli", ["campaign_name", "ops_date"], page=2),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for block in (FIN_QUERIES, CRM_QUERIES):
+    for block in (FIN_QUERIES, CRM_QUERIES, OPS_QUERIES):
         out.update(block)
     return out
 
 
 def all_oracles() -> dict[str, str]:
-    from . import oracle_crm, oracle_fin
+    from . import oracle_crm, oracle_fin, oracle_ops
     out: dict[str, str] = {}
-    for mod in (oracle_fin, oracle_crm):
+    for mod in (oracle_fin, oracle_crm, oracle_ops):
         out.update(mod.ORACLES)
     return out
