@@ -44,7 +44,8 @@ def dbl(c) -> Column:
 
 
 def round_money(c) -> Column:
-    return F.round(col(c).cast("decimal(38,6)"), 2).cast(MONEY)
+    """Round a (≤ 18-digit) decimal product to cents, staying in compact decimals."""
+    return F.round(col(c), 2).cast(MONEY)
 
 
 def rev_share(c) -> Column:

@@ -98,25 +98,36 @@ def monthly_financials(pa: DataFrame) -> DataFrame:
             .withColumn("hold_pct", safe_pct("ggr", "total_handle")))
 
 
-def whale_share(pa: DataFrame, by_brand: bool = True) -> DataFrame:
-    """share of GGR from the top decile of profitable rows.
+def whale_shares(pa: DataFrame) -> DataFrame:
+    """F2 for both levels in one ranking pass: per (brand, month) and, with
+    ``brand = 'Combined'``, per month over all brands.
 
     n = max(1, ⌊count/10⌋) of rows with revenue > 0; share = top-n revenue /
     total GGR of the group × 100, 0 when GGR is 0.  The top-n sum does not
-    depend on tie order; ranks come from the skew-safe range ranking.
+    depend on tie order; ranks come from the skew-safe range ranking, so a
+    brand-month holding a third of all rows is still split across tasks.
     """
-    keys = ["brand", "month"] if by_brand else ["month"]
-    base = _keyed(pa.withColumn("month", F.col("report_month")), keys)
-    totals = base.groupBy(*keys).agg(money_sum("revenue").alias("_ggr"))
-    prof = base.where(F.col("revenue") > 0).select(*keys, "id", "revenue",
-                                                   F.monotonically_increasing_id().alias("_row"))
+    base = _keyed(pa.withColumn("month", F.col("report_month")), ["month"])
+    brand_rows = base.where(F.col("brand").isNotNull()).select(
+        F.lit(0).alias("_level"), F.col("brand").alias("_entity"), "month", "id", "revenue")
+    all_rows = base.select(F.lit(1).alias("_level"), F.lit(COMBINED).alias("_entity"), "month", "id", "revenue")
+    rows = brand_rows.unionByName(all_rows)
+    keys = ["_level", "_entity", "month"]
+    totals = rows.groupBy(*keys).agg(money_sum("revenue").alias("_ggr"))
+    prof = rows.where(F.col("revenue") > 0).withColumn("_row", F.monotonically_increasing_id())
     ranked = rank_in_groups(prof, keys, [F.col("revenue").desc(), F.col("id").asc(), F.col("_row").asc()])
     top_n = F.greatest(F.lit(1), F.floor(F.col("_group_n") / 10))
     top = ranked.where(F.col("_rank") <= top_n).groupBy(*keys).agg(F.sum("revenue").alias("_top"))
     out = totals.join(top, keys, "left")
     share = F.when(F.col("_ggr") != 0,
                    dbl(F.coalesce("_top", F.lit(0))) / dbl("_ggr") * F.lit(100.0)).otherwise(F.lit(0.0))
-    return out.select(*keys, share.alias("top_10_pct_ggr_share"))
+    return out.select("_level", F.col("_entity").alias("brand"), "month", share.alias("top_10_pct_ggr_share"))
+
+
+def whale_share(pa: DataFrame, by_brand: bool = True) -> DataFrame:
+    """F2 at one level (see ``whale_shares``)."""
+    w = whale_shares(pa).where(F.col("_level") == (0 if by_brand else 1))
+    return w.select("brand", "month", "top_10_pct_ggr_share") if by_brand else w.select("month", "top_10_pct_ggr_share")
 
 
 def cohort_counts(pa: DataFrame) -> DataFrame:
@@ -194,17 +205,20 @@ def _derive_summary_ratios(df: DataFrame) -> DataFrame:
 def monthly_brand_summary(pa: DataFrame, force_start: str | None = None,
                           force_end: str | None = None, include_combined: bool = True) -> DataFrame:
     """F1 ⟕ F2 ⟕ F3, padded (F4), + Combined (F6); SUMMARY_COLS order."""
-    fin = monthly_financials(pa).join(whale_share(pa, by_brand=True), ["brand", "month"], "left")
+    whales = whale_shares(pa)
+    brand_whales = whales.where(F.col("_level") == 0).drop("_level")
+    fin = monthly_financials(pa).join(brand_whales, ["brand", "month"], "left")
     summ = fin.join(cohort_counts(pa), ["brand", "month"], "left")
     summ = pad_months(summ, "brand", "month", force_start, force_end)
     summ = _derive_summary_ratios(summ).withColumn("revenue_share_deduction", rev_share("ggr"))
     summ = summ.select(*SUMMARY_COLS)
     if include_combined:
-        summ = summ.unionByName(combined_summary(summ, pa))
+        comb_whales = whales.where(F.col("_level") == 1).select("month", "top_10_pct_ggr_share")
+        summ = summ.unionByName(combined_summary(summ, pa, comb_whales))
     return summ
 
 
-def combined_summary(brand_summary: DataFrame, pa: DataFrame) -> DataFrame:
+def combined_summary(brand_summary: DataFrame, pa: DataFrame, combined_whales: DataFrame | None = None) -> DataFrame:
     """sum additive columns per month; ratios recomputed from the sums."""
     real = brand_summary.where(F.col("brand") != COMBINED)
     sums = []
@@ -213,7 +227,8 @@ def combined_summary(brand_summary: DataFrame, pa: DataFrame) -> DataFrame:
         sums.append((e.cast("bigint") if c in COUNT_COLS else e.cast(MONEY)).alias(c))
     comb = real.groupBy("month").agg(*sums).withColumn("brand", F.lit(COMBINED))
     comb = _derive_summary_ratios(comb)
-    comb = comb.join(whale_share(pa, by_brand=False), "month", "left") \
+    cw = combined_whales if combined_whales is not None else whale_share(pa, by_brand=False)
+    comb = comb.join(cw, "month", "left") \
         .withColumn("top_10_pct_ggr_share", F.coalesce("top_10_pct_ggr_share", F.lit(0.0)))
     return comb.select(*SUMMARY_COLS)
 

@@ -63,7 +63,7 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_o = F.col("l_linestatus") == "O"
 
     revenue = round_money(price * (disc - _d("0.04")))
-    ngr = round_money(revenue * (_d("1") - tax))
+    ngr = round_money(revenue.cast("decimal(12,2)") * (_d("1") - tax))
     bonus = round_money(price * disc)
     fold = F.pmod(F.year("o_orderdate") * 12 + F.month("o_orderdate"), F.lit(FOLD_MONTHS))
     react_days = (F.col("l_orderkey") % 45 - 3).cast("int")
@@ -113,7 +113,10 @@ def player_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     client/country/segment are attributes of the player, so grouping on them
     does not split groups; the aggregation runs partial-then-final.
     """
-    lines = player_lines(spark, sf_dir)
+    return aggregate_player_activity(player_lines(spark, sf_dir))
+
+
+def aggregate_player_activity(lines: DataFrame) -> DataFrame:
     aggs = [F.sum(m).cast(MONEY).alias(m) for m in PLAYER_MEASURES]
     aggs.append(F.sum("deposit_count").cast("bigint").alias("deposit_count"))
     return lines.groupBy(*PLAYER_KEYS).agg(*aggs)
@@ -258,7 +261,10 @@ def finish_ops_rows(daily: DataFrame) -> DataFrame:
 def ops_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-in-time log: each campaign-day is delivered 1–3 times; earlier
     deliveries carry fewer records.  ``snapshot_timestamp`` orders them."""
-    base = ops_daily(spark, sf_dir)
+    return snapshots_of(ops_daily(spark, sf_dir))
+
+
+def snapshots_of(base: DataFrame) -> DataFrame:
     versions = (F.col("records") % 3).cast("int")
     snaps = base.withColumn("_v", F.explode(F.sequence(F.lit(0), versions)))
     lag = versions - F.col("_v")
