@@ -54,13 +54,14 @@ def rev_share(c) -> Column:
 
 
 def safe_pct(num, den) -> Column:
-    """``num / den * 100`` with x/0 → 0 (the documented contract, §8-Q1)."""
-    return F.when(dbl(den) != 0, dbl(num) / dbl(den) * F.lit(100.0)).otherwise(F.lit(0.0))
+    """``num / den * 100`` with x/0 → 0 (the documented contract, §8-Q1) and a
+    missing numerator → 0 (pandas ``fillna(0)``)."""
+    return F.coalesce(F.when(dbl(den) != 0, dbl(num) / dbl(den) * F.lit(100.0)), F.lit(0.0))
 
 
 def safe_div(num, den) -> Column:
-    """``num / den`` as double, 0 when the denominator is 0 or null."""
-    return F.when(dbl(den) != 0, dbl(num) / dbl(den)).otherwise(F.lit(0.0))
+    """``num / den`` as double, 0 when the denominator is 0 or null (or the numerator null)."""
+    return F.coalesce(F.when(dbl(den) != 0, dbl(num) / dbl(den)), F.lit(0.0))
 
 
 def count_if(cond: Column) -> Column:

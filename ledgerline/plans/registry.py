@@ -18,6 +18,7 @@ from ..operators import ops as O
 from ..operators import periods as P
 from ..operators import quality as Q
 from ..sources import dims
+from ..streaming import journey as J
 from ..operators.financial import as_report
 from ..sources import testdata as TD
 
@@ -173,16 +174,62 @@ OPS_QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _r1_stream_ingest(spark, sf_dir):
+    """Raw daily deliveries written as files (derived from the tables),
+    ingested by the file-source stream into the live table."""
+    from ..streaming import ops_stream as S
+    root = _scratch(spark, "r1")
+    raw = TD.ops_raw_daily(spark, sf_dir).withColumn("_m", F.date_format("ops_date", "yyyy-MM"))
+    raw.repartition("_m").write.partitionBy("_m").parquet(f"{root}/incoming")
+    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk")
+    S.run_available(q)
+    live = spark.read.parquet(f"{root}/out/ops_live")
+    return live.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "conversions",
+                       F.col("total_cost").cast("double").alias("total_cost"), "extracted_lifecycle",
+                       "extracted_engagement", "country", "campaign_data_age_days")
+
+
+def _r4_event_pulse(spark, sf_dir):
+    from ..streaming import ops_stream as S
+    root = _scratch(spark, "r4")
+    name = "r4_pulse_" + root.rsplit("-", 1)[-1]
+    t = S.run_to_table(S.event_pulse_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet"), name, f"{root}/chk")
+    return t.select("day", F.col("engagement").alias("event_type"), "rows",
+                    F.round("total_value", 6).alias("total_value"))
+
+
+def _events(spark, sf_dir):
+    return TD.contact_events(spark, sf_dir)
+
+
+STREAM_QUERIES: dict[str, QueryFn] = {
+    "r1_stream_ops_ingest": _r1_stream_ingest,
+    "r4_stream_event_pulse": _r4_event_pulse,
+    "r5_journey_dedup": lambda s, d: _events(s, d).select(*J.DEDUP_KEYS).distinct(),
+    "r6_journey_funnel": lambda s, d: as_report(J.funnel(_events(s, d), _pa(s, d))),
+    "r7_time_to_convert": lambda s, d: J.time_to_convert(_events(s, d)),
+    "r7b_time_to_convert_histogram": lambda s, d: J.time_to_convert_histogram(_events(s, d)),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for block in (FIN_QUERIES, CRM_QUERIES, OPS_QUERIES):
+    for block in (FIN_QUERIES, CRM_QUERIES, OPS_QUERIES, STREAM_QUERIES):
         out.update(block)
     return out
 
 
 def all_oracles() -> dict[str, str]:
-    from . import oracle_crm, oracle_fin, oracle_ops
+    from . import oracle_crm, oracle_fin, oracle_ops, oracle_stream
     out: dict[str, str] = {}
-    for mod in (oracle_fin, oracle_crm, oracle_ops):
+    for mod in (oracle_fin, oracle_crm, oracle_ops, oracle_stream):
         out.update(mod.ORACLES)
     return out

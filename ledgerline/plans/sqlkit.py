@@ -19,13 +19,13 @@ def dbl(x: str) -> str:
 
 
 def pct(num: str, den: str) -> str:
-    return (f"CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) "
-            f"* CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
+    return (f"COALESCE(CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) "
+            f"* CAST(100 AS DOUBLE) END, CAST(0 AS DOUBLE))")
 
 
 def div(num: str, den: str) -> str:
-    return (f"CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) "
-            f"ELSE CAST(0 AS DOUBLE) END")
+    return (f"COALESCE(CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) "
+            f"END, CAST(0 AS DOUBLE))")
 
 
 def count_if(cond: str) -> str:

@@ -64,31 +64,48 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
      .partitionBy(*partition_by).parquet(path))
 
 
-def current_version(path: str) -> str | None:
-    ptr = os.path.join(path, "_CURRENT")
-    if not os.path.exists(ptr):
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop FileSystem serving ``path`` (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path.rstrip("/") + "/_CURRENT")
+    if not fs.exists(p):
         return None
-    with open(ptr) as fh:
-        return os.path.join(path, fh.read().strip())
+    name = spark.read.text(path.rstrip("/") + "/_CURRENT").first()[0].strip()
+    return path.rstrip("/") + "/" + name
 
 
 def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write a new immutable version and switch the pointer (H6)."""
+    """Write a new immutable version, then switch the ``_CURRENT`` pointer with
+    a file-system rename (H6: never read and overwrite the same directory)."""
+    spark = df.sparkSession
     name = f"v{int(time.time() * 1000)}"
-    target = os.path.join(path, name)
+    target = path.rstrip("/") + "/" + name
     replace(df, target, partition_by)
-    os.makedirs(path, exist_ok=True)
-    tmp = os.path.join(path, "_CURRENT.tmp")
-    with open(tmp, "w") as fh:
-        fh.write(name)
-    os.replace(tmp, os.path.join(path, "_CURRENT"))
+    fs, tmp = _fs(spark, path.rstrip("/") + f"/_CURRENT.{name}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(name.encode("utf-8")))
+    out.close()
+    _, ptr = _fs(spark, path.rstrip("/") + "/_CURRENT")
+    if fs.exists(ptr):
+        fs.delete(ptr, False)
+    fs.rename(tmp, ptr)
     return target
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, key: list[str], version: str,
            partition_by: list[str] | None = None) -> str:
     """Upsert by key, last write wins, written as a new version."""
-    cur = current_version(path)
+    cur = current_version(spark, path)
     merged = upsert_latest(new, spark.read.parquet(cur), key, version) if cur else new
     return write_version(merged, path, partition_by)
 

@@ -210,6 +210,12 @@ def _ops_line_counters():
 
 def ops_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations fact (S4 output shape): one row per campaign × day."""
+    return finish_ops_rows(ops_raw_daily(spark, sf_dir))
+
+
+def ops_raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw daily deliveries (campaign, day, counters) before parsing — the rows a
+    daily export file carries."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus")
@@ -221,8 +227,7 @@ def ops_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = _ops_line_counters()
     aggs = [F.sum(expr).cast("bigint").alias(name) for name, expr in counters.items()]
     aggs.append(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("_price"))
-    daily = rows.groupBy("campaign", "ops_date").agg(*aggs)
-    return finish_ops_rows(daily)
+    return rows.groupBy("campaign", "ops_date").agg(*aggs)
 
 
 def finish_ops_rows(daily: DataFrame) -> DataFrame:
@@ -300,7 +305,7 @@ def contact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.concat(F.lit("box"), (F.col("user_id") % 5).cast("string")).alias("box_id"),
         F.col("user_id").cast("long").alias("contact_id"),
-        F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("account_number"),
+        F.col("user_id").cast("string").alias("account_number"),
         (F.col("user_id") % 7).cast("int").alias("campaign_id"),
         (F.col("user_id") % 3).cast("int").alias("brand_id"),
         F.element_at(mapping, F.col("event_type")).alias("event_type"),
