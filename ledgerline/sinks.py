@@ -80,7 +80,11 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path.rstrip("/") + "/_CURRENT")
     if not fs.exists(p):
         return None
-    name = spark.read.text(path.rstrip("/") + "/_CURRENT").first()[0].strip()
+    stream = fs.open(p)
+    try:
+        name = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
     return path.rstrip("/") + "/" + name
 
 

@@ -116,10 +116,10 @@ def read_csv_strings(spark: SparkSession, paths: list[str] | str, encoding: str
 
 
 def files_needing_latin1(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files whose bytes are not valid UTF-8 (decoded text holds U+FFFD),
-    found by one distributed scan; those files are re-read as ISO-8859-1."""
+    """Files holding bytes that are not valid UTF-8, found by one
+    distributed scan; those files are re-read as ISO-8859-1."""
     t = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
-    return t.where(F.col("value").contains("�")).select("path").distinct()
+    return t.where(~F.expr("is_valid_utf8(value)")).select("path").distinct()
 
 
 def read_csv_any_encoding(spark: SparkSession, paths: list[str], strip_quotes: bool = False) -> DataFrame:
@@ -395,20 +395,22 @@ def upsert_latest(new: DataFrame, old: DataFrame, key: list[str], version: str)
 
 
 def merge_daily_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per-source exports of one day merged by column name; each export has
-    a title line, with the real header on the 2nd line.  Rows that are entirely
-    null are dropped.  (One small ``first()`` per source reads its header.)"""
+    """Per-source exports of one day merged by column name.  Each export has
+    a title line with the real header on the 2nd line; the two lines are read
+    with one small ``take(2)`` per source, the body is parsed with ``from_csv``.
+    Rows that are entirely null are dropped."""
+    import csv
     frames = []
     for p in paths:
-        raw = spark.read.option("header", True).csv(p)  # the title line becomes the (dummy) header
-        header = raw.first()
-        if header is None:
-            continue  # S11: empty export
-        names = [clean_header(v) if v is not None else f"_c{i}" for i, v in enumerate(header)]
-        body = raw.toDF(*names)
-        is_header = reduce(lambda a, b: a & b, [F.col(f"`{n}`").eqNullSafe(F.lit(v))
-                                                for n, v in zip(names, list(header))])
-        frames.append(body.where(~is_header))
+        lines = spark.read.text(p)
+        head = lines.take(2)
+        if len(head) < 2:
+            continue  # S11: empty or header-only export
+        title, header = head[0].value, head[1].value
+        names = [clean_header(h) for h in next(csv.reader([header]))]
+        ddl = ", ".join(f"`{n}` STRING" for n in names)
+        body = lines.where((F.col("value") != title) & (F.col("value") != header))
+        frames.append(body.select(F.from_csv("value", ddl).alias("r")).select("r.*"))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return merged.na.drop("all")
 

@@ -36,7 +36,7 @@ RAW_OPS_SCHEMA = (
 def read_ops_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 8) -> DataFrame:
     """Raw daily operations rows (one file per delivery) as a stream."""
     return (spark.readStream.schema(RAW_OPS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path))
+            .option("recursiveFileLookup", "true").parquet(path))
 
 
 def parse_stream(raw: DataFrame) -> DataFrame:
