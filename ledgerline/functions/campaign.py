@@ -150,6 +150,29 @@ def product_label(c) -> Column:
     return F.coalesce(F.element_at(_map(PRODUCT_LABELS), col(c)), col(c))
 
 
+def tokens_compact(name) -> Column:
+    """C1 variant of the upsert loader: empty tokens dropped, any ``WBD`` → ``WB``."""
+    return F.filter(tokens(name), lambda t: t != "")
+
+
+def apply_renames(df, column: str, renames):
+    """brand/client renames and merges — broadcast join to a (bounded)
+    rename table ``(old, new)`` and ``coalesce(new, old)``."""
+    r = renames.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
+    out = df.join(F.broadcast(r), df[column] == r["_old"], "left")
+    return out.withColumn(column, F.coalesce(F.col("_new"), F.col(column))).drop("_old", "_new")
+
+
+def reparse_unknown(df, name_col: str = "campaign"):
+    """Re-extract lifecycle and engagement only where they are UNKNOWN or
+    null (compact-token variant); other rows keep their values, in one pass."""
+    t = tokens_compact(name_col)
+    unknown_lc = F.col("extracted_lifecycle").isNull() | (F.col("extracted_lifecycle") == "UNKNOWN")
+    unknown_en = F.col("extracted_engagement").isNull() | (F.col("extracted_engagement") == "UNKNOWN")
+    return (df.withColumn("extracted_lifecycle", F.when(unknown_lc, first_in(t, LIFECYCLES)).otherwise(F.col("extracted_lifecycle")))
+            .withColumn("extracted_engagement", F.when(unknown_en, first_in(t, ENGAGEMENTS)).otherwise(F.col("extracted_engagement"))))
+
+
 def heal_ops_date(c) -> Column:
     """C20: ``2025_03_01`` → ``2025-03-01``."""
     return F.replace(col(c).cast("string"), F.lit("_"), F.lit("-"))

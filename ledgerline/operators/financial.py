@@ -466,6 +466,33 @@ def executive_matrix(summary: DataFrame) -> DataFrame:
         f"stack({len(metrics)}, {stack}) as (metric, value, mom_pct, yoy_pct, ytd)"))
 
 
+def comparative_table(summary: DataFrame) -> DataFrame:
+    """each entity's latest active month as metric rows — value, MoM Δ/%,
+    YoY Δ/%, YTD and QoQ Δ/% for three money and seven player metrics — plus the
+    EOY projection rows (momentum and seasonal engines × ggr, turnover and the
+    15 % revenue share)."""
+    ts = time_series(summary, "brand")
+    q = quarterly(summary, "brand")
+    latest = latest_active(summary.withColumn("turnover", F.col("total_handle"))).select("brand", "month")
+    k = ts.join(latest, ["brand", "month"]).withColumn("quarter", quarter_label("month"))
+    k = k.join(q.select("brand", "quarter", *[c for c in q.columns if c.endswith("_qoq_delta") or c.endswith("_qoq_pct")]),
+               ["brand", "quarter"], "left")
+    money = ["turnover", "ggr", "revenue_share_deduction"]
+    players = ["total_players", "new_players", "returning_players", "reactivated_players", "conversions",
+               "profitable_players", "negative_yield_players"]
+    parts = []
+    for m in money + players:
+        parts.append(f"'{m}', cast({m} as double), cast({m}_mom_delta as double), cast({m}_mom_pct as double), "
+                     f"cast({m}_yoy_delta as double), cast({m}_yoy_pct as double), cast({m}_ytd as double), "
+                     f"cast({m}_qoq_delta as double), cast({m}_qoq_pct as double)")
+    for eng in ("momentum", "seasonal"):
+        for m in ("ggr", "turnover", "revenue_share_deduction"):
+            parts.append(f"'eoy_{eng}_{m}', cast(eoy_{eng}_{m} as double), null, null, null, null, null, null, null")
+    return k.select("brand", "month", F.expr(
+        f"stack({len(parts)}, {', '.join(parts)}) as (metric, value, mom_delta, mom_pct, yoy_delta, yoy_pct, ytd, "
+        f"qoq_delta, qoq_pct)"))
+
+
 def demographics_matrix(summary: DataFrame) -> DataFrame:
     """player counts and cash flow at each brand's latest active month."""
     latest = latest_active(summary)

@@ -404,3 +404,58 @@ ORACLES = {
     "f22_ingest_diagnostics": F22,
     "f24_kpi_deltas": F24,
 }
+
+# ---------------------------------------------------------------------------
+# F9 / F10 (projections of the time series) and F23 (comparative table)
+# ---------------------------------------------------------------------------
+
+F9 = with_player_activity(f""", {summary_ctes(True)}, {_TS_SRC}, {_ts_sql('tsrc', 'brand')}
+SELECT brand, month, {", ".join(f"{m}_ytd" for m in FIN.TS_METRICS)} FROM ts""")
+
+_EOY = [f"eoy_{e}_{m}" for e in ("momentum", "seasonal") for m in ("ggr", "turnover", "revenue_share_deduction")]
+F10 = with_player_activity(f""", {summary_ctes(True)}, {_TS_SRC}, {_ts_sql('tsrc', 'brand')}
+SELECT brand, month, {", ".join(_EOY)} FROM ts""")
+
+
+def _qq_cte(src: str, entity: str) -> str:
+    ms = FIN.TS_METRICS
+    q = "substr(month, 1, 4) || 'Q' || CAST((CAST(substr(month, 6, 2) AS INTEGER) - 1) // 3 + 1 AS VARCHAR)"
+    w = f"OVER (PARTITION BY {entity} ORDER BY quarter)"
+    sums = ", ".join(
+        (f"CAST(SUM({m}) AS BIGINT) AS {m}" if m in FIN.COUNT_COLS else f"CAST(SUM({m}) AS DECIMAL(38,2)) AS {m}")
+        for m in ms)
+    cols = [entity, "quarter"]
+    for m in ms:
+        prev = f"LAG({m}, 1) {w}"
+        cols.append(f"CAST({m} - {prev} AS DOUBLE) AS {m}_qoq_delta")
+        cols.append(f"{pct(f'{m} - {prev}', prev)} AS {m}_qoq_pct")
+    return (f"qa AS (SELECT {entity}, {q} AS quarter, {sums} FROM {src} GROUP BY {entity}, quarter),\n"
+            f"qq AS (SELECT {', '.join(cols)} FROM qa)")
+
+
+def _f23() -> str:
+    money = ["turnover", "ggr", "revenue_share_deduction"]
+    players = ["total_players", "new_players", "returning_players", "reactivated_players", "conversions",
+               "profitable_players", "negative_yield_players"]
+    sel = []
+    for m in money + players:
+        sel.append(f"SELECT brand, month, '{m}' AS metric, CAST({m} AS DOUBLE) AS value, CAST({m}_mom_delta AS DOUBLE) AS mom_delta, "
+                   f"CAST({m}_mom_pct AS DOUBLE) AS mom_pct, CAST({m}_yoy_delta AS DOUBLE) AS yoy_delta, "
+                   f"CAST({m}_yoy_pct AS DOUBLE) AS yoy_pct, CAST({m}_ytd AS DOUBLE) AS ytd, "
+                   f"CAST({m}_qoq_delta AS DOUBLE) AS qoq_delta, CAST({m}_qoq_pct AS DOUBLE) AS qoq_pct FROM k")
+    for col in _EOY:
+        sel.append(f"SELECT brand, month, '{col}', CAST({col} AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
+                   f"CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
+                   f"CAST(NULL AS DOUBLE) FROM k")
+    q = "substr(ts.month, 1, 4) || 'Q' || CAST((CAST(substr(ts.month, 6, 2) AS INTEGER) - 1) // 3 + 1 AS VARCHAR)"
+    qcols = ", ".join(f"qq.{m}_qoq_delta, qq.{m}_qoq_pct" for m in FIN.TS_METRICS)
+    return with_player_activity(f""", {summary_ctes(True)}, {_TS_SRC}, {_ts_sql('tsrc', 'brand')}, {_qq_cte('tsrc', 'brand')},
+latest AS (SELECT brand, MAX(month) AS month FROM full_summary WHERE total_players > 0 GROUP BY brand),
+k AS (SELECT ts.*, {qcols} FROM ts JOIN latest USING (brand, month)
+      LEFT JOIN qq ON qq.brand = ts.brand AND qq.quarter = {q})
+{" UNION ALL ".join(sel)}""")
+
+
+F23 = _f23()
+
+ORACLES.update({"f9_ytd": F9, "f10_eoy_projections": F10, "f23_comparative_table": F23})

@@ -759,3 +759,47 @@ ORACLES = {
 }
 
 _ = (count_if, values_list, CLIENT_MAPPING)
+
+# ---------------------------------------------------------------------------
+# Views added after the first block
+# ---------------------------------------------------------------------------
+O1 = with_ops("""
+SELECT campaign_name, ops_client, ops_brand, ops_date, records, CAST(total_cost AS DOUBLE) AS total_cost, core_signature,
+  campaign_signature, strategy_signature, ops_lifecycle FROM ops_base""", OPS_BASE)
+
+O2 = with_ops("""
+SELECT campaign_name, ops_date, records,
+  concat_ws('-', COALESCE(ops_brand, 'UNKNOWN'), COALESCE(country, 'UNKNOWN'), COALESCE(extracted_lifecycle, 'UNKNOWN'),
+            COALESCE(extracted_engagement, 'UNKNOWN')) AS strategy_signature FROM snaps""", SNAPS)
+
+O17 = with_ops(f""",
+g AS (SELECT core_signature, {", ".join(f"CAST(SUM({s}) AS BIGINT) AS {s}" for s in O.SCORE_SUMS)}
+      FROM ops_base GROUP BY core_signature),
+s AS ({_score('g', 'core_signature')})
+SELECT core_signature, {_BANDS} FROM s""", OPS_BASE)
+
+P7 = with_ops("""
+SELECT ops_client, CAST(SUM(records) AS BIGINT) AS records FROM ops_daily
+WHERE ops_client IN ('Northwind Gaming', 'Orchid Media') GROUP BY ops_client""")
+
+
+def _c18() -> str:
+    from .registry import BRAND_MERGES
+    case = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in BRAND_MERGES)
+    return with_player_activity(f"""
+SELECT brand, CAST(COUNT(*) AS BIGINT) AS rows, CAST(CAST(SUM(revenue) AS DECIMAL(18,2)) AS DOUBLE) AS ggr
+FROM (SELECT COALESCE(CASE brand {case} END, brand) AS brand, revenue FROM player_activity) GROUP BY brand""")
+
+
+C18 = _c18()
+
+C19 = with_ops("SELECT campaign_name, extracted_lifecycle, extracted_engagement FROM ops_daily")
+
+ORACLES.update({
+    "o1_ops_base": O1,
+    "o2_snapshots_base": O2,
+    "o17_color_bands": O17,
+    "p7_client_visibility": P7,
+    "c18_brand_merge": C18,
+    "c19_reparse_unknown": C19,
+})

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ..functions import campaign as C
 from ..operators import crm as K
 from ..operators import financial as FIN
 from ..operators import ops as O
@@ -58,7 +59,13 @@ FIN_QUERIES: dict[str, QueryFn] = {
     "f18_executive_matrix": lambda s, d: as_report(FIN.executive_matrix(_summary(s, d))),
     "f19_demographics_matrix": lambda s, d: as_report(FIN.demographics_matrix(_summary(s, d))),
     "f20_revenue_composition": lambda s, d: as_report(FIN.revenue_composition(_summary(s, d))),
+    "f9_ytd": lambda s, d: as_report(FIN.time_series(_summary(s, d), "brand").select(
+        "brand", "month", *[f"{m}_ytd" for m in FIN.TS_METRICS])),
+    "f10_eoy_projections": lambda s, d: as_report(FIN.time_series(_summary(s, d), "brand").select(
+        "brand", "month", *[f"eoy_{e}_{m}" for e in ("momentum", "seasonal")
+                            for m in ("ggr", "turnover", "revenue_share_deduction")])),
     "f21_diagnostic_narrative": lambda s, d: FIN.diagnostic_narrative(_summary(s, d)),
+    "f23_comparative_table": lambda s, d: as_report(FIN.comparative_table(_summary(s, d))),
     "f22_ingest_diagnostics": lambda s, d: FIN.ingest_diagnostics(_pa(s, d)),
     "f24_kpi_deltas": lambda s, d: as_report(FIN.kpi_deltas(_summary(s, d))),
 }
@@ -116,6 +123,9 @@ def _latest_snaps(spark, sf_dir):
     return O.latest_snapshots(_snaps(spark, sf_dir))
 
 
+# C18 example merge: two brand codes folded into one (a bounded rename table).
+BRAND_MERGES = [("LARGE", "SMALL"), ("ECONOMY", "PROMO")]
+
 P1_SPEC = P.FilterSpec(client="Northwind Gaming", engagement="NLI", campaign="dk", start="1997-01-01",
                        end="1999-12-31")
 
@@ -125,6 +135,10 @@ OPS_QUERIES: dict[str, QueryFn] = {
         "campaign_name", "core_signature", "campaign_signature", "strategy_signature", "ops_lifecycle"),
     "c12_short_name_totals": lambda s, d: O.short_name_totals(_ops(s, d)),
     "f16_campaign_summary": lambda s, d: as_report(FIN.campaign_summary(TD.campaign_monthly(s, d))),
+    "o1_ops_base": lambda s, d: as_report(_base(s, d).select(
+        "campaign_name", "ops_client", "ops_brand", "ops_date", "records", "total_cost", "core_signature",
+        "campaign_signature", "strategy_signature", "ops_lifecycle")),
+    "o2_snapshots_base": lambda s, d: _snaps(s, d).select("campaign_name", "ops_date", "records", "strategy_signature"),
     "o3_daily_pulse": lambda s, d: O.daily_pulse(_ops(s, d)),
     "o4_pulse_windows": lambda s, d: as_report(O.pulse_windows(O.daily_pulse(_ops(s, d)))),
     "o5_historical_benchmarks": lambda s, d: as_report(_bench(s, d)),
@@ -141,6 +155,8 @@ OPS_QUERIES: dict[str, QueryFn] = {
     "o14_daily_efficiency": lambda s, d: as_report(O.daily_efficiency(_ops(s, d))),
     "o15_weekly_efficiency": lambda s, d: as_report(O.weekly_efficiency(_ops(s, d))),
     "o16_pitch_scorecard": lambda s, d: as_report(O.pitch_scorecard(_base(s, d))),
+    "o17_color_bands": lambda s, d: O.pitch_scorecard(_base(s, d)).select(
+        "core_signature", "deliveries_band", "delivery_rate_band", "engagement_band"),
     "o18_daily_campaign_detail": lambda s, d: as_report(O.daily_campaign_detail(_base(s, d))),
     "o19_true_cost_ledger": lambda s, d: as_report(O.true_cost_ledger(_ops(s, d), _bench(s, d))),
     "o20_morning_variance": lambda s, d: as_report(O.morning_variance(_ops(s, d))),
@@ -169,6 +185,15 @@ OPS_QUERIES: dict[str, QueryFn] = {
     "p4_period_presets": lambda s, d: as_report(P.period_presets(_ops(s, d))),
     "p5_completed_halves": lambda s, d: P.completed_halves(_ops(s, d)),
     "p6_completed_weeks": lambda s, d: P.completed_weeks(_ops(s, d)),
+    "p7_client_visibility": lambda s, d: P.client_visibility(_ops(s, d), ["Northwind Gaming", "Orchid Media"],
+                                                             "ops_client").groupBy("ops_client")
+        .agg(F.sum("records").cast("bigint").alias("records")),
+    "c18_brand_merge": lambda s, d: as_report(C.apply_renames(_pa(s, d), "brand", s.createDataFrame(
+        BRAND_MERGES, "old string, new string")).groupBy("brand").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr"))),
+    "c19_reparse_unknown": lambda s, d: C.reparse_unknown(
+        _ops(s, d).withColumn("campaign", O.raw_campaign(None)), "campaign").select(
+        "campaign_name", "extracted_lifecycle", "extracted_engagement"),
     "p8_search_page": lambda s, d: P.search_page(_ops(s, d).select("campaign_name", "ops_date", "records"),
                                                  "campaign_name", "nli", ["campaign_name", "ops_date"], page=2),
 }
