@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType
 
 from ..functions.core import (MONEY, count_if, dbl, money_sum, month_from_index, month_index,
                               quarter_label, rev_share, safe_div, safe_pct)
-from .ranking import rank_in_groups
+from .ranking import materialize, rank_in_groups
 
 COMBINED = "Combined"
 
@@ -213,6 +213,9 @@ def monthly_brand_summary(pa: DataFrame, force_start: str | None = None,
     summ = _derive_summary_ratios(summ).withColumn("revenue_share_deduction", rev_share("ggr"))
     summ = summ.select(*SUMMARY_COLS)
     if include_combined:
+        # The brand rows feed both the output and the Combined aggregation; cut
+        # the lineage once (brands × months rows) instead of evaluating it twice.
+        summ = materialize(summ, "summary")
         comb_whales = whales.where(F.col("_level") == 1).select("month", "top_10_pct_ggr_share")
         summ = summ.unionByName(combined_summary(summ, pa, comb_whales))
     return summ

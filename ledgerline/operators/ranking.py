@@ -7,19 +7,32 @@ big group is split across many tasks, each sorted locally.  A tiny table of
 per-(task, group) counts and sums gives every task its offset; the rank of a
 row is ``offset + position inside its task``.
 
-The range-partitioned, position-stamped rows are checkpointed (reliably, into
-``spark.checkpoint.dir``) so every consumer sees the same partition boundaries,
+The range-partitioned, position-stamped rows are written once as a parquet
+table under ``spark.checkpoint.dir`` (a lineage cut, like ``checkpoint()`` but
+columnar and vectorized), so every consumer sees the same partition boundaries,
 even after an executor is lost and a stage is recomputed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Cut lineage by writing ``df`` to a fresh folder in the shared checkpoint
+    directory and reading it back."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     if not keys:
         return left.join(right, "_pid")
@@ -42,7 +55,6 @@ def rank_in_groups(df: DataFrame, group_cols: list[str], order: list[Column],
     ``order`` must be a total order (end it with a unique tiebreak column).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
     sort_exprs = [F.col(g).asc_nulls_first() for g in group_cols] + list(order)
     staged = (df.repartitionByRange(n, *sort_exprs)
@@ -55,7 +67,7 @@ def rank_in_groups(df: DataFrame, group_cols: list[str], order: list[Column],
         w_local = Window.partitionBy("_pid", *group_cols).orderBy("_pos")
         staged = staged.withColumn("_lcum", F.sum(sum_col).over(
             w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    staged = staged.checkpoint(eager=True)
+    staged = materialize(staged, "rank")
 
     aggs = [F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0")]
     if sum_col is not None:
