@@ -74,3 +74,16 @@ ORACLES = {
     "r7_time_to_convert": R7,
     "r7b_time_to_convert_histogram": R7B,
 }
+
+S1 = f"""WITH {PLAYER_ACTIVITY}
+SELECT brand, report_month, CAST(COUNT(*) AS BIGINT) AS rows, CAST(CAST(SUM(revenue) AS DECIMAL(18,2)) AS DOUBLE) AS ggr,
+  CAST(CAST(SUM(bet) AS DECIMAL(18,2)) AS DOUBLE) AS turnover, CAST(CAST(SUM(bonus_total) AS DECIMAL(18,2)) AS DOUBLE) AS bonus,
+  CAST(SUM(deposit_count) AS BIGINT) AS deposit_count
+FROM player_activity GROUP BY brand, report_month"""
+
+S4 = with_ops("""
+SELECT campaign_name, ops_client, ops_brand, ops_date, records, calls, conversions, CAST(total_cost AS DOUBLE) AS total_cost,
+  true_cac, extracted_lifecycle, extracted_engagement, country, CAST(COALESCE(campaign_data_age_days, -1) AS BIGINT) AS campaign_data_age_days
+FROM ops_daily""")
+
+ORACLES.update({"s1_financial_files": S1, "s4_ops_files": S4})

@@ -235,7 +235,38 @@ def _events(spark, sf_dir):
     return TD.contact_events(spark, sf_dir)
 
 
+def _s1_financial_files(spark, sf_dir):
+    """The monthly fact exported as detailed-format files
+    (``brand_yyyy_mm.csv``), re-read brand folder by brand folder and summed."""
+    from ..sources import files as FL
+    root = _scratch(spark, "s1")
+    by_brand = FL.export_detailed(_pa(spark, sf_dir), root)
+    mapping = dims.client_mapping(spark)
+    parts = [FL.load_financial_files(spark, paths, mapping, "detailed", key) for key, paths in sorted(by_brand.items())]
+    loaded = parts[0]
+    for p in parts[1:]:
+        loaded = loaded.unionByName(p)
+    return as_report(loaded.groupBy("brand", "report_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr"),
+        F.sum("bet").cast("decimal(18,2)").alias("turnover"), F.sum("bonus_total").cast("decimal(18,2)").alias("bonus"),
+        F.sum("deposit_count").cast("bigint").alias("deposit_count")))
+
+
+def _s4_ops_files(spark, sf_dir):
+    """The operations fact exported as monthly raw files
+    with a Date column, re-loaded by the file loader."""
+    from ..sources import files as FL
+    root = _scratch(spark, "s4")
+    paths = FL.export_ops(_ops(spark, sf_dir), root)
+    loaded = FL.load_ops_files(spark, paths, dims.client_mapping(spark))
+    return as_report(loaded.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "calls",
+                                   "conversions", "total_cost", "true_cac", "extracted_lifecycle",
+                                   "extracted_engagement", "country", "campaign_data_age_days"))
+
+
 STREAM_QUERIES: dict[str, QueryFn] = {
+    "s1_financial_files": _s1_financial_files,
+    "s4_ops_files": _s4_ops_files,
     "r1_stream_ops_ingest": _r1_stream_ingest,
     "r4_stream_event_pulse": _r4_event_pulse,
     "r5_journey_dedup": lambda s, d: _events(s, d).select(*J.DEDUP_KEYS).distinct(),

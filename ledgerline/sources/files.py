@@ -213,6 +213,9 @@ def adapt_detailed(raw: DataFrame, target_brand: Column | str, target_client: Co
     x = x.withColumn("segment", F.coalesce(F.col("wb_tag"), F.lit("Unknown")) if seg_col else F.lit("Unknown"))
     x = x.withColumn("brand", F.when(F.trim(F.coalesce("brand", F.lit(""))) == "", tb).otherwise(F.col("brand")))
     x = x.withColumn("client", tc)
+    for c in ("reactivation_date", "campaign_start_date"):
+        if c not in x.columns:
+            x = x.withColumn(c, F.lit(None).cast("string"))
     return _finish(reactivation_delay(x))
 
 
@@ -419,3 +422,66 @@ def scan(spark: SparkSession, path: str, columns: list[str], where: Column | Non
     """Projected, filtered table scan (pushed into parquet)."""
     df = spark.read.parquet(path).select(*columns)
     return df.where(where) if where is not None else df
+
+
+# ---------------------------------------------------------------------------
+# Exports in the raw layouts (used to exercise the readers on whole tables)
+# ---------------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn) -> list[str]:
+    """Write one CSV (with header) per distinct ``key_cols`` value and rename it
+    to ``name_fn(*key values)`` — the file naming the exports arrive with.
+    Only file names pass through the driver (one listing of the output)."""
+    spark = df.sparkSession
+    stage = root.rstrip("/") + "/_stage"
+    (df.repartition(*key_cols).write.partitionBy(*key_cols).option("header", True)
+     .option("encoding", "UTF-8").csv(stage))
+    fs, base = _fs(spark, stage)
+    it = fs.listFiles(base, True)
+    out = []
+    while it.hasNext():
+        st = it.next()
+        path = st.getPath()
+        if not path.getName().endswith(".csv"):
+            continue
+        parts = {kv.split("=", 1)[0]: kv.split("=", 1)[1] for kv in str(path.getParent().toUri().getPath()).split("/")
+                 if "=" in kv}
+        target = root.rstrip("/") + "/" + name_fn(*[parts[k] for k in key_cols])
+        _, tp = _fs(spark, target)
+        fs.mkdirs(tp.getParent())
+        fs.rename(path, tp)
+        out.append(target)
+    return sorted(out)
+
+
+def export_detailed(pa: DataFrame, root: str) -> dict[str, list[str]]:
+    """PlayerRecord rows → detailed-format files ``<brand>/<brand>_yyyy_mm.csv``."""
+    inv = {v: k for k, v in DETAILED_HEADERS.items()}
+    cols = [F.col(v).cast("string").alias(inv[v]) for v in DETAILED_HEADERS.values()
+            if v not in ("reactivation_date", "campaign_start_date") and v in pa.columns]
+    cols.append(F.col("bonus_total").cast("string").alias("Bonus Cost (Total)  €"))
+    key = F.lower(F.regexp_replace("brand", "[^A-Za-z]", ""))
+    x = pa.select(*cols, key.alias("_bk"), F.col("report_month").alias("_m"))
+    files = export_named_csv(x, root, ["_bk", "_m"], lambda b, m: f"{b}/{b}_{m.replace('-', '_')}.csv")
+    by_brand: dict[str, list[str]] = {}
+    for f in files:
+        by_brand.setdefault(f.rsplit("/", 2)[-2], []).append(f)
+    return by_brand
+
+
+def export_ops(ops: DataFrame, root: str) -> list[str]:
+    """Operations rows → monthly files ``ops_yyyy_mm.csv`` in the raw daily
+    layout with a ``Date`` column."""
+    inv = {v: k for k, v in OPS_RENAMES.items()}
+    raw = F.regexp_replace(F.col("campaign_name"), r"_\d{4}-\d{2}-\d{2}$", "")
+    cols = [raw.alias("Campaign Name"), F.date_format("ops_date", "yyyy-MM-dd").alias("Date"),
+            F.col("records").alias("New Data")]
+    cols += [F.col(v).alias(k) for v, k in inv.items() if v in ops.columns]
+    x = ops.select(*cols, F.date_format("ops_date", "yyyy_MM").alias("_m"))
+    return export_named_csv(x, root, ["_m"], lambda m: f"ops_{m}.csv")
