@@ -114,3 +114,47 @@ def test_merge_daily_sources(spark, tmpdir_path):
     m = files.merge_daily_sources(spark, [p1, p2])
     got = sorted((r["Campaign Name"], r["New Data"], r["Calls"]) for r in m.collect())
     assert got == [("A-1", "3", None), ("B-1", None, "4")]
+
+
+def test_campaign_file_load_s3(spark, tmpdir_path):
+    p = f"{tmpdir_path}/camp/lumen_2025_05.csv"
+    _write(p, "brand,Campaign,Records,KPI 1 - Conversions,KPI 2 - Logins,Calls,ES,SS\n"
+              "  lumen vale ,LI,10,1,5,3,x,2\n")
+    r = files.load_campaign_files(spark, [p]).collect()[0]
+    assert r.brand == "Lumen Vale" and r.report_month == "2025-05"      # case-insensitive header, initcap(trim)
+    assert (r.records, r.kpi1_conversions, r.kpi2_logins, r.emails_sent) == (10, 1, 5, 0)   # bad number → 0
+
+
+def test_sheet_cohort_adapter_t4(spark):
+    raw = spark.createDataFrame([
+        ("p1", "ROC - Feb 2025", "100", "90", "40", "3"), ("p2", "ONT-React", "10", "9", "4", "1"),
+        ("p3", "React", "1", "1", "1", "0"), (None, "React", "5", "5", "5", "5")],
+        "`Player Id` string, sheet_name string, `Total GGR €` string, `Total NGR €` string, `Deposits €` string, "
+        "`Deposits #` string").withColumn("_file", F.lit("x.parquet")).withColumn("report_month", F.lit("2025-02"))
+    got = {r.id: r for r in files.adapt_sheet_cohort(raw, "Yuzu Spins", "Harbor Play").collect()}
+    assert set(got) == {"p1", "p2", "p3"}
+    assert got["p1"].country == "CA-ROC" and got["p1"].segment == "ROC" and got["p1"].wb_tag == "ROC - Feb 2025"
+    assert got["p2"].country == "CA-ONT" and float(got["p1"].deposits) == 40.0 and float(got["p1"].bet) == 0.0
+    assert got["p3"].segment == "React" and got["p3"].country == "Global"
+
+
+def test_report_sinks_w8_w9(spark, tmpdir_path):
+    from ledgerline.operators import financial as FIN
+    pa = TD.player_activity(spark, SF_SMALL)
+    summ = FIN.monthly_brand_summary(pa)
+    out = sinks.write_multitab_report({"brands": FIN.as_report(summ), "segments": FIN.as_report(FIN.segmentation(pa))},
+                                      f"{tmpdir_path}/report")
+    back = spark.read.parquet(out["brands"])
+    assert back.count() == summ.count() and "month_label" in back.columns
+    lbl = back.select("month", "month_label").first()
+    assert lbl.month_label.endswith(lbl.month[:4])
+    reg = sinks.registry_table(pa)
+    assert reg.count() == pa.select("brand", "report_month").distinct().count()
+
+
+def test_pretty_month_and_heal_date(spark):
+    from ledgerline.functions import campaign as C
+    from ledgerline.functions import core
+    r = spark.createDataFrame([("2025-08", "2025_03_01")], "m string, d string").select(
+        core.pretty_month("m").alias("p"), F.to_date(C.heal_ops_date("d")).alias("d")).first()
+    assert r.p == "August 2025" and str(r.d) == "2025-03-01"
