@@ -282,7 +282,8 @@ K19 = with_player_activity(
 K20 = with_player_activity(f""", {K3_CTE},
 ord(position, smart_profile) AS (VALUES {values_list(list(enumerate(K.PROFILE_ORDER_B)))}),
 g AS (SELECT smart_profile, COUNT(*) AS players FROM profiles GROUP BY smart_profile)
-SELECT position, smart_profile, CAST(COALESCE(players, 0) AS BIGINT) AS players FROM ord LEFT JOIN g USING (smart_profile)""")
+SELECT CAST(position AS BIGINT) AS position, smart_profile, CAST(COALESCE(players, 0) AS BIGINT) AS players
+FROM ord LEFT JOIN g USING (smart_profile)""")
 K20B = with_player_activity(
     f", {K3_CTE}\nSELECT id, brand, first_month, last_month, months_active, months_inactive, "
     f"CAST(lifetime_ggr AS DOUBLE) AS lifetime_ggr, CAST(lifetime_turnover AS DOUBLE) AS lifetime_turnover, "

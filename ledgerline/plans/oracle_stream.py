@@ -41,7 +41,7 @@ g AS (SELECT campaign_id, {_STEPS},
 dep AS (SELECT DISTINCT campaign_id, account_number FROM dedup WHERE event_type = 'deposit'),
 ggr AS (SELECT id AS account_number, {msum('revenue')} AS ggr FROM player_activity GROUP BY id),
 per AS (SELECT campaign_id, CAST(SUM(ggr) AS DECIMAL(18,2)) AS ggr FROM dep JOIN ggr USING (account_number) GROUP BY campaign_id)
-SELECT g.campaign_id, {", ".join(f"g.{s}_contacts" for s in FUNNEL_STEPS)}, CAST(g.cost AS DOUBLE) AS cost, {_RATES},
+SELECT CAST(g.campaign_id AS BIGINT) AS campaign_id, {", ".join(f"g.{s}_contacts" for s in FUNNEL_STEPS)}, CAST(g.cost AS DOUBLE) AS cost, {_RATES},
   CAST(COALESCE(per.ggr, 0) AS DOUBLE) AS ggr,
   CASE WHEN g.cost > 0 THEN CAST(COALESCE(per.ggr, 0) AS DOUBLE) / CAST(g.cost AS DOUBLE) END AS roi
 FROM g LEFT JOIN per USING (campaign_id)"""

@@ -219,7 +219,8 @@ def _r1_stream_ingest(spark, sf_dir):
     live = spark.read.parquet(f"{root}/out/ops_live")
     return live.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "conversions",
                        F.col("total_cost").cast("double").alias("total_cost"), "extracted_lifecycle",
-                       "extracted_engagement", "country", "campaign_data_age_days")
+                       "extracted_engagement", "country",
+                       F.col("campaign_data_age_days").cast("bigint").alias("campaign_data_age_days"))
 
 
 def _r4_event_pulse(spark, sf_dir):
