@@ -59,6 +59,12 @@ def _last_bet(tiebreak: str | None):
     return F.max_by(F.col("bet"), F.when(F.col("bet").isNotNull(), key))
 
 
+def months_distinct():
+    """Distinct report months of a player: a set bounded by the calendar, so it
+    is collected per player (one exchange) instead of a two-exchange distinct."""
+    return F.size(F.collect_set("report_month")).cast("bigint")
+
+
 def _lifetime_aggs():
     return [
         money_sum("revenue").alias("lifetime_ggr"),
@@ -70,7 +76,7 @@ def _lifetime_aggs():
         money_sum("bonus_total").alias("lifetime_bonus"),
         F.min("report_month").alias("first_month"),
         F.max("report_month").alias("last_month"),
-        F.countDistinct("report_month").alias("months_active"),
+        months_distinct().alias("months_active"),
     ]
 
 
@@ -145,7 +151,7 @@ def tier_summary(pa: DataFrame, target_month: str | None = None) -> DataFrame:
     """K5: True VIP / Churn Risk / Casual by frequency, monetary and recency."""
     target = F.lit(target_month) if target_month else scalar(pa.select(F.max("report_month")))
     player = (pa.where(F.col("id").isNotNull()).groupBy("id")
-              .agg(F.countDistinct("report_month").alias("frequency"),
+              .agg(months_distinct().alias("frequency"),
                    money_sum("revenue").alias("monetary"),
                    F.max(F.when(F.col("report_month") == target, 1).otherwise(0)).alias("recent")))
     return _tiers(player, [])
@@ -164,7 +170,7 @@ def tier_summary_by_brand(pa: DataFrame) -> DataFrame:
     latest = pa.groupBy("brand").agg(F.max("report_month").alias("_target"))
     x = pa.where(F.col("id").isNotNull() & F.col("brand").isNotNull()).join(latest, "brand")
     player = (x.groupBy("brand", "id")
-              .agg(F.countDistinct("report_month").alias("frequency"),
+              .agg(months_distinct().alias("frequency"),
                    money_sum("revenue").alias("monetary"),
                    F.max(F.when(F.col("report_month") == F.col("_target"), 1).otherwise(0)).alias("recent")))
     return _tiers(player, ["brand"])
@@ -173,7 +179,7 @@ def tier_summary_by_brand(pa: DataFrame) -> DataFrame:
 def overlap_stats(pa: DataFrame, brand_1: str, brand_2: str) -> DataFrame:
     """K6: players active on both brands; their count and all-brand revenue."""
     both = (pa.where(F.col("brand").isin(brand_1, brand_2)).groupBy("id")
-            .agg(F.countDistinct("brand").alias("_nb")).where(F.col("_nb") > 1).select("id"))
+            .agg(F.size(F.collect_set("brand")).alias("_nb")).where(F.col("_nb") > 1).select("id"))
     shared = pa.join(both, "id", "left_semi")
     totals = shared.agg(money_sum("revenue").alias("overlap_ggr"))
     return totals.select(F.lit(brand_1).alias("brand_1"), F.lit(brand_2).alias("brand_2"),
@@ -183,7 +189,7 @@ def overlap_stats(pa: DataFrame, brand_1: str, brand_2: str) -> DataFrame:
 def multi_brand_overlap(pa: DataFrame) -> DataFrame:
     """K6 generalised without pairing: per brand, its players also active on any
     other brand, and the all-brand revenue of those players."""
-    nb = pa.groupBy("id").agg(F.countDistinct("brand").alias("_nb"))
+    nb = pa.groupBy("id").agg(F.size(F.collect_set("brand")).alias("_nb"))  # brands per player: registry-bounded
     x = pa.join(nb.where(F.col("_nb") > 1), "id", "left_semi")
     per_player = x.groupBy("id").agg(money_sum("revenue").alias("_rev"))
     by_brand = x.select("brand", "id").distinct().join(per_player, "id")

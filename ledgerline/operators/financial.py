@@ -139,12 +139,19 @@ def cohort_counts(pa: DataFrame) -> DataFrame:
     (brand, month) table; the per-player ``lag`` runs on (brand, id) partitions,
     so no window ever holds a whole brand.
     """
+    # One exchange on (brand, id) serves both the per-player aggregate and the
+    # per-player lag window below (hash partitioning on a subset of the keys).
     bim = (_keyed(pa, ["brand", "report_month", "id"])
-           .groupBy("brand", F.col("report_month").alias("month"), "id")
+           .repartition("brand", "id")
+           .groupBy("brand", "id", F.col("report_month").alias("month"))
            .agg(money_sum("revenue").alias("rev")))
-    months = bim.select("brand", "month").distinct()
+    # Months with data per brand, straight from the scan (partial distinct
+    # before the exchange), so the big (brand, id) exchange is not repeated.
+    months = (_keyed(pa, ["brand", "report_month"])
+              .select("brand", F.col("report_month").alias("month")).distinct())
     months = months.withColumn("_mrank", F.dense_rank().over(Window.partitionBy("brand").orderBy("month")))
-    x = bim.join(months, ["brand", "month"])
+    # (brand, month) pairs are bounded by registered brands × calendar months.
+    x = bim.join(F.broadcast(months), ["brand", "month"])
     prev = F.lag("_mrank").over(Window.partitionBy("brand", "id").orderBy("month"))
     x = x.withColumn("_prev", prev)
     is_new = F.col("_prev").isNull()
