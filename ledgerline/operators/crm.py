@@ -198,9 +198,12 @@ def multi_brand_overlap(pa: DataFrame) -> DataFrame:
 
 
 def _cohort_rows(pa: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct (keys, id, month) with the player's first month in ``keys``."""
+    """Distinct (keys, id, month) with the player's first month in ``keys``.
+
+    One exchange on (keys, id) serves both the per-player aggregate and the
+    first-month window."""
     base = pa.where(F.col("id").isNotNull() & F.col("report_month").isNotNull())
-    rows = base.groupBy(*keys, "id", F.col("report_month").alias("month")).agg(
+    rows = base.repartition(*keys, "id").groupBy(*keys, "id", F.col("report_month").alias("month")).agg(
         money_sum("revenue").alias("revenue"))
     w = Window.partitionBy(*keys, "id")
     return rows.withColumn("cohort_month", F.min("month").over(w))
@@ -222,17 +225,20 @@ def cohort_retention_matrix(pa: DataFrame) -> DataFrame:
     offsets > 0; retention % of cohort size."""
     def one(df: DataFrame, keys: list[str]) -> DataFrame:
         r = _cohort_rows(df, keys)
-        months = r.select(*keys, "month").distinct()
+        # Months with data, from the scan (partial distinct); bounded by
+        # registered brands × calendar months, so broadcast.
+        months = (df.where(F.col("id").isNotNull() & F.col("report_month").isNotNull())
+                  .select(*keys, F.col("report_month").alias("month")).distinct())
         mw = Window.partitionBy(*keys).orderBy("month") if keys else Window.orderBy("month")
         months = months.withColumn("_mi", F.dense_rank().over(mw))
-        r = r.join(months, [*keys, "month"]).join(
-            months.select(*keys, F.col("month").alias("cohort_month"), F.col("_mi").alias("_ci")),
+        r = r.join(F.broadcast(months), [*keys, "month"]).join(
+            F.broadcast(months.select(*keys, F.col("month").alias("cohort_month"), F.col("_mi").alias("_ci"))),
             [*keys, "cohort_month"])
         r = r.withColumn("offset", (F.col("_mi") - F.col("_ci")).cast("int"))
-        sizes = r.where(F.col("offset") == 0).groupBy(*keys, "cohort_month").agg(
-            F.count(F.lit(1)).alias("cohort_size"))
-        act = r.where(F.col("offset") > 0).groupBy(*keys, "cohort_month", "offset").agg(
-            F.count(F.lit(1)).alias("active_players"))
+        counts = r.groupBy(*keys, "cohort_month", "offset").agg(F.count(F.lit(1)).alias("players"))
+        sizes = counts.where(F.col("offset") == 0).select(*keys, "cohort_month", F.col("players").alias("cohort_size"))
+        act = counts.where(F.col("offset") > 0).select(*keys, "cohort_month", "offset",
+                                                       F.col("players").alias("active_players"))
         out = act.join(sizes, [*keys, "cohort_month"])
         return out.withColumn("retention_pct", dbl("active_players") / dbl("cohort_size") * 100.0)
 
