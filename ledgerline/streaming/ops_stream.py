@@ -44,37 +44,58 @@ def parse_stream(raw: DataFrame) -> DataFrame:
     return finish_ops_rows(raw)
 
 
-def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS):
+def _read_watermark(spark: SparkSession, state_path: str):
+    if not path_exists(spark, state_path):
+        return None
+    row = spark.read.parquet(state_path).first()
+    return row[0] if row else None
+
+
+def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS,
+                   state_path: str | None = None):
     """R2 + R3 as a ``foreachBatch`` function.
 
     The late-data horizon trails the newest ``ops_date`` accepted by *earlier*
-    batches (the feed's watermark), so the first batch has no late rows and a
-    batch never marks its own rows late.
+    batches (the feed's watermark, kept in a one-row state table), so the first
+    batch has no late rows and a batch never marks its own rows late.  Only the
+    months a delivery touches are read (partition pruning on a literal list)
+    and rewritten (dynamic partition overwrite); the merge is keyed, so a
+    re-run batch gives the same live table, and snapshot rows carry the batch id.
     """
+    from pyspark import StorageLevel
+    state = state_path or live_path.rstrip("/") + "_watermark"
+
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("ops_month", F.date_format("ops_date", "yyyy-MM"))
-        live_exists = path_exists(spark, live_path)
-        seen = spark.read.parquet(live_path).agg(F.max("ops_date")).first()[0] if live_exists else None
-        horizon = F.date_sub(F.lit(seen), horizon_days) if seen is not None else F.lit(None).cast("date")
-        # R2: the point-in-time log keeps every delivery (append-only).
-        (b.withColumn("snapshot_timestamp", F.current_timestamp()).withColumn("batch_id", F.lit(epoch_id))
-         .write.mode("append").partitionBy("ops_month").parquet(snapshot_path))
-        late = b.where(F.col("ops_date") < horizon)
-        on_time = b.where(horizon.isNull() | (F.col("ops_date") >= horizon))
-        late.write.mode("append").partitionBy("ops_month").parquet(late_path)
-        # Live table: latest delivery per campaign-day; only touched months rewritten.
-        touched = on_time.select("ops_month").distinct()
-        if live_exists:
-            current = spark.read.parquet(live_path).join(touched, "ops_month", "left_semi")
-            keep = current.join(on_time.select("campaign_name"), "campaign_name", "left_anti")
-            merged = keep.unionByName(on_time.select(*current.columns))
-            # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
-            merged = merged.checkpoint(eager=True)
-        else:
-            merged = on_time
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ops_month").parquet(live_path))
+        b = batch.withColumn("ops_month", F.date_format("ops_date", "yyyy-MM")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            seen = _read_watermark(spark, state)
+            horizon = F.date_sub(F.lit(seen), horizon_days) if seen is not None else F.lit(None).cast("date")
+            # R2: the point-in-time log keeps every delivery (append-only).
+            (b.withColumn("snapshot_timestamp", F.current_timestamp()).withColumn("batch_id", F.lit(epoch_id))
+             .write.mode("append").partitionBy("ops_month").parquet(snapshot_path))
+            late = b.where(F.col("ops_date") < horizon)
+            on_time = b.where(horizon.isNull() | (F.col("ops_date") >= horizon))
+            late.write.mode("append").partitionBy("ops_month").parquet(late_path)
+            # Months in one delivery: bounded by the calendar.
+            months = [r[0] for r in on_time.select("ops_month").distinct().collect()]
+            if not months:
+                return
+            if path_exists(spark, live_path):
+                current = spark.read.parquet(live_path).where(F.col("ops_month").isin(months))
+                keep = current.join(on_time.select("campaign_name"), "campaign_name", "left_anti")
+                merged = keep.unionByName(on_time.select(*current.columns))
+                # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
+                merged = merged.checkpoint(eager=True)
+            else:
+                merged = on_time
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ops_month").parquet(live_path))
+            newest = on_time.agg(F.max("ops_date")).first()[0]
+            mark = max(d for d in (seen, newest) if d is not None)
+            spark.createDataFrame([(mark,)], "watermark date").write.mode("overwrite").parquet(state)
+        finally:
+            b.unpersist()
     return fn
 
 
