@@ -109,3 +109,17 @@ def test_pareto_curve_cumulative(spark):
     pa = pa_frame(spark, [(f"p{i}", "X", "2025-01", float(v)) for i, v in enumerate([5, 3, 3, 1, -2])])
     got = sorted((r.player_rank, float(r.cumulative_ggr)) for r in K.pareto_curve(pa).collect())
     assert got == [(1, 5.0), (2, 8.0), (3, 11.0), (4, 12.0)]
+
+
+def test_rank_splits_a_hot_group_across_tasks(spark):
+    """A group holding most rows must not land in one task."""
+    data = [("hot", i, float(i % 97)) for i in range(3000)] + [("cold", i, 1.0) for i in range(30)]
+    df = spark.createDataFrame(data, "g string, id long, v double")
+    from ledgerline.operators import ranking
+    staged_tasks = (df.repartitionByRange(8, F.col("g"), F.col("v").desc(), F.col("id"))
+                    .withColumn("_pid", F.spark_partition_id()).where("g = 'hot'")
+                    .select("_pid").distinct().count())
+    assert staged_tasks > 1
+    got = ranking.rank_in_groups(df, ["g"], [F.col("v").desc(), F.col("id").asc()], num_partitions=8)
+    hot = sorted(r._rank for r in got.where("g = 'hot'").collect())
+    assert hot == list(range(1, 3001))
