@@ -523,24 +523,56 @@ def revenue_composition(summary: DataFrame) -> DataFrame:
         F.least("returning_player_ggr", z).alias("returning_loss"))
 
 
+def fixed(x, digits: int):
+    """A number as text with ``digits`` decimals, rounded half-up in the decimal
+    domain (engine-independent, unlike float formatting)."""
+    d = F.round(dbl(x).cast("decimal(38,10)"), digits).cast(f"decimal(38,{digits})")
+    return d.cast("string")
+
+
+def grouped_int(x):
+    """A number rounded half-up to an integer, with thousands separators."""
+    return F.format_number(F.round(dbl(x).cast("decimal(38,10)"), 0).cast("bigint"), 0)
+
+
+# The narrative sentence templates (pieces around the numbers).
+NARRATIVE = {
+    "grew": ("GGR grew +", "% month-over-month ($", "), signalling positive revenue momentum."),
+    "declined": ("GGR declined ", "% month-over-month ($", "), indicating revenue contraction."),
+    "margin_ok": ("Operating margin is healthy at ", "%, well above the 2.5% alert threshold."),
+    "margin_mid": ("Operating margin at ", "% is adequate but approaching the 2.5% caution zone."),
+    "margin_low": ("⚠️ MARGIN ALERT: Operating margin has dropped to ", "%, below the 2.5% threshold."),
+    "whale_high": ("🚨 HIGH WHALE RISK: Top 10% of players account for ", "% of GGR — extreme concentration."),
+    "whale_mid": ("Whale dependency is elevated at ", "% — revenue is moderately concentrated in top players."),
+    "whale_low": ("Revenue is well-diversified with top 10% accounting for ", "% of GGR."),
+}
+
+
 def diagnostic_narrative(summary: DataFrame) -> DataFrame:
-    """three sentences chosen by thresholds, one row per entity (latest month)."""
+    """three sentences chosen by thresholds (MoM sign; margin ≥ 5, ≥ 2.5;
+    whale share ≥ 70, ≥ 50), one row per entity at its latest active month."""
     ts = time_series(summary, "brand").select("brand", "month", "ggr_mom_pct", "ggr_mom_delta")
     latest = latest_active(summary).select(
         "brand", "month", safe_pct("ggr", "total_handle").alias("margin"), "top_10_pct_ggr_share")
     x = latest.join(ts, ["brand", "month"], "left")
     mom = F.coalesce("ggr_mom_pct", F.lit(0.0))
     delta = F.coalesce(dbl("ggr_mom_delta"), F.lit(0.0))
-    s1 = F.when(mom >= 0, F.format_string("GGR grew +%.1f%% month-over-month ($%+,.0f), signalling positive revenue momentum.", mom, delta)) \
-        .otherwise(F.format_string("GGR declined %.1f%% month-over-month ($%,.0f), indicating revenue contraction.", mom, delta))
+    t = NARRATIVE
+    delta_rounded = F.round(delta.cast("decimal(38,10)"), 0)
+    signed = F.concat(F.when(delta_rounded >= 0, F.lit("+")).otherwise(F.lit("")), grouped_int(delta))
+    s1 = F.when(mom >= 0, F.concat(F.lit(t["grew"][0]), fixed(mom, 1), F.lit(t["grew"][1]), signed, F.lit(t["grew"][2]))) \
+        .otherwise(F.concat(F.lit(t["declined"][0]), fixed(mom, 1), F.lit(t["declined"][1]), grouped_int(delta),
+                            F.lit(t["declined"][2])))
     m = F.col("margin")
-    s2 = F.when(m >= 5.0, F.format_string("Operating margin is healthy at %.2f%%, well above the 2.5%% alert threshold.", m)) \
-        .when(m >= 2.5, F.format_string("Operating margin at %.2f%% is adequate but approaching the 2.5%% caution zone.", m)) \
-        .otherwise(F.format_string("MARGIN ALERT: Operating margin has dropped to %.2f%%, below the 2.5%% threshold.", m))
+
+    def sentence(key, value, digits):
+        return F.concat(F.lit(t[key][0]), fixed(value, digits), F.lit(t[key][1]))
+
+    s2 = F.when(m >= 5.0, sentence("margin_ok", m, 2)).when(m >= 2.5, sentence("margin_mid", m, 2)) \
+        .otherwise(sentence("margin_low", m, 2))
     wd = F.col("top_10_pct_ggr_share")
-    s3 = F.when(wd >= 70, F.format_string("HIGH WHALE RISK: Top 10%% of players account for %.1f%% of GGR - extreme concentration.", wd)) \
-        .when(wd >= 50, F.format_string("Whale dependency is elevated at %.1f%% - revenue is moderately concentrated in top players.", wd)) \
-        .otherwise(F.format_string("Revenue is well-diversified with top 10%% accounting for %.1f%% of GGR.", wd))
+    s3 = F.when(wd >= 70, sentence("whale_high", wd, 1)).when(wd >= 50, sentence("whale_mid", wd, 1)) \
+        .otherwise(sentence("whale_low", wd, 1))
     return x.select("brand", "month", F.concat_ws("\n\n", s1, s2, s3).alias("narrative"))
 
 

@@ -459,3 +459,41 @@ k AS (SELECT ts.*, {qcols} FROM ts JOIN latest USING (brand, month)
 F23 = _f23()
 
 ORACLES.update({"f9_ytd": F9, "f10_eoy_projections": F10, "f23_comparative_table": F23})
+
+
+def _f21() -> str:
+    t = FIN.NARRATIVE
+
+    def q(v):
+        return "'" + v.replace("'", "''") + "'"
+
+    def fixed(x, d):
+        return f"CAST(CAST(ROUND(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38,10)), {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
+
+    def grouped(x):
+        return f"format('{{:,}}', CAST(ROUND(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38,10)), 0) AS BIGINT))"
+
+    mom = "COALESCE(ggr_mom_pct, CAST(0 AS DOUBLE))"
+    delta = "COALESCE(CAST(ggr_mom_delta AS DOUBLE), CAST(0 AS DOUBLE))"
+    signed = (f"CASE WHEN ROUND(CAST({delta} AS DECIMAL(38,10)), 0) >= 0 THEN '+' ELSE '' END || {grouped(delta)}")
+    s1 = (f"CASE WHEN {mom} >= 0 THEN {q(t['grew'][0])} || {fixed(mom, 1)} || {q(t['grew'][1])} || {signed} || {q(t['grew'][2])} "
+          f"ELSE {q(t['declined'][0])} || {fixed(mom, 1)} || {q(t['declined'][1])} || {grouped(delta)} || {q(t['declined'][2])} END")
+
+    def sent(k, v, d):
+        return f"{q(t[k][0])} || {fixed(v, d)} || {q(t[k][1])}"
+
+    s2 = (f"CASE WHEN margin >= 5.0 THEN {sent('margin_ok', 'margin', 2)} WHEN margin >= 2.5 THEN {sent('margin_mid', 'margin', 2)} "
+          f"ELSE {sent('margin_low', 'margin', 2)} END")
+    w = "top_10_pct_ggr_share"
+    s3 = (f"CASE WHEN {w} >= 70 THEN {sent('whale_high', w, 1)} WHEN {w} >= 50 THEN {sent('whale_mid', w, 1)} "
+          f"ELSE {sent('whale_low', w, 1)} END")
+    return with_player_activity(f""", {summary_ctes(True)}, {_TS_SRC}, {_ts_sql('tsrc', 'brand')},
+latest AS (SELECT brand, MAX(month) AS month FROM full_summary WHERE total_players > 0 GROUP BY brand),
+l AS (SELECT s.brand, s.month, {pct('s.ggr', 's.total_handle')} AS margin, s.top_10_pct_ggr_share
+      FROM full_summary s JOIN latest USING (brand, month)),
+x AS (SELECT l.*, ts.ggr_mom_pct, ts.ggr_mom_delta FROM l LEFT JOIN ts USING (brand, month))
+SELECT brand, month, concat_ws(chr(10) || chr(10), {s1}, {s2}, {s3}) AS narrative FROM x""")
+
+
+F21 = _f21()
+ORACLES["f21_diagnostic_narrative"] = F21
