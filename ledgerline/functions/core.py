@@ -64,6 +64,12 @@ def safe_div(num, den) -> Column:
     return F.coalesce(F.when(dbl(den) != 0, dbl(num) / dbl(den)), F.lit(0.0))
 
 
+def distinct_count(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Exact distinct count by default; HyperLogLog++ (``approx_count_distinct``,
+    one partial-aggregate shuffle, bounded memory) when ``approx`` is set."""
+    return (F.approx_count_distinct(col(c), rsd) if approx else F.countDistinct(col(c))).cast("bigint")
+
+
 def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 

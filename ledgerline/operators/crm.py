@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import MONEY, dbl, money_sum, month_index, safe_div, safe_pct
+from ..functions.core import MONEY, dbl, distinct_count, money_sum, month_index, safe_div, safe_pct
 from .ranking import rank_in_groups
 
 # Profile labels (output values of the recommendation rules).
@@ -316,7 +316,7 @@ def product_affinity(pa: DataFrame) -> DataFrame:
     return g.withColumn("avg_ngr_per_player", safe_div("total_ngr", "players"))
 
 
-def reactivation_velocity(lines: DataFrame) -> DataFrame:
+def reactivation_velocity(lines: DataFrame, approx: bool = False) -> DataFrame:
     """Right-closed delay bins; out-of-range rows dropped; empty bins kept."""
     d = F.col("reactivation_days")
     label = None
@@ -324,7 +324,7 @@ def reactivation_velocity(lines: DataFrame) -> DataFrame:
         cond = (d > lo) if hi is None else ((d > lo) & (d <= hi))
         label = F.when(cond, name) if label is None else label.when(cond, name)
     x = lines.where(d.isNotNull()).withColumn("velocity", label).where(F.col("velocity").isNotNull())
-    g = x.groupBy("velocity").agg(F.countDistinct("id").alias("reactivated_players"),
+    g = x.groupBy("velocity").agg(distinct_count("id", approx).alias("reactivated_players"),
                                   money_sum("deposits").alias("total_deposits"),
                                   money_sum("ngr").alias("total_ngr"))
     spark = lines.sparkSession

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..functions.core import (MONEY, count_if, dbl, money_sum, month_from_index, month_index,
+from ..functions.core import (MONEY, count_if, dbl, distinct_count, money_sum, month_from_index, month_index,
                               quarter_label, rev_share, safe_div, safe_pct)
 from .ranking import materialize, rank_in_groups
 
@@ -376,19 +376,19 @@ def segmentation(pa: DataFrame) -> DataFrame:
             .agg(F.count("id").alias("total_players"), money_sum("revenue").alias("ggr")))
 
 
-def program_summary(pa: DataFrame) -> DataFrame:
+def program_summary(pa: DataFrame, approx: bool = False) -> DataFrame:
     """(brand, month, program) → GGR, turnover, distinct players, margin."""
     g = (_keyed(pa, ["brand", "report_month", "wb_tag"])
          .groupBy("brand", F.col("report_month").alias("month"), F.col("wb_tag").alias("program"))
          .agg(money_sum("revenue").alias("ggr"), money_sum("bet").alias("turnover"),
-              F.countDistinct("id").alias("total_players")))
+              distinct_count("id", approx).alias("total_players")))
     return g.withColumn("margin", safe_pct("ggr", "turnover"))
 
 
-def geographic_summary(pa: DataFrame) -> DataFrame:
+def geographic_summary(pa: DataFrame, approx: bool = False) -> DataFrame:
     """by country; ``Global`` relabelled ``Unknown`` after grouping."""
     g = (_keyed(pa, ["country"]).groupBy("country")
-         .agg(F.countDistinct("id").alias("total_players"), money_sum("bet").alias("turnover"),
+         .agg(distinct_count("id", approx).alias("total_players"), money_sum("bet").alias("turnover"),
               money_sum("revenue").alias("ggr"), money_sum("ngr").alias("ngr"),
               money_sum("deposits").alias("deposits")))
     return (g.withColumn("country", F.when(F.col("country") == "Global", F.lit("Unknown"))
@@ -396,12 +396,12 @@ def geographic_summary(pa: DataFrame) -> DataFrame:
             .withColumn("margin", safe_pct("ggr", "turnover")))
 
 
-def segment_roi(pa: DataFrame) -> DataFrame:
+def segment_roi(pa: DataFrame, approx: bool = False) -> DataFrame:
     """by segment (fallback wb_tag): players, turnover, GGR, NGR, bonus,
     NGR per player, margin, 15 % of NGR and the actual earning."""
     seg = F.coalesce(F.col("segment"), F.col("wb_tag")) if "segment" in pa.columns else F.col("wb_tag")
     g = (pa.withColumn("_seg", seg).where(F.col("_seg").isNotNull()).groupBy(F.col("_seg").alias("segment"))
-         .agg(F.countDistinct("id").alias("total_players"), money_sum("bet").alias("total_turnover"),
+         .agg(distinct_count("id", approx).alias("total_players"), money_sum("bet").alias("total_turnover"),
               money_sum("revenue").alias("total_ggr"), money_sum("ngr").alias("total_ngr"),
               money_sum("bonus_total").alias("total_bonus")))
     return (g.withColumn("avg_ngr_per_player", safe_div("total_ngr", "total_players"))

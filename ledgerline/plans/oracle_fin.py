@@ -497,3 +497,8 @@ SELECT brand, month, concat_ws(chr(10) || chr(10), {s1}, {s2}, {s3}) AS narrativ
 
 F21 = _f21()
 ORACLES["f21_diagnostic_narrative"] = F21
+
+F17B = with_player_activity(f""", {summary_ctes(True)}
+SELECT brand, month, CAST(ggr_casino AS DOUBLE) AS ggr_casino, CAST(ggr_sports AS DOUBLE) AS ggr_sports,
+  CAST(ngr_casino AS DOUBLE) AS ngr_casino, CAST(ngr_sports AS DOUBLE) AS ngr_sports FROM full_summary""")
+ORACLES["f17b_vertical_split"] = F17B

@@ -56,6 +56,7 @@ FIN_QUERIES: dict[str, QueryFn] = {
     "f14_geographic_summary": lambda s, d: as_report(FIN.geographic_summary(_pa(s, d))),
     "f15_segment_roi": lambda s, d: as_report(FIN.segment_roi(_pa(s, d))),
     "f17_gross_to_net_bridge": lambda s, d: as_report(FIN.gross_to_net_bridge(_summary(s, d))),
+    "f17b_vertical_split": lambda s, d: as_report(FIN.vertical_split(_summary(s, d))),
     "f18_executive_matrix": lambda s, d: as_report(FIN.executive_matrix(_summary(s, d))),
     "f19_demographics_matrix": lambda s, d: as_report(FIN.demographics_matrix(_summary(s, d))),
     "f20_revenue_composition": lambda s, d: as_report(FIN.revenue_composition(_summary(s, d))),

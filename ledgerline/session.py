@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet scans: 128 MB splits keep tasks spill-free on typical executors.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),

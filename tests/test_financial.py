@@ -117,3 +117,11 @@ def test_cohort_rule_matches_brute_force(spark):
         got = {(r.brand, r.month): (r.new_players, r.returning_players, r.reactivated_players)
                for r in FIN.cohort_counts(pa).collect()}
         assert got == _brute_force_cohorts(rows)
+
+
+def test_approx_distinct_option(spark):
+    pa = TD.player_activity(spark, SF_SMALL)
+    exact = {r.country: r.total_players for r in FIN.geographic_summary(pa).collect()}
+    approx = {r.country: r.total_players for r in FIN.geographic_summary(pa, approx=True).collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
