@@ -87,3 +87,9 @@ SELECT campaign_name, ops_client, ops_brand, ops_date, records, calls, conversio
 FROM ops_daily""")
 
 ORACLES.update({"s1_financial_files": S1, "s4_ops_files": S4})
+
+S2 = f"""WITH {PLAYER_ACTIVITY}
+SELECT brand, report_month, CAST(COUNT(*) AS BIGINT) AS rows FROM player_activity
+WHERE (brand, report_month) NOT IN (SELECT DISTINCT brand, report_month FROM player_activity WHERE report_month < '2025-01')
+GROUP BY brand, report_month"""
+ORACLES["s2_duplicate_policy"] = S2

@@ -266,7 +266,20 @@ def _s4_ops_files(spark, sf_dir):
                                    "extracted_engagement", "country", "campaign_data_age_days"))
 
 
+def _s2_duplicate_policy(spark, sf_dir):
+    """A re-delivery of every month against a registry that
+    already holds 2024: without overwrite, the registered (brand, month) rows
+    are rejected; what is accepted is counted per brand and month."""
+    from .. import sinks
+    from ..sources import files as FL
+    pa = _pa(spark, sf_dir)
+    registry = sinks.registry_table(pa.where(F.col("report_month") < "2025-01"))
+    accepted = FL.apply_duplicate_policy(pa, registry, allow_overwrite=False)
+    return accepted.groupBy("brand", "report_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
 STREAM_QUERIES: dict[str, QueryFn] = {
+    "s2_duplicate_policy": _s2_duplicate_policy,
     "s1_financial_files": _s1_financial_files,
     "s4_ops_files": _s4_ops_files,
     "r1_stream_ops_ingest": _r1_stream_ingest,

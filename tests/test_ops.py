@@ -82,3 +82,13 @@ def test_latest_snapshot_per_key(spark):
         "campaign_name string, ops_date date, records long, snapshot_timestamp timestamp")
     got = {r.campaign_name: r.records for r in O.latest_snapshots(snaps).collect()}
     assert got == {"c1": 12, "c2": 5}
+
+
+def test_strict_gap_check(spark):
+    from conftest import pa_frame
+    import pytest
+    pa = pa_frame(spark, [("a", "X", "2025-01", 1.0), ("a", "X", "2025-03", 1.0), ("b", "Y", "2025-02", 1.0)])
+    gaps = sorted((r.brand, r.report_month) for r in Q.registry_gaps(pa).collect())
+    assert gaps == [("X", "2025-02"), ("Y", "2025-01"), ("Y", "2025-03")]
+    with pytest.raises(ValueError):
+        Q.assert_no_gaps(pa)
