@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import campaign as C
-from ..functions.core import (MONEY, count_if, dbl, half_label, last_thursday, safe_div, safe_pct,
+from ..functions.core import (MONEY, dbl, half_label, last_thursday,
                               week_start_friday)
 
 PULSE_WINDOWS = [7, 14, 30, 90]
@@ -657,5 +657,3 @@ def campaign_monthly_counts(cm: DataFrame) -> DataFrame:
     return cm.groupBy("brand", "report_month").agg(F.count(F.lit(1)).alias("rows"),
                                                    F.sum("records").cast("bigint").alias("records"))
 
-
-__all__ = ["count_if", "safe_div", "safe_pct"]

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from ..operators import financial as FIN
-from ..sources import testdata as T
-from .sqlkit import (count_if, dbl, div, month_from_index, month_index, msum, pct, rev_share,
+from .sqlkit import (count_if, div, month_from_index, month_index, msum, pct, rev_share,
                      with_player_activity)
 
 MONEY = "DECIMAL(18,2)"

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from ..functions import campaign as C
 from ..operators import ops as O
-from ..sources.dims import CLIENT_MAPPING
-from .sqlkit import SLA_TABLE, count_if, month_index, values_list, with_ops, with_player_activity
+from .sqlkit import SLA_TABLE, month_index, with_ops, with_player_activity
 
 MONEY = "DECIMAL(18,2)"
 REF = "(SELECT MAX(ops_date) FROM ops_daily)"
@@ -758,7 +757,6 @@ ORACLES = {
     "p8_search_page": P8,
 }
 
-_ = (count_if, values_list, CLIENT_MAPPING)
 
 # ---------------------------------------------------------------------------
 # Views added after the first block
