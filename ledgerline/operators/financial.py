@@ -118,7 +118,8 @@ def whale_shares(pa: DataFrame) -> DataFrame:
     ranked = rank_in_groups(prof, keys, [F.col("revenue").desc(), F.col("id").asc(), F.col("_row").asc()])
     top_n = F.greatest(F.lit(1), F.floor(F.col("_group_n") / 10))
     top = ranked.where(F.col("_rank") <= top_n).groupBy(*keys).agg(F.sum("revenue").alias("_top"))
-    out = totals.join(top, keys, "left")
+    # Both sides have one row per (level, brand, month): bounded by brands × months.
+    out = totals.join(F.broadcast(top), keys, "left")
     share = F.when(F.col("_ggr") != 0,
                    dbl(F.coalesce("_top", F.lit(0))) / dbl("_ggr") * F.lit(100.0)).otherwise(F.lit(0.0))
     return out.select("_level", F.col("_entity").alias("brand"), "month", share.alias("top_10_pct_ggr_share"))
@@ -188,7 +189,7 @@ def pad_months(df: DataFrame, entity: str = "brand", month: str = "month",
     ents = ents.withColumn("_ghi", month_index(hi) if hi is not None else F.max("_hi").over(allw))
     spine = ents.select(entity, F.explode(F.sequence("_glo", "_ghi")).alias("_mi")) \
         .select(entity, month_from_index("_mi").alias(month))
-    padded = spine.join(df, [entity, month], "left")
+    padded = spine.join(F.broadcast(df), [entity, month], "left")  # entity × month rows: bounded
     fills = {}
     for f in df.schema.fields:
         if f.name in (entity, month):
@@ -214,8 +215,10 @@ def monthly_brand_summary(pa: DataFrame, force_start: str | None = None,
     """F1 ⟕ F2 ⟕ F3, padded (F4), + Combined (F6); SUMMARY_COLS order."""
     whales = whale_shares(pa)
     brand_whales = whales.where(F.col("_level") == 0).drop("_level")
-    fin = monthly_financials(pa).join(brand_whales, ["brand", "month"], "left")
-    summ = fin.join(cohort_counts(pa), ["brand", "month"], "left")
+    # F1, F2 and F3 each have one row per (brand, month) — bounded by registered
+    # brands × calendar months — so they are combined with broadcast joins.
+    fin = monthly_financials(pa).join(F.broadcast(brand_whales), ["brand", "month"], "left")
+    summ = fin.join(F.broadcast(cohort_counts(pa)), ["brand", "month"], "left")
     summ = pad_months(summ, "brand", "month", force_start, force_end)
     summ = _derive_summary_ratios(summ).withColumn("revenue_share_deduction", rev_share("ggr"))
     summ = summ.select(*SUMMARY_COLS)
@@ -238,7 +241,7 @@ def combined_summary(brand_summary: DataFrame, pa: DataFrame, combined_whales: D
     comb = real.groupBy("month").agg(*sums).withColumn("brand", F.lit(COMBINED))
     comb = _derive_summary_ratios(comb)
     cw = combined_whales if combined_whales is not None else whale_share(pa, by_brand=False)
-    comb = comb.join(cw, "month", "left") \
+    comb = comb.join(F.broadcast(cw), "month", "left") \
         .withColumn("top_10_pct_ggr_share", F.coalesce("top_10_pct_ggr_share", F.lit(0.0)))
     return comb.select(*SUMMARY_COLS)
 
