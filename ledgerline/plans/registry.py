@@ -239,15 +239,12 @@ def _events(spark, sf_dir):
 
 def _s1_financial_files(spark, sf_dir):
     """The monthly fact exported as detailed-format files
-    (``brand_yyyy_mm.csv``), re-read brand folder by brand folder and summed."""
+    (``brand/brand_yyyy_mm.csv``), re-read in one pass and summed."""
     from ..sources import files as FL
     root = _scratch(spark, "s1")
     by_brand = FL.export_detailed(_pa(spark, sf_dir), root)
-    mapping = dims.client_mapping(spark)
-    parts = [FL.load_financial_files(spark, paths, mapping, "detailed", key) for key, paths in sorted(by_brand.items())]
-    loaded = parts[0]
-    for p in parts[1:]:
-        loaded = loaded.unionByName(p)
+    paths = sorted(p for ps in by_brand.values() for p in ps)
+    loaded = FL.load_financial_directory(spark, paths, dims.client_mapping(spark), "detailed")
     return as_report(loaded.groupBy("brand", "report_month").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr"),
         F.sum("bet").cast("decimal(18,2)").alias("turnover"), F.sum("bonus_total").cast("decimal(18,2)").alias("bonus"),

@@ -203,6 +203,7 @@ def adapt_detailed(raw: DataFrame, target_brand: Column | str, target_client: Co
         sel.append(F.col(f"`{seg_col}`").alias("wb_tag"))
     sel.append((F.col(f"`{bonus_col}`") if bonus_col else F.lit(None)).alias("bonus_total"))
     sel += [F.col("_file"), F.col("report_month")] if "report_month" in raw.columns else [F.col("_file")]
+    sel += [F.col(c) for c in ("_tb", "_tc") if c in raw.columns]  # per-file targets (directory loads)
     x = raw.select(*sel)
     tb = F.lit(target_brand) if isinstance(target_brand, str) else target_brand
     tc = F.lit(target_client) if isinstance(target_client, str) else target_client
@@ -317,6 +318,28 @@ def load_financial_files(spark: SparkSession, files: list[str], mapping: DataFra
     return adapter(raw, brand, client)
 
 
+def load_financial_directory(spark: SparkSession, files: list[str], mapping: DataFrame,
+                             fmt: str = "detailed") -> DataFrame | None:
+    """S1 for many brand folders of one format in a single read: each file's
+    brand key and month come from its name (S8); client and target brand are
+    resolved per file by a broadcast join to the registry (T7), so no
+    per-brand driver loop or lookup is needed."""
+    adapter = ADAPTERS.get(fmt)
+    if adapter is None:
+        return None
+    raw = read_csv_any_encoding(spark, files)
+    key, month = brand_month_from_filename(F.col("_file"))
+    raw = raw.withColumn("report_month", month).withColumn("_key", F.lower(F.trim(key)))
+    lk, _, _ = resolve_client(mapping, F.col("_key"))
+    raw = raw.join(lk.select(F.col("_k").alias("_key"), F.col("client_name").alias("_client"),
+                             F.col("brand_name").alias("_brand")), "_key", "left")
+    raw = (raw.withColumn("_tb", F.coalesce(F.col("_brand"), F.initcap(F.col("_key"))))
+           .withColumn("_tc", F.coalesce(F.col("_client"), F.lit("UNKNOWN"))))
+    if fmt != "detailed":
+        raise ValueError("directory loads with per-file targets are implemented for the detailed format")
+    return adapter(raw, F.col("_tb"), F.col("_tc"))
+
+
 # ---------------------------------------------------------------------------
 # S2 duplicate policy, S3 campaign files, S4–S6 operations files
 # ---------------------------------------------------------------------------
