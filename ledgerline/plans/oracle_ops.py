@@ -801,3 +801,12 @@ ORACLES.update({
     "c18_brand_merge": C18,
     "c19_reparse_unknown": C19,
 })
+
+# S3: the same campaign summary after the file round trip; brand keys are the
+# brand's letters and the loader title-cases the brand (initcap(trim(brand))).
+_INITCAP = "array_to_string(list_transform(string_split(lower(trim(ops_brand)), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ')"
+S3 = F16.replace("cm AS (SELECT ops_brand AS brand,", f"cm AS (SELECT {_INITCAP} AS brand,").replace(
+    "FROM ops_daily GROUP BY 1, 2, 3),",
+    "FROM ops_daily WHERE regexp_replace(ops_brand, '[^A-Za-z]', '', 'g') <> '' GROUP BY 1, 2, 3),")
+assert S3 != F16
+ORACLES["s3_campaign_files"] = S3

@@ -251,6 +251,16 @@ def _s1_financial_files(spark, sf_dir):
         F.sum("deposit_count").cast("bigint").alias("deposit_count")))
 
 
+def _s3_campaign_files(spark, sf_dir):
+    """S3 + F16: the monthly campaign rows exported as ``brand_yyyy_mm.csv``
+    files, re-read (header aliasing, int coercion, title-cased brand, month from
+    the file name) and summarized."""
+    from ..sources import files as FL
+    root = _scratch(spark, "s3")
+    paths = FL.export_campaign_monthly(TD.campaign_monthly(spark, sf_dir), root)
+    return as_report(FIN.campaign_summary(FL.load_campaign_files(spark, paths)))
+
+
 def _s4_ops_files(spark, sf_dir):
     """The operations fact exported as monthly raw files
     with a Date column, re-loaded by the file loader."""
@@ -278,6 +288,7 @@ def _s2_duplicate_policy(spark, sf_dir):
 STREAM_QUERIES: dict[str, QueryFn] = {
     "s2_duplicate_policy": _s2_duplicate_policy,
     "s1_financial_files": _s1_financial_files,
+    "s3_campaign_files": _s3_campaign_files,
     "s4_ops_files": _s4_ops_files,
     "r1_stream_ops_ingest": _r1_stream_ingest,
     "r4_stream_event_pulse": _r4_event_pulse,

@@ -508,3 +508,14 @@ def export_ops(ops: DataFrame, root: str) -> list[str]:
     cols += [F.col(v).alias(k) for v, k in inv.items() if v in ops.columns]
     x = ops.select(*cols, F.date_format("ops_date", "yyyy_MM").alias("_m"))
     return export_named_csv(x, root, ["_m"], lambda m: f"ops_{m}.csv")
+
+
+def export_campaign_monthly(cm: DataFrame, root: str) -> list[str]:
+    """CampaignRecord rows → monthly campaign files ``<brand>_yyyy_mm.csv`` in
+    the raw campaign layout (brand key = the brand's letters, lower case)."""
+    inv = {v: k for k, v in CAMPAIGN_HEADERS.items()}
+    key = F.lower(F.regexp_replace("brand", "[^A-Za-z]", ""))
+    x = cm.select(*[F.col(v).cast("string").alias(inv[v]) for v in CAMPAIGN_HEADERS.values()],
+                  key.alias("_bk"), F.col("report_month").alias("_m"))
+    x = x.where(F.col("_bk") != "")
+    return export_named_csv(x, root, ["_bk", "_m"], lambda b, m: f"{b}_{m.replace('-', '_')}.csv")
