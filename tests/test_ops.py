@@ -92,3 +92,48 @@ def test_strict_gap_check(spark):
     assert gaps == [("X", "2025-02"), ("Y", "2025-01"), ("Y", "2025-03")]
     with pytest.raises(ValueError):
         Q.assert_no_gaps(pa)
+
+
+def _ops_rows(spark, rows):
+    """(client, lifecycle, engagement, ops_date, records, conversions, logins) → ops-shaped frame."""
+    from ledgerline.functions.core import MONEY
+    cols = ["d_plus", "d_minus", "d_neutral", "na", "t", "dnc", "dx", "wn", "am", "es", "ed", "eo", "ec", "ef",
+            "sd", "sf", "sp", "calls"]
+    df = spark.createDataFrame(rows, "ops_client string, extracted_lifecycle string, extracted_engagement string, "
+                                     "ops_date date, records long, conversions long, kpi2_logins long")
+    for c in cols:
+        df = df.withColumn(c, F.lit(0).cast("bigint"))
+    return (df.withColumn("total_cost", F.lit(0).cast(MONEY))
+            .withColumn("campaign_name", F.concat_ws("-", "ops_client", "extracted_lifecycle", F.col("ops_date").cast("string"))))
+
+
+def test_half_over_half_scaling_truncates(spark):
+    rows = [("C", "WB", "NLI", dt.date(2025, 1, 1) + dt.timedelta(days=i), 10, 1, 2) for i in range(3)]      # H1: 3 days
+    rows += [("C", "WB", "NLI", dt.date(2025, 7, 1) + dt.timedelta(days=i), 7, 1, 1) for i in range(2)]      # H2: 2 days
+    got = {r.metric: r for r in O.half_over_half(_ops_rows(spark, rows)).collect()}
+    rec = got["Records"]
+    assert rec.current_half == "H2 2025" and rec.prior_half == "H1 2025"
+    assert rec.current == 14.0 and rec.prior == 20.0            # int(30 × 2/3) = 20
+    assert abs(rec.change - (14 - 20) / 20 * 100) < 1e-9 and rec.change_unit == "pct"
+
+
+def test_volume_90d_bulk_note_and_total(spark):
+    end = dt.date(2025, 4, 30)
+    rows = [("A", "WB", "NLI", end - dt.timedelta(days=i), 9, 0, 0) for i in range(90)] + [("A", "WB", "NLI", end, 1, 0, 0)]
+    rows += [("B", "RND", "NLI", end - dt.timedelta(days=i), 1, 0, 0) for i in range(1, 10)]
+    got = {r.client: r for r in O.volume_90d(_ops_rows(spark, rows)).collect()}
+    assert got["A"].avg_90d == 811 / 90 and got["A"].latest_day == 10.0 and got["A"].note == ""
+    assert got["B"].latest_day == 0.0 and got["B"].note == "Bulk campaigns"     # −100 %
+    assert got["Total"].avg_90d == (811 + 9) / 90
+
+
+def test_sla_breach_and_pacing(spark):
+    sla = spark.createDataFrame([("C", "WB", 300), ("C", "RND", 30)],
+                                "client_name string, lifecycle string, monthly_minimum_records int")
+    rows = [("C", "WB", "NLI", dt.date(2025, 3, d), 5, 0, 0) for d in range(1, 11)]           # 10 days, 50 records
+    rows += [("C", "RND", "NLI", dt.date(2025, 3, d), 2, 0, 0) for d in range(1, 11)]         # 20 records
+    br = {r.lifecycle: r for r in O.sla_breaches(_ops_rows(spark, rows), sla).collect()}
+    assert br["WB"].pro_rated_target == 100.0 and br["WB"].breach            # 300 / 30 × 10
+    assert br["RND"].pro_rated_target == 10.0 and not br["RND"].breach
+    pace = O.sla_pacing(_ops_rows(spark, rows), sla).collect()[0]
+    assert pace.mtd_records == 70 and abs(pace.pacing - 70 / (330 / 30 * 10)) < 1e-12 and pace.status == "under"
