@@ -8,7 +8,8 @@ log, re-pulls a 14-day tail and keeps the daily pulse current.  Here:
 * R2/R3 ``ops_sink_batch``: one ``foreachBatch`` appends the snapshot log,
       routes rows older than the 14-day late-data horizon to a late-rows table
       and replaces only the touched ``ops_month`` partitions of the live table.
-* R4  ``pulse_stream``: event-time windows with a watermark, update mode.
+* R4  ``pulse_stream``: event-time windows with a watermark (day labels are
+      UTC days, independent of the session time zone).
 * R8  every query has a checkpoint; ``run_available`` uses
       ``Trigger.AvailableNow`` so a restart processes only new files.
 """
@@ -116,8 +117,10 @@ def pulse_stream(events: DataFrame, ts: str = "event_ts", key: str = "engagement
     """Daily pulse kept current with event-time windows and a watermark."""
     g = events.withWatermark(ts, watermark).groupBy(F.window(ts, "1 day").alias("day"), key)
     out = g.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(f"total_{c}") for c in value_cols])
-    return out.select(F.to_date(F.col("day.start")).alias("day"), key, "rows",
-                      *[f"total_{c}" for c in value_cols])
+    # Day windows align to UTC days; label them with the UTC epoch day so the
+    # result does not depend on the session time zone.
+    day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("day.start")) / F.lit(86400000000)).cast("int"))
+    return out.select(day.alias("day"), key, "rows", *[f"total_{c}" for c in value_cols])
 
 
 def run_available(query) -> None:
@@ -132,8 +135,10 @@ def event_pulse_stream(spark: SparkSession, events_path: str) -> DataFrame:
     folder, name = os.path.split(events_path.rstrip("/"))
     reader = spark.readStream.schema(schema)
     ev = reader.option("pathGlobFilter", name).parquet(folder) if name.endswith(".parquet") else reader.parquet(events_path)
-    # Watermarks need TIMESTAMP; the feed's wall-clock times are UTC (session time zone).
-    ev = ev.withColumn("event_ts", F.col("ts").cast("timestamp")).withColumnRenamed("event_type", "engagement")
+    # Watermarks need TIMESTAMP; the feed's zone-less wall-clock times are read
+    # as UTC instants whatever the session time zone is.
+    ev = ev.withColumn("event_ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())) \
+        .withColumnRenamed("event_type", "engagement")
     return pulse_stream(ev, value_cols=("value",))
 
 
