@@ -280,8 +280,11 @@ def snapshots_of(base: DataFrame) -> DataFrame:
     lag = versions - F.col("_v")
     return (snaps
             .withColumn("records", (F.col("records") - lag).cast("bigint"))
+            # Zone-less delivery time (the day after, 00:00 / 06:00 / 12:00), like the feed's own timestamps.
             .withColumn("snapshot_timestamp",
-                        F.to_timestamp(F.date_add("ops_date", 1)) + F.make_interval(hours=F.col("_v") * 6))
+                        F.make_timestamp_ntz(F.year(F.date_add("ops_date", 1)), F.month(F.date_add("ops_date", 1)),
+                                             F.dayofmonth(F.date_add("ops_date", 1)), F.col("_v") * 6,
+                                             F.lit(0), F.lit(0)))
             .drop("_v"))
 
 
