@@ -6,8 +6,9 @@ mean of its rows, a linear layer with softmax gives the languages.  Both layers
 trained together by stochastic gradient descent in numpy on the driver, over feature
 counts that the executors compute for a bounded, labelled sample (at most
 ``per_language`` texts of each language in expectation, chosen by a hash of id and
-text).  A fifth of the sample is kept out of training: it sets the softmax
-temperature and the rejection threshold, so that scores are calibrated.
+text).  A fifth of the sample is kept out of training, whole and thinned to a few
+subwords.  It sets the softmax temperature and how strongly short texts are drawn to no
+decision, so that scores are calibrated, and the threshold below which a text is rejected.
 
 Prediction folds both layers into one (buckets x languages) table, which is all that
 the executors get; its size does not depend on the data.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .words import LOWER, WHITE, text_buffer
 
-BUCKETS, DIMENSIONS, PER_LANGUAGE = 4096, 16, 1500
+BUCKETS, DIMENSIONS, PER_LANGUAGE = 8192, 16, 1500
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _ASCII_LETTER = np.zeros(256, bool)
@@ -36,22 +37,27 @@ _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 @dataclass
 class Model:
-    """``table`` @ counts / total + ``bias`` are the logits of ``languages``."""
+    """counts @ ``table`` / (total + ``prior``) / ``temperature`` are the logits of ``languages``."""
 
     languages: list[str]
     table: np.ndarray
-    bias: np.ndarray
+    prior: float
     temperature: float
     threshold: float
     trained_on: int
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Calibrated probabilities, a row for each row of feature counts."""
-        z = counts @ self.table / np.maximum(counts.sum(1, keepdims=True), 1) + self.bias
-        z /= self.temperature
-        z -= z.max(1, keepdims=True)
-        e = np.exp(z)
-        return e / e.sum(1, keepdims=True)
+        return _softmax(_logits(counts, self.table, self.prior) / self.temperature)
+
+
+def _logits(counts: np.ndarray, table: np.ndarray, prior: float) -> np.ndarray:
+    return counts @ table / (counts.sum(1, keepdims=True) + prior)
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
 
 
 def subword_counts(column: pa.Array, buckets: int) -> Iterator[np.ndarray]:
@@ -96,22 +102,15 @@ def has_letter(column: pa.Array) -> list[bool]:
     return out.tolist()
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(1, keepdims=True))
-    return e / e.sum(1, keepdims=True)
-
-
-def fit(rows: list[np.ndarray], labels: np.ndarray, languages: list[str], dimensions: int, epochs: int = 20,
-        rate: float = 8.0, batch: int = 64, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """(table, bias) by mini-batch gradient descent on (index, share) feature rows."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: int, buckets: int, dimensions: int,
+        epochs: int = 20, rate: float = 8.0, batch: int = 64, seed: int = 11) -> np.ndarray:
+    """The (buckets x languages) table of embeddings times softmax weights, by mini-batch
+    gradient descent on rows of (bucket indices, counts)."""
     rng = np.random.default_rng(seed)
-    buckets = BUCKETS if not rows else int(rows[0][2])
     table = rng.normal(0, 1 / dimensions, (buckets, dimensions)).astype(np.float32)
-    weight, bias = np.zeros((dimensions, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    weight += rng.normal(0, 0.1, weight.shape).astype(np.float32)
+    weight = rng.normal(0, 0.1, (dimensions, languages)).astype(np.float32)
     # each language weighs the same, whatever its share of the sample
-    share = np.bincount(labels, minlength=len(languages)).astype(np.float32)
-    balance = len(labels) / (len(languages) * np.maximum(share, 1))
+    balance = len(labels) / (languages * np.maximum(np.bincount(labels, minlength=languages), 1)).astype(np.float32)
     steps, done = epochs * -(-len(rows) // batch), 0
     for _ in range(epochs):
         order = rng.permutation(len(rows))
@@ -119,32 +118,47 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, languages: list[str], dimens
             chosen = order[at:at + batch]
             x = np.zeros((len(chosen), buckets), np.float32)
             for i, r in enumerate(chosen):
-                x[i, rows[r][0]] = rows[r][1]
+                x[i, rows[r][0]] = rows[r][1] / rows[r][1].sum()
             hidden = x @ table
-            error = _softmax(hidden @ weight + bias)
+            error = _softmax(hidden @ weight)
             error[np.arange(len(chosen)), labels[chosen]] -= 1
             error *= balance[labels[chosen]][:, None] / len(chosen)
             step = rate * (1 - done / steps)
             to_table = x.T @ (error @ weight.T)
             weight -= step * (hidden.T @ error)
-            bias -= 0.1 * step * error.sum(0)
             table -= step * to_table
             done += 1
-    return table @ weight, bias
+    return table @ weight
+
 
+def calibrate(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, table: np.ndarray, reject: float,
+              seed: int = 13) -> tuple[float, float, float]:
+    """(prior, temperature, threshold) from rows that did not train the table.
 
-def _calibrated(counts: np.ndarray, labels: np.ndarray, table: np.ndarray, bias: np.ndarray, reject: float) -> tuple[float, float]:
-    """(temperature, threshold): the temperature of least log loss on rows that did not train
-    the model; the threshold rejects the share ``reject`` of those, one in two of the languages'
-    chance level at least and never more than a half."""
+    Prior and temperature have the least log loss over the rows, whole and thinned to 3, 10 and
+    30 drawn subwords.  The threshold rejects at most the share ``reject`` of the whole rows that
+    are recognised rightly, and never a text that is more likely than not of its language."""
     if not len(labels):
-        return 1.0, 0.0
-    z = counts @ table / np.maximum(counts.sum(1, keepdims=True), 1) + bias
-    grid = np.geomspace(0.05, 20, 121)
-    loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(labels)), labels], 1e-12)).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(loss))])
-    best = _softmax(z / temperature).max(1)
-    return temperature, float(min(np.quantile(best, reject), 0.5))
+        return 1.0, 1.0, 0.0
+    rng = np.random.default_rng(seed)
+    sums, totals, truth = [], [], []
+    for size in (0, 3, 10, 30):
+        for (index, n), label in zip(rows, labels):
+            n = rng.multinomial(size, n / n.sum()) if size else n
+            sums.append(n @ table[index])
+            totals.append(n.sum())
+            truth.append(label)
+    sums, totals, truth = np.array(sums), np.array(totals)[:, None], np.array(truth)
+
+    def loss(prior: float, temperature: float) -> float:
+        p = _softmax(sums / (totals + prior) / temperature)
+        return float(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean())
+
+    prior, temperature = min(((c, t) for c in (0.5, 1, 2, 4, 8, 16, 32, 64) for t in np.geomspace(0.05, 20, 61)), key=lambda x: loss(*x))
+    p = _softmax(sums / (totals + prior) / temperature)[:len(labels)]
+    right = p.argmax(1) == labels
+    threshold = float(np.quantile(p.max(1)[right], reject)) if right.any() else 0.0
+    return float(prior), float(temperature), min(threshold, 0.5)
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
@@ -187,18 +201,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     names = taken.column("lang").to_pylist()
     languages = sorted(set(names))
     labels = np.array([languages.index(x) for x in names])
-    features = []
-    for i, n in zip(taken.column("i"), taken.column("n")):
-        n = n.values.to_numpy()
-        features.append((i.values.to_numpy(), n / n.sum(), buckets))
+    features = [(i.values.to_numpy(), n.values.to_numpy()) for i, n in zip(taken.column("i"), taken.column("n"))]
     aside = np.arange(len(labels)) % 5 == 4
-    learn = np.flatnonzero(~aside)
-    table, bias = fit([features[i] for i in learn], labels[learn], languages, dimensions)
-    held = np.zeros((int(aside.sum()), buckets), np.float32)
-    for row, i in enumerate(np.flatnonzero(aside)):
-        held[row, features[i][0]] = features[i][1]
-    temperature, threshold = _calibrated(held, labels[aside], table, bias, reject)
-    return Model(languages, table, bias, temperature, threshold, len(learn))
+    parts = {held: [features[i] for i in np.flatnonzero(aside == held)] for held in (False, True)}
+    table = fit(parts[False], labels[~aside], len(languages), buckets, dimensions)
+    return Model(languages, table, *calibrate(parts[True], labels[aside], table, reject), trained_on=len(parts[False]))
 
 
 def _predictions(model: Model | None, column: pa.Array) -> tuple[list, list, list]:

@@ -36,11 +36,11 @@ class Rule:
 
 RULES = (
     Rule("mean_word_chars", low=2.0, high=20.0),
-    Rule("symbol_ratio", high=0.5),
+    Rule("symbol_ratio", high=0.1),
     Rule("stop_words", low=1, words=100),
     Rule("bullet_line_ratio", high=0.9, words=50),
     Rule("ellipsis_line_ratio", high=0.3, words=50),
-    Rule("dup_line_ratio", high=0.3, words=50),
+    Rule("dup_line_ratio", high=0.5, words=50),
 )
 
 

@@ -57,14 +57,13 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     belongs to what follows, a line feed stands alone.  So a piece may begin at a blank
     before a solid character, at a line feed after or before one, and after that line feed."""
     cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
     if len(data):
-        solid = _SOLID[data[1:]]
-        cut[:-2] |= (data[:-1] == 0x20) & solid
+        same = ~cut[1:-1]  # byte i and the next one are of the same text
+        solid = _SOLID[data[1:]] & same
         feed = (data[:-1] == 0x0A) & solid
-        cut[:-2] |= feed
-        cut[1:-1] |= feed
-        cut[1:-1] |= (data[1:] == 0x0A) & _PRINT[data[:-1]]
-    cut[offsets] = True
+        cut[:-2] |= ((data[:-1] == 0x20) & solid) | feed
+        cut[1:-1] |= feed | ((data[1:] == 0x0A) & _PRINT[data[:-1]] & same)
     return np.flatnonzero(cut[:len(data)])
 
 
