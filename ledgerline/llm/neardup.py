@@ -5,15 +5,23 @@
    permutation), and an empty bin copies a filled one that it finds by its own
    random probe sequence (optimal densification).  ``ROWS`` bins make a band.
 2. Documents with the same shingle set are one class from here on.
-3. Classes that agree in a band share a bucket.  A bucket yields star edges from a
-   few centres to its members, never all pairs; how often a pair of classes can be
-   proposed is bounded by the number of bands.
-4. Pairs are confirmed on the full shingle sets.  Components of the confirmed
-   links let later rounds skip what is already connected: buckets whose members
-   are all in one component are done, the others get further, untested centres
-   (1, 2, 4, ... in expectation) until every pair of their members is connected
-   or tested.  So no link that shares a bucket is lost, and a bucket of copies
-   costs one star.
+3. Classes that agree in a band share a bucket.  Each bucket has one centre, the member
+   with the most company over all its buckets (the original rather than an edited copy),
+   and yields star edges from the centre to its members, never all pairs.
+4. Star edges are measured on the full shingle sets.  Members that miss the similarity to
+   their centre c could still be linked with each other or with members that reach it.  For
+   such a stray x and any member y of the same centre, with M(x) = c - x and N(x) = x - c,
+
+       |x - y| + |y - x| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|,   D = M + N,
+
+   so a link needs D(x) and D(y) to share t = (|D(x)| + |D(y)| - q (nx + ny)) / 2 shingles,
+   q = (1 - s) / (1 + s).  Either t <= min(|M(x)|, |M(y)|), which sizes alone decide and
+   which needs |y| < |c|, or x and y share a shingle that c does not have.  Those pairs, and
+   no others, are measured too (under one shared centre): found by an equi-join on (centre, shingle) over the shortest
+   prefixes of N that must meet, and by sizes; a parity bitmap of each set, whose
+   differing bits never outnumber the differing shingles, rules most of them out inside
+   the join.  So no link that shares a bucket is lost, and
+   edited copies of one text cost a star, not a square.
 
 With ``ROWS`` = 4 and ``BINS`` = 128 two sets of similarity s share no bucket with
 probability (1 - s**4)**32, which is 5e-8 at 0.8.
@@ -34,6 +42,8 @@ from .scratch import drop_written, fresh, written
 from .words import WHITE, gram_hashes, mix, word_hashes
 
 BINS, ROWS = 128, 4
+#: 64-bit words of the parity bitmap.
+PARITY = 8
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -130,7 +140,50 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k:
     return hashed.select("cls", "shingles").dropDuplicates(["cls"])
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the sorted x are in the sorted y."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(a, b) with the shingle sets of both."""
+    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+    return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
+
+
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each residue of the hashes: whether it occurs an odd number of times."""
+    odd = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Star edges measured: (a, b, na, nb, common, linked, fresh, bits) for a centre a and a member b;
+    ``fresh`` are the first shingles of b - a, in hash order, of which a linked stray must share
+    one, ``bits`` is b's parity bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for left, right in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
+                known = _common(y, x)
+                common = int(np.count_nonzero(known))
+                must = max(1, -(-percent * len(y) // 100) - common)
+                rows.append((len(x), len(y), common, 100 * common >= percent * (len(x) + len(y) - common),
+                             y[~known][:max(0, len(y) - common - must + 1)].view(np.int64), _parity(y)))
+            na, nb, common, linked, fresh_, bits = zip(*rows) if rows else ((),) * 6
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(na, pa.int64()), pa.array(nb, pa.int64()), pa.array(common, pa.int64()),
+                 pa.array(linked, pa.bool_()), pa.array(list(fresh_), pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64()))],
+                ["a", "b", "na", "nb", "common", "linked", "fresh", "bits"])
+
+    return _with_sets(pairs, sets).mapInArrow(
+        run, "a long, b long, na long, nb long, common long, linked boolean, fresh array<long>, bits array<long>")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs(a, b) with 100 * intersection >= percent * union on the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,34 +191,44 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for left, right in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
-                if len(x) > len(y):
-                    x, y = y, x
-                where = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int(np.count_nonzero(y[where] == x))
+                common = int(np.count_nonzero(_common(x, y)))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long")
-
-
-def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Star edges (a < b) between the centres and the members of their buckets whose
-    sizes allow the similarity and that are not connected yet.  A class proposed by
-    several buckets appears once."""
-    c = centres.selectExpr("key", "cls c_cls", "n c_n", "comp c_comp")
-    joined = members.join(c, "key").where(
-        (F.col("cls") != F.col("c_cls")) & (F.col("comp") != F.col("c_comp"))
-        & (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")))
-    return joined.select(F.least("cls", "c_cls").alias("a"), F.greatest("cls", "c_cls").alias("b")).distinct()
-
-
-def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long")
+
+
+def _stray_pairs(stars: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
+    """The pairs (a < b) of members of one centre that may be linked although one of them is
+    not linked with the centre, and that are not connected yet.
+
+    Every centre that two members share gives a necessary condition.  Members of the same hub,
+    their centre of most company, are paired under the hub alone."""
+    rows = _labelled(stars.withColumnRenamed("b", "cls"), comps).select(
+        F.col("a").alias("centre"), "cls", "comp", "hub", "linked", "fresh", F.col("nb").alias("n"),
+        (F.col("na") - F.col("common")).alias("m"), (F.col("nb") - F.col("common")).alias("f"),
+        *[F.col("bits")[i].alias(f"p{i}") for i in range(PARITY)])
+    names = [c for c in rows.columns if c not in ("centre", "linked")]
+    x = rows.where("not linked").selectExpr("centre", *[f"{c} x_{c}" for c in names])
+    y = rows.selectExpr("centre", *[f"{c} y_{c}" for c in names])
+    most = F.expr(f"{(100 - percent) / (100 + percent)!r}D * (x_n + y_n) + 1e-6D")  # shingles that linked sets may differ in
+    need = (F.expr("x_m + x_f + y_m + y_f") - most) / 2
+    alike = (F.expr(f"x_comp <> y_comp and (x_hub <> y_hub or x_hub = centre) and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
+             & (F.expr(" + ".join(f"bit_count(x_p{i} ^ y_p{i})" for i in range(PARITY))) <= most))
+    by_size = x.drop("x_fresh").join(y.drop("y_fresh").where("y_m > y_f"), "centre").where(
+        alike & (need <= F.least("x_m", "y_m")))
+    shared = x.select("*", F.explode("x_fresh").alias("shingle")).drop("x_fresh").join(
+        y.select("*", F.explode("y_fresh").alias("shingle")).drop("y_fresh"), ["centre", "shingle"]).where(
+        alike & (need <= F.least("x_m", "y_m") + F.least("x_f", "y_f")))
+    both = by_size.select("x_cls", "y_cls").union(shared.select("x_cls", "y_cls"))
+    return both.select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
+
+
+def _labelled(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their cls (itself where it has no link)."""
     if comps is None:
-        return members.withColumn("comp", F.col("cls"))
-    return (members.join(comps, F.col("cls") == F.col("node"), "left")
+        return rows.withColumn("comp", F.col("cls"))
+    return (rows.join(comps, F.col("cls") == F.col("node"), "left")
             .withColumn("comp", F.coalesce("comp", "cls")).drop("node"))
 
 
@@ -188,38 +251,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = written(signatures(docs, id_col, text_col, k, bins, rows), "signatures")
     out = sig.select("doc_id", "n", "cls", "cls2")
     classes = written(sig.where("n > 0").groupBy("cls", "cls2").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")).drop("cls2"), "classes")
-    in_band = classes.select("cls", "n", F.explode("bands").alias("key"))
-    shared = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("head")).where("size > 1")
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).drop("cls2"), "classes")
+    in_band = classes.select("cls", F.explode("bands").alias("key"))
+    shared = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(in_band.join(shared, "key"), "members")
-
-    wanted = classes.join(members.select("cls").distinct(), "cls").select("cls", F.col("rep").alias("doc_id"))
+    company = written(members.groupBy("cls").agg(F.sum("size").alias("company")), "company")
+    ranked = members.join(company, "cls").select("key", "cls", "company")
+    centres = ranked.groupBy("key").agg(F.max_by("cls", F.struct("company", "cls")).alias("centre"))
+    pairs = members.join(centres, "key").where("cls <> centre").select(F.col("centre").alias("a"), F.col("cls").alias("b")).distinct()
+    pairs = written(pairs, "pairs")
+
+    nodes = pairs.select("a").union(pairs.select("b")).distinct()
+    wanted = classes.join(nodes, F.col("cls") == F.col("a"), "left_semi").select("cls", F.col("rep").alias("doc_id"))
     sets = written(_sets_of(docs, wanted, id_col, text_col, k), "sets")
-
-    comps, links, tested, draw = None, None, None, 0
-    open_members = members
-    while True:
-        now = _labelled(open_members, comps)
-        if draw == 0:
-            centres = now.where("cls = head")
-        else:
-            # expected 2**draw centres; all members once that reaches the bucket's size
-            share = F.pmod(F.xxhash64("cls", "key", F.lit(draw)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-            centres = now.where(share * F.col("size") < F.lit(float(1 << draw)))
-        pairs = _pairs(now, centres, percent)
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = written(_confirm(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        if not found.isEmpty():
-            comps = components(links)
-        # buckets whose members all are connected are done, and so are those whose members all were centres
-        mixed = (_labelled(open_members.drop("comp"), comps).where(F.col("size") > F.lit(1 << draw if draw else 2))
-                 .groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"))
-        left = written(open_members.join(mixed, "key", "left_semi"), "open")
-        if left.isEmpty():
-            break
-        open_members, draw = left, draw + 1
+    stars = written(_stars(pairs, sets, percent), "stars")
+    links = stars.where("linked").select("a", "b")
+    comps = None if links.isEmpty() else components(links)
+    hubs = written(stars.select("a", "b").join(company, F.col("a") == F.col("cls")).groupBy("b").agg(
+        F.max_by("a", F.struct("company", "a")).alias("hub")), "hubs")
+    strays = written(_stray_pairs(stars.join(hubs, "b"), comps, percent), "stray-pairs")
+    more = written(_confirmed(strays, sets, percent), "links")
+    if not more.isEmpty():
+        comps = components(links.union(more))
 
     labels = _labelled(classes.select("cls", "rep"), comps)
     # a class's component, its smallest id, and ids that stand for several classes
