@@ -70,7 +70,7 @@ def campaign_parts(ops: DataFrame) -> DataFrame:
         "extracted_engagement", "extracted_product", "extracted_sublifecycle", "country",
         "extracted_language", "campaign_data_age_days",
         F.coalesce(C.data_age_days(t, "ops_date"), F.lit(-1)).alias("data_age_sink"),
-        C.data_age_from_range_suffix(raw_campaign(ops), "ops_date").alias("data_age_range_suffix"),
+        C.data_age_from_range_suffix("campaign_name", "ops_date").alias("data_age_range_suffix"),
         C.engagement_label("extracted_engagement").alias("engagement_label"),
         C.product_label("extracted_product").alias("product_label"))
 

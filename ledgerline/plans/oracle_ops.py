@@ -110,8 +110,8 @@ SELECT campaign_name, ops_date,
   extracted_lifecycle, extracted_segment, extracted_engagement, extracted_product, extracted_sublifecycle, country,
   extracted_language, CAST(campaign_data_age_days AS BIGINT) AS campaign_data_age_days,
   CAST(COALESCE(campaign_data_age_days, -1) AS BIGINT) AS data_age_sink,
-  CASE WHEN regexp_matches({RAW}, '(\\d{{4}}-\\d{{2}}-\\d{{2}})_\\d{{4}}-\\d{{2}}-\\d{{2}}$')
-       THEN CAST(date_diff('day', CAST(strptime(regexp_extract({RAW}, '(\\d{{4}}-\\d{{2}}-\\d{{2}})_\\d{{4}}-\\d{{2}}-\\d{{2}}$', 1), '%Y-%m-%d') AS DATE), ops_date) AS BIGINT)
+  CASE WHEN regexp_matches(campaign_name, '(\\d{{4}}-\\d{{2}}-\\d{{2}})_\\d{{4}}-\\d{{2}}-\\d{{2}}$')
+       THEN CAST(date_diff('day', CAST(strptime(regexp_extract(campaign_name, '(\\d{{4}}-\\d{{2}}-\\d{{2}})_\\d{{4}}-\\d{{2}}-\\d{{2}}$', 1), '%Y-%m-%d') AS DATE), ops_date) AS BIGINT)
   END AS data_age_range_suffix,
   COALESCE(CASE extracted_engagement {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.ENGAGEMENT_LABELS.items())} END,
            extracted_engagement) AS engagement_label,

@@ -214,8 +214,10 @@ def _r1_stream_ingest(spark, sf_dir):
     from ..streaming import ops_stream as S
     root = _scratch(spark, "r1")
     raw = TD.ops_raw_daily(spark, sf_dir).withColumn("_m", F.date_format("ops_date", "yyyy-MM"))
-    raw.repartition("_m").write.partitionBy("_m").parquet(f"{root}/incoming")
-    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk")
+    # several tasks a month, each day whole in one file
+    split = F.pmod(F.xxhash64("ops_date"), F.lit(2))
+    raw.repartition("_m", split).write.partitionBy("_m").parquet(f"{root}/incoming")
+    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk", max_files_per_trigger=32)
     S.run_available(q)
     live = spark.read.parquet(f"{root}/out/ops_live")
     return live.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "conversions",

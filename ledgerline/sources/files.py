@@ -10,8 +10,9 @@ splits the work by file.  Only file *listing* happens on the driver.
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import campaign as C
@@ -116,21 +117,38 @@ def read_csv_strings(spark: SparkSession, paths: list[str] | str, encoding: str
 
 
 def files_needing_latin1(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files holding bytes that are not valid UTF-8, found by one
-    distributed scan; those files are re-read as ISO-8859-1."""
+    """Files holding bytes that are not valid UTF-8."""
     t = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
     return t.where(~F.expr("is_valid_utf8(value)")).select("path").distinct()
 
 
+def file_layouts(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str, str], list[str]]:
+    """Files by (header line, encoding), on their full paths, from one distributed scan.
+
+    S10: a file with bytes that are not valid UTF-8 is ISO-8859-1.  S11: empty files have no
+    layout.  One row per file reaches the driver."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    found = lines.groupBy("path").agg(F.min_by("value", F.struct("block", "line")).alias("header"),
+                                      F.bool_and(F.expr("is_valid_utf8(value)")).alias("utf8")).collect()
+    out: dict[tuple[str, str], list[str]] = {}
+    for r in sorted(found, key=lambda r: r.path):
+        out.setdefault((r.header, "UTF-8" if r.utf8 else "ISO-8859-1"), []).append(unquote(r.path))
+    return out
+
+
 def read_csv_any_encoding(spark: SparkSession, paths: list[str], strip_quotes: bool = False) -> DataFrame:
-    """UTF-8 by default, ISO-8859-1 for the files that need it."""
-    bad = [r.path for r in files_needing_latin1(spark, paths).collect()]  # file names only (bounded by #files)
-    good = [p for p in paths if not any(b.endswith(p.split("/")[-1]) for b in bad)]
+    """Every file is read under its own header and encoding, and the parts are united
+    by column name.  ``_header`` holds the cleaned header of the row's file; without any line
+    in the files there are no rows and no other columns."""
     parts = []
-    if good:
-        parts.append(read_csv_strings(spark, good, "UTF-8", strip_quotes))
-    if bad:
-        parts.append(read_csv_strings(spark, bad, "ISO-8859-1", strip_quotes))
+    for (_, encoding), files in file_layouts(spark, paths).items():
+        part = read_csv_strings(spark, files, encoding, strip_quotes)
+        names = [c for c in part.columns if c != "_file"]
+        parts.append(part.withColumn("_header", F.array(*map(F.lit, names))))
+    if not parts:
+        return spark.createDataFrame([], "_file string, _header array<string>")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -196,12 +214,13 @@ def _finish(df: DataFrame) -> DataFrame:
 def adapt_detailed(raw: DataFrame, target_brand: Column | str, target_client: Column | str) -> DataFrame:
     """The 21-header layout + dynamic bonus-total/segment headers."""
     ren = {k: v for k, v in DETAILED_HEADERS.items() if k in raw.columns}
-    bonus_col = next((c for c in raw.columns if DETAILED_BONUS_TOTAL_MATCH in c), None)
+    # files of several layouts may name the column differently; each row has one of them
+    bonus_cols = [F.col(f"`{c}`") for c in raw.columns if DETAILED_BONUS_TOTAL_MATCH in c]
     seg_col = "Segment" if "Segment" in raw.columns else next((c for c in raw.columns if "segment" in c.lower()), None)
     sel = [F.col(f"`{k}`").alias(v) for k, v in ren.items() if v != "wb_tag"]
     if seg_col:
         sel.append(F.col(f"`{seg_col}`").alias("wb_tag"))
-    sel.append((F.col(f"`{bonus_col}`") if bonus_col else F.lit(None)).alias("bonus_total"))
+    sel.append((F.coalesce(*bonus_cols) if bonus_cols else F.lit(None)).alias("bonus_total"))
     sel += [F.col("_file"), F.col("report_month")] if "report_month" in raw.columns else [F.col("_file")]
     sel += [F.col(c) for c in ("_tb", "_tc") if c in raw.columns]  # per-file targets (directory loads)
     x = raw.select(*sel)
@@ -384,8 +403,8 @@ def load_ops_files(spark: SparkSession, paths: list[str], mapping: DataFrame) ->
     ops_date = F.coalesce(F.try_to_date(F.col("Date"), "yyyy-MM-dd"), fdate) if "Date" in raw.columns else fdate
     x = x.withColumn("ops_date", ops_date).where(F.col("ops_date").isNotNull())
     x = x.withColumn("campaign", F.coalesce(F.col("`Campaign Name`"), F.lit("UNKNOWN")).cast("string"))
-    # Ruling Q6: '# Records' is the fallback only when 'New Data' is absent from the file.
-    rec = F.col("`New Data`") if "New Data" in raw.columns else F.col("`# Records`")
+    # Ruling Q6: '# Records' is the fallback only when 'New Data' is absent from the row's file.
+    rec = F.when(F.array_contains("_header", "New Data"), F.col("`New Data`")).otherwise(F.col("`# Records`"))
     x = x.withColumn("records", rec.cast("bigint"))
     ints = [v for k, v in OPS_RENAMES.items() if not k.startswith("Cost") and k not in ("D Ratio", "LI%")]
     x = x.select("campaign", "ops_date", "records",
@@ -413,11 +432,10 @@ def load_ops_files(spark: SparkSession, paths: list[str], mapping: DataFrame) ->
 
 
 def upsert_latest(new: DataFrame, old: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Last write wins per key (union, then the newest version)."""
-    from pyspark.sql import Window
-    u = old.unionByName(new, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col(version).desc())
-    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Last write wins per key: the newest version, on equal versions the new row."""
+    u = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.col("_new").desc())
+    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_new")
 
 
 def merge_daily_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -432,10 +450,13 @@ def merge_daily_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
         head = lines.take(2)
         if len(head) < 2:
             continue  # S11: empty or header-only export
-        title, header = head[0].value, head[1].value
+        header = head[1].value
         names = [clean_header(h) for h in next(csv.reader([header]))]
         ddl = ", ".join(f"`{n}` STRING" for n in names)
-        body = lines.where((F.col("value") != title) & (F.col("value") != header))
+        # the first two lines of the file, wherever else their text occurs
+        line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        numbered = lines.select("value", F.col("_metadata.file_block_start").alias("_block"), line.alias("_line"))
+        body = numbered.where((F.col("_block") > 0) | (F.col("_line") >= 2))
         frames.append(body.select(F.from_csv("value", ddl).alias("r")).select("r.*"))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return merged.na.drop("all")
@@ -478,7 +499,8 @@ def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn) ->
         target = root.rstrip("/") + "/" + name_fn(*[parts[k] for k in key_cols])
         _, tp = _fs(spark, target)
         fs.mkdirs(tp.getParent())
-        fs.rename(path, tp)
+        if not fs.rename(path, tp):
+            raise OSError(f"cannot rename {path} to {target}")
         out.append(target)
     return sorted(out)
 

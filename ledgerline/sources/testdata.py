@@ -264,7 +264,7 @@ def finish_ops_rows(daily: DataFrame) -> DataFrame:
         F.when(F.col("records") > 0, F.col("kpi2_logins") / F.col("records")).otherwise(F.lit(0.0)).alias("li_pct"),
         "extracted_engagement", "extracted_lifecycle", "extracted_segment", "extracted_product",
         "extracted_language", "extracted_sublifecycle", "country", "campaign_data_age_days",
-        "tag",
+        "tag", *[c for c in ("delivery",) if c in parsed.columns],  # when and in which file it came (streams)
     )
 
 

@@ -36,8 +36,10 @@ RAW_OPS_SCHEMA = (
 
 def read_ops_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 8) -> DataFrame:
     """Raw daily operations rows (one file per delivery) as a stream."""
-    return (spark.readStream.schema(RAW_OPS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("recursiveFileLookup", "true").parquet(path))
+    raw = (spark.readStream.schema(RAW_OPS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+           .option("recursiveFileLookup", "true").parquet(path))
+    return raw.withColumn("delivery", F.struct(F.col("_metadata.file_modification_time").alias("at"),
+                                               F.col("_metadata.file_path").alias("file")))
 
 
 def parse_stream(raw: DataFrame) -> DataFrame:
@@ -45,65 +47,68 @@ def parse_stream(raw: DataFrame) -> DataFrame:
     return finish_ops_rows(raw)
 
 
-def _read_watermark(spark: SparkSession, state_path: str):
+def _watermark_before(spark: SparkSession, state_path: str, epoch_id: int):
+    """The newest day that batches before this one accepted (a replay sees the same)."""
     if not path_exists(spark, state_path):
         return None
-    row = spark.read.parquet(state_path).first()
-    return row[0] if row else None
+    return spark.read.parquet(state_path).where(F.col("batch_id") < epoch_id).agg(F.max("watermark")).first()[0]
 
 
 def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS,
                    state_path: str | None = None):
     """R2 + R3 as a ``foreachBatch`` function.
 
-    The late-data horizon trails the newest ``ops_date`` accepted by *earlier*
-    batches (the feed's watermark, kept in a one-row state table), so the first
-    batch has no late rows and a batch never marks its own rows late.  Only the
-    months a delivery touches are read (partition pruning on a literal list)
-    and rewritten (dynamic partition overwrite); the merge is keyed, so a
-    re-run batch gives the same live table, and snapshot rows carry the batch id.
+    A delivery holds whole days: the days in a batch replace those of the live table, so
+    campaigns that a re-delivery drops are gone.  Of several rows of one campaign and day in a
+    batch the last delivered one counts (on equal times the file of the later name).  Rows older
+    than the horizon, which trails the newest day that *earlier* batches accepted, go to the live
+    table like all others and, as an audit copy, to ``late_path``; so the live table does not
+    depend on the order in which files of different days arrive.
+
+    Every table is safe to replay: the live table is replaced by day, snapshots, late rows and
+    the watermark state by batch id.  Only the months a delivery touches are read and
+    rewritten (dynamic partition overwrite).
     """
     from pyspark import StorageLevel
     state = state_path or live_path.rstrip("/") + "_watermark"
 
+    def by_batch(df: DataFrame, epoch_id: int, path: str, *parts: str) -> None:
+        (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path))
+
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         b = batch.withColumn("ops_month", F.date_format("ops_date", "yyyy-MM")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            seen = _read_watermark(spark, state)
-            horizon = F.date_sub(F.lit(seen), horizon_days) if seen is not None else F.lit(None).cast("date")
-            # R2: the point-in-time log keeps every delivery (append-only).
-            (b.withColumn("snapshot_timestamp", F.current_timestamp()).withColumn("batch_id", F.lit(epoch_id))
-             .write.mode("append").partitionBy("ops_month").parquet(snapshot_path))
-            late = b.where(F.col("ops_date") < horizon)
-            on_time = b.where(horizon.isNull() | (F.col("ops_date") >= horizon))
-            late.write.mode("append").partitionBy("ops_month").parquet(late_path)
-            # Months in one delivery: bounded by the calendar.
-            months = [r[0] for r in on_time.select("ops_month").distinct().collect()]
-            if not months:
+            seen = _watermark_before(spark, state, epoch_id)
+            delivered = b.drop("delivery")
+            by_batch(delivered.withColumn("snapshot_timestamp", F.current_timestamp()), epoch_id, snapshot_path, "ops_month")
+            # Days in one delivery: bounded by the calendar.
+            days = [r[0] for r in b.select("ops_date").distinct().collect()]
+            if not days:
                 return
+            if seen is not None:
+                by_batch(delivered.where(F.col("ops_date") < F.date_sub(F.lit(seen), horizon_days)), epoch_id, late_path, "ops_month")
+            columns = delivered.columns
+            order = [*(["delivery"] if "delivery" in b.columns else []), F.xxhash64(*columns)]
+            accepted = b.groupBy("campaign_name").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r")).select("r.*")
             if path_exists(spark, live_path):
-                current = spark.read.parquet(live_path).where(F.col("ops_month").isin(months))
-                keep = current.join(on_time.select("campaign_name"), "campaign_name", "left_anti")
-                merged = keep.unionByName(on_time.select(*current.columns))
+                months = sorted({d.strftime("%Y-%m") for d in days})
+                current = spark.read.parquet(live_path).where(F.col("ops_month").isin(months) & ~F.col("ops_date").isin(days))
                 # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
-                merged = merged.checkpoint(eager=True)
-            else:
-                merged = on_time
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                accepted = current.unionByName(accepted.select(*current.columns)).checkpoint(eager=True)
+            (accepted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ops_month").parquet(live_path))
-            newest = on_time.agg(F.max("ops_date")).first()[0]
-            mark = max(d for d in (seen, newest) if d is not None)
-            spark.createDataFrame([(mark,)], "watermark date").write.mode("overwrite").parquet(state)
+            by_batch(spark.createDataFrame([(max(days),)], "watermark date"), epoch_id, state)
         finally:
             b.unpersist()
     return fn
 
 
 def start_ops_ingest(spark: SparkSession, source: str, out_root: str, checkpoint: str,
-                     available_now: bool = True):
+                     available_now: bool = True, max_files_per_trigger: int = 8):
     """R1–R3 end to end; returns the running query."""
-    stream = parse_stream(read_ops_stream(spark, source))
+    stream = parse_stream(read_ops_stream(spark, source, max_files_per_trigger))
     fn = ops_sink_batch(os.path.join(out_root, "ops_live"), os.path.join(out_root, "ops_snapshots"),
                         os.path.join(out_root, "ops_late"))
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)

@@ -158,3 +158,35 @@ def test_pretty_month_and_heal_date(spark):
     r = spark.createDataFrame([("2025-08", "2025_03_01")], "m string, d string").select(
         core.pretty_month("m").alias("p"), F.to_date(C.heal_ops_date("d")).alias("d")).first()
     assert r.p == "August 2025" and str(r.d) == "2025-03-01"
+
+
+def _write(path, text, encoding="utf-8"):
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding=encoding) as f:
+        f.write(text)
+    return path
+
+
+def test_files_of_mixed_headers_encodings_and_equal_names(spark, tmpdir_path):
+    from ledgerline.sources.files import read_csv_any_encoding
+    files = [_write(f"{tmpdir_path}/x/day.csv", "Campaign Name,Calls,New Data\ncaf\u00e9,70,3\n", "latin-1"),
+             _write(f"{tmpdir_path}/y/day.csv", "Campaign Name,New Data,Calls\nb,30,7\n"),
+             _write(f"{tmpdir_path}/my day.csv", "Campaign Name,# Records,Calls\nc,5,1\n"),
+             _write(f"{tmpdir_path}/empty.csv", "")]
+    got = {r["Campaign Name"]: (r["New Data"], r["Calls"], r["# Records"]) for r in read_csv_any_encoding(spark, files).collect()}
+    assert got == {"caf\u00e9": ("3", "70", None), "b": ("30", "7", None), "c": (None, "1", "5")}
+    assert read_csv_any_encoding(spark, files[3:]).count() == 0
+
+
+def test_upsert_tie_takes_the_new_row(spark):
+    from ledgerline.sources.files import upsert_latest
+    old = spark.createDataFrame([("k", 1, "old"), ("l", 5, "old")], "id string, v int, x string")
+    new = spark.createDataFrame([("k", 1, "new"), ("l", 4, "new")], "id string, v int, x string")
+    assert {r.id: r.x for r in upsert_latest(new, old, ["id"], "v").collect()} == {"k": "new", "l": "old"}
+
+
+def test_merge_daily_sources_keeps_body_lines_equal_to_the_header(spark, tmpdir_path):
+    from ledgerline.sources.files import merge_daily_sources
+    p = _write(f"{tmpdir_path}/a.csv", "Title\nA,B\n1,2\nA,B\n3,4\n")
+    assert sorted(r.A for r in merge_daily_sources(spark, [p]).collect()) == ["1", "3", "A"]
