@@ -54,11 +54,11 @@ def test_latin1_fallback_and_basic_format(spark, tmpdir_path):
 
 
 def test_filename_parsing(spark):
-    names = ["latribet_2025_08.csv", "2026-02 rojabet.xlsx", "Acme Winback - Jan '26 report.xls", "nothing.csv"]
+    names = ["quartz_2025_08.csv", "2026-02 cobalt.xlsx", "Acme Winback - Jan '26 report.xls", "nothing.csv"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     b, m = files.brand_month_from_filename(F.col("n"), month_name_brand="acme")
     got = [(r.b, r.m) for r in df.select(b.alias("b"), m.alias("m")).collect()]
-    assert got == [("latribet", "2025-08"), ("rojabet", "2026-02"), ("acme", "2026-01"), (None, None)]
+    assert got == [("quartz", "2025-08"), ("cobalt", "2026-02"), ("acme", "2026-01"), (None, None)]
     d = spark.createDataFrame([("ops_2026_02_14.csv",), ("ops 2026-02.csv",)], "n string")
     assert [r[0] for r in d.select(files.date_from_filename(F.col("n"))).collect()] == [
         dt.date(2026, 2, 14), dt.date(2026, 2, 1)]
