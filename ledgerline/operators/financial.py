@@ -14,7 +14,6 @@ from pyspark.sql.types import DecimalType
 
 from ..functions.core import (MONEY, count_if, dbl, distinct_count, money_sum, month_from_index, month_index,
                               quarter_label, rev_share, safe_div, safe_pct)
-from .ranking import materialize, rank_in_groups
 
 COMBINED = "Combined"
 
@@ -38,14 +37,9 @@ SUMMARY_COLS = [
     "withdrawals", "net_deposits", "bonus_total", "bonus_casino", "bonus_sports", "tax_total",
 ]
 
-ADDITIVE_COLS = [
-    "negative_yield_players", "profitable_players", "flat", "total_players", "ggr", "ngr",
-    "total_handle", "turnover_casino", "ggr_casino", "ngr_casino", "turnover_sports",
-    "ggr_sports", "ngr_sports", "deposit_count", "deposits", "withdrawals", "net_deposits",
-    "bonus_total", "bonus_casino", "bonus_sports", "tax_total", "new_players",
-    "returning_players", "reactivated_players", "conversions", "new_player_ggr",
-    "returning_player_ggr", "revenue_share_deduction",
-]
+# The columns that Combined sums, in the order of ``SUMMARY_COLS``: all but keys and ratios.
+_RATIO_COLS = {"profitable_pct", "hold_pct", "ggr_per_player", "turnover_per_player", "top_10_pct_ggr_share", "retention_pct"}
+ADDITIVE_COLS = [c for c in SUMMARY_COLS if c not in _RATIO_COLS | {"month", "brand"}]
 
 COUNT_COLS = {"negative_yield_players", "profitable_players", "flat", "total_players",
               "deposit_count", "new_players", "returning_players", "reactivated_players",
@@ -98,31 +92,63 @@ def monthly_financials(pa: DataFrame) -> DataFrame:
             .withColumn("hold_pct", safe_pct("ggr", "total_handle")))
 
 
+def _amount_bucket(value):
+    """An order-keeping bucket of a positive amount, about 1 % wide (null for others): a money
+    amount of 18 digits falls in one of some 4,200."""
+    return F.when(F.col(value) > 0, F.floor(F.log(dbl(value)) * 100))
+
+
 def whale_shares(pa: DataFrame) -> DataFrame:
-    """F2 for both levels in one ranking pass: per (brand, month) and, with
-    ``brand = 'Combined'``, per month over all brands.
+    """F2 for both levels: per (brand, month) and, with ``brand = 'Combined'``, per month
+    over all brands.
 
     n = max(1, ⌊count/10⌋) of rows with revenue > 0; share = top-n revenue /
     total GGR of the group × 100, 0 when GGR is 0.  The top-n sum does not
-    depend on tie order; ranks come from the skew-safe range ranking, so a
-    brand-month holding a third of all rows is still split across tasks.
+    depend on tie order, so no row needs a rank: a histogram of amounts finds the
+    bucket where the n-th largest lies, whole buckets above are summed, and only
+    the distinct amounts inside that bucket are ordered.  The Combined level
+    rolls up the same histogram.  All consumers read one exchange of
+    (brand, month, amount) counts, which a hot brand spreads over its amounts.
     """
-    base = _keyed(pa.withColumn("month", F.col("report_month")), ["month"])
-    brand_rows = base.where(F.col("brand").isNotNull()).select(
-        F.lit(0).alias("_level"), F.col("brand").alias("_entity"), "month", "id", "revenue")
-    all_rows = base.select(F.lit(1).alias("_level"), F.lit(COMBINED).alias("_entity"), "month", "id", "revenue")
-    rows = brand_rows.unionByName(all_rows)
+    amounts = (_keyed(pa.withColumn("month", F.col("report_month")), ["month"])
+               .groupBy("brand", "month", "revenue")
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum("revenue").alias("_s"))
+               .withColumn("_bucket", _amount_bucket("revenue")))
+    sums = [F.sum("_n").alias("_n"), F.sum("_s").alias("_s")]
+    per_brand = amounts.groupBy("brand", "month", "_bucket").agg(*sums)
     keys = ["_level", "_entity", "month"]
-    totals = rows.groupBy(*keys).agg(money_sum("revenue").alias("_ggr"))
-    prof = rows.where(F.col("revenue") > 0).withColumn("_row", F.monotonically_increasing_id())
-    ranked = rank_in_groups(prof, keys, [F.col("revenue").desc(), F.col("id").asc(), F.col("_row").asc()])
-    top_n = F.greatest(F.lit(1), F.floor(F.col("_group_n") / 10))
-    top = ranked.where(F.col("_rank") <= top_n).groupBy(*keys).agg(F.sum("revenue").alias("_top"))
-    # Both sides have one row per (level, brand, month): bounded by brands × months.
-    out = totals.join(F.broadcast(top), keys, "left")
-    share = F.when(F.col("_ggr") != 0,
-                   dbl(F.coalesce("_top", F.lit(0))) / dbl("_ggr") * F.lit(100.0)).otherwise(F.lit(0.0))
-    return out.select("_level", F.col("_entity").alias("brand"), "month", share.alias("top_10_pct_ggr_share"))
+    hist = per_brand.where(F.col("brand").isNotNull()).select(
+        F.lit(0).alias("_level"), F.col("brand").alias("_entity"), "month", "_bucket", "_n", "_s")
+    hist = hist.unionByName(per_brand.groupBy("month", "_bucket").agg(*sums).select(
+        F.lit(1).alias("_level"), F.lit(COMBINED).alias("_entity"), "month", "_bucket", "_n", "_s"))
+
+    # windows over one group's buckets
+    group = Window.partitionBy(*keys)
+    larger = group.orderBy(F.col("_bucket").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    positive = F.sum(F.when(F.col("_bucket").isNotNull(), F.col("_n"))).over(group)
+    hist = (hist.withColumn("_top_n", F.greatest(F.lit(1), F.floor(positive / 10)))
+            .withColumn("_before", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
+            .withColumn("_above", F.coalesce(F.sum("_s").over(larger), F.lit(0))))
+    is_edge = (F.col("_bucket").isNotNull() & (F.col("_before") < F.col("_top_n"))
+               & (F.col("_before") + F.col("_n") >= F.col("_top_n")))
+    edge = F.struct("_bucket", (F.col("_top_n") - F.col("_before")).alias("_rest"), "_above")
+    edges = hist.groupBy(*keys).agg(F.coalesce(F.sum("_s"), F.lit(0)).alias("_ggr"),
+                                    F.max(F.when(is_edge, edge)).alias("_edge"))
+
+    open_edges = edges.where(F.col("_edge").isNotNull()).select(*keys, "_edge._bucket", "_edge._rest")
+    of_brand = open_edges.where("_level = 0").withColumn("brand", F.col("_entity"))
+    inside = amounts.join(of_brand, ["brand", "month", "_bucket"]).select(*keys, "_rest", "revenue", "_n").unionByName(
+        amounts.join(open_edges.where("_level = 1"), ["month", "_bucket"]).select(*keys, "_rest", "revenue", "_n"))
+    inside = inside.groupBy(*keys, "_rest", "revenue").agg(F.sum("_n").alias("_n"))
+    # the distinct amounts of one group that lie within 1 % of each other
+    before = Window.partitionBy(*keys).orderBy(F.col("revenue").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.col("_rest") - F.coalesce(F.sum("_n").over(before), F.lit(0))
+    taken = (inside.withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_n"), rest)))
+             .groupBy(*keys).agg(F.sum(F.col("revenue") * F.col("_take")).alias("_part")))
+    top = F.coalesce(F.col("_edge._above") + F.col("_part"), F.lit(0))
+    share = F.when(F.col("_ggr") != 0, dbl(top) / dbl("_ggr") * F.lit(100.0)).otherwise(F.lit(0.0))
+    return edges.join(taken, keys, "left").select(
+        "_level", F.col("_entity").alias("brand"), "month", share.alias("top_10_pct_ggr_share"))
 
 
 def whale_share(pa: DataFrame, by_brand: bool = True) -> DataFrame:
@@ -174,14 +200,16 @@ def cohort_counts(pa: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def pad_months(df: DataFrame, entity: str = "brand", month: str = "month",
-               force_start: str | None = None, force_end: str | None = None) -> DataFrame:
+               force_start: str | None = None, force_end: str | None = None,
+               present: DataFrame | None = None) -> DataFrame:
     """every entity gets every month between the global min and max (or the
     forced bounds); missing measures become 0.
 
     The spine is built per entity with ``explode(sequence(...))`` from the small
-    per-entity table — no cross join.
+    per-entity table — no cross join.  ``present`` may give the (entity, month)
+    pairs of ``df`` where they are cheaper to compute than ``df`` itself.
     """
-    ents = df.groupBy(entity).agg(F.min(month_index(month)).alias("_lo"), F.max(month_index(month)).alias("_hi"))
+    ents = (df if present is None else present).groupBy(entity).agg(F.min(month_index(month)).alias("_lo"), F.max(month_index(month)).alias("_hi"))
     allw = Window.partitionBy()
     lo = F.lit(force_start) if force_start else None
     hi = F.lit(force_end) if force_end else None
@@ -189,7 +217,7 @@ def pad_months(df: DataFrame, entity: str = "brand", month: str = "month",
     ents = ents.withColumn("_ghi", month_index(hi) if hi is not None else F.max("_hi").over(allw))
     spine = ents.select(entity, F.explode(F.sequence("_glo", "_ghi")).alias("_mi")) \
         .select(entity, month_from_index("_mi").alias(month))
-    padded = spine.join(F.broadcast(df), [entity, month], "left")  # entity × month rows: bounded
+    padded = spine.join(df, [entity, month], "left")
     fills = {}
     for f in df.schema.fields:
         if f.name in (entity, month):
@@ -211,45 +239,41 @@ def _derive_summary_ratios(df: DataFrame) -> DataFrame:
 
 
 def monthly_brand_summary(pa: DataFrame, force_start: str | None = None,
-                          force_end: str | None = None, include_combined: bool = True) -> DataFrame:
-    """F1 ⟕ F2 ⟕ F3, padded (F4), + Combined (F6); SUMMARY_COLS order."""
-    whales = whale_shares(pa)
-    brand_whales = whales.where(F.col("_level") == 0).drop("_level")
-    # F1, F2 and F3 each have one row per (brand, month) — bounded by registered
-    # brands × calendar months — so they are combined with broadcast joins.
-    fin = monthly_financials(pa).join(F.broadcast(brand_whales), ["brand", "month"], "left")
-    summ = fin.join(F.broadcast(cohort_counts(pa)), ["brand", "month"], "left")
-    summ = pad_months(summ, "brand", "month", force_start, force_end)
-    summ = _derive_summary_ratios(summ).withColumn("revenue_share_deduction", rev_share("ggr"))
-    summ = summ.select(*SUMMARY_COLS)
-    if include_combined:
-        # The brand rows feed both the output and the Combined aggregation; cut
-        # the lineage once (brands × months rows) instead of evaluating it twice.
-        summ = materialize(summ, "summary")
-        comb_whales = whales.where(F.col("_level") == 1).select("month", "top_10_pct_ggr_share")
-        summ = summ.unionByName(combined_summary(summ, pa, comb_whales))
-    return summ
-
-
-def combined_summary(brand_summary: DataFrame, pa: DataFrame, combined_whales: DataFrame | None = None) -> DataFrame:
-    """sum additive columns per month; ratios recomputed from the sums."""
-    real = brand_summary.where(F.col("brand") != COMBINED)
-    sums = []
-    for c in ADDITIVE_COLS:
-        e = F.sum(c)
-        sums.append((e.cast("bigint") if c in COUNT_COLS else e.cast(MONEY)).alias(c))
-    comb = real.groupBy("month").agg(*sums).withColumn("brand", F.lit(COMBINED))
-    comb = _derive_summary_ratios(comb)
-    cw = combined_whales if combined_whales is not None else whale_share(pa, by_brand=False)
-    comb = comb.join(F.broadcast(cw), "month", "left") \
-        .withColumn("top_10_pct_ggr_share", F.coalesce("top_10_pct_ggr_share", F.lit(0.0)))
-    return comb.select(*SUMMARY_COLS)
+                          force_end: str | None = None, include_combined: bool = True,
+                          whales: bool = True) -> DataFrame:
+    """F1 ⟕ F3, padded (F4), + Combined (F6), ⟕ F2; SUMMARY_COLS order.
+
+    Views that do not show the whale share leave it out with ``whales=False``
+    (the column is null).  Nothing runs before an action."""
+    fin = monthly_financials(pa)
+    rows = pad_months(fin.join(cohort_counts(pa), ["brand", "month"], "left"), "brand", "month", force_start, force_end,
+                      present=fin.select("brand", "month"))
+    rows = rows.withColumn("revenue_share_deduction", rev_share("ggr")).select("brand", "month", *ADDITIVE_COLS)
+    summ = with_combined(rows) if include_combined else rows.withColumn("_level", F.lit(0))
+    summ = _derive_summary_ratios(summ)
+    if whales:
+        summ = summ.join(whale_shares(pa), ["_level", "brand", "month"], "left").withColumn(
+            "top_10_pct_ggr_share", F.coalesce("top_10_pct_ggr_share", F.lit(0.0)))
+    else:
+        summ = summ.withColumn("top_10_pct_ggr_share", F.lit(None).cast("double"))
+    return summ.select(*SUMMARY_COLS)
+
+
+def with_combined(brand_rows: DataFrame) -> DataFrame:
+    """the brand rows (``_level`` 0) and the sums of their additive columns per month
+    (``_level`` 1, brand Combined), from one evaluation of the brand rows."""
+    entity = F.explode(F.array(F.struct(F.lit(0).alias("_level"), F.col("brand").alias("_entity")),
+                               F.struct(F.lit(1).alias("_level"), F.lit(COMBINED).alias("_entity"))))
+    rows = brand_rows.select(entity.alias("_e"), "month", *ADDITIVE_COLS)
+    sums = [F.sum(c).cast("bigint" if c in COUNT_COLS else MONEY).alias(c) for c in ADDITIVE_COLS]
+    return rows.groupBy(F.col("_e._level").alias("_level"), F.col("_e._entity").alias("brand"), "month").agg(*sums)
 
 
 # ---------------------------------------------------------------------------
 # F7 all-business summary
 # ---------------------------------------------------------------------------
 
+# The all-business summary column order.
 BOTH_BUSINESS_COLS = [
     "month", "turnover", "ggr", "ngr", "margin", "turnover_casino", "ggr_casino", "ngr_casino",
     "turnover_sports", "ggr_sports", "ngr_sports", "revenue_share_deduction", "net_income",
@@ -462,21 +486,26 @@ def latest_active(summary: DataFrame, entity: str = "brand") -> DataFrame:
     return summary.join(last, [entity, "month"])
 
 
-EXEC_METRICS = ["ggr", "ngr", "turnover", "total_players", "new_players", "returning_players", "conversions"]
+# The executive matrix, metric → summary column.
+EXEC_METRICS = {"turnover": "total_handle", "ggr": "ggr", "margin_pct": "hold_pct", "revenue_15": "revenue_share_deduction",
+                "conversions": "conversions", "turnover_per_player": "turnover_per_player",
+                "whale_risk_pct": "top_10_pct_ggr_share"}
 
 
 def executive_matrix(summary: DataFrame) -> DataFrame:
-    """per brand's latest active month: metrics with MoM % and YoY %,
-    YTD, as metric rows (long form)."""
-    ts = time_series(summary, "brand")
-    latest = latest_active(summary.withColumn("turnover", F.col("total_handle")))
-    keyed = ts.join(latest.select("brand", "month"), ["brand", "month"])
-    metrics = [m for m in EXEC_METRICS if m in ts.columns]
-    stack = ", ".join(
-        f"'{m}', cast({m} as double), cast({m}_mom_pct as double), cast({m}_yoy_pct as double), cast({m}_ytd as double)"
-        for m in metrics)
-    return keyed.select("brand", "month", F.expr(
-        f"stack({len(metrics)}, {stack}) as (metric, value, mom_pct, yoy_pct, ytd)"))
+    """per entity's latest active month, seven metric rows with MoM % and YoY %.
+
+    The changes come from the time series; the ratio metrics, which it does not
+    carry, have none."""
+    changes = {"turnover": "turnover", "ggr": "ggr", "revenue_15": "revenue_share_deduction", "conversions": "conversions"}
+    ts = time_series(summary, "brand").select(
+        "brand", "month", *[f"{c}_{k}_pct" for c in changes.values() for k in ("mom", "yoy")])
+    k = latest_active(summary).join(ts, ["brand", "month"], "left")
+    rows = []
+    for metric, col in EXEC_METRICS.items():
+        pct = [f"cast({changes[metric]}_{x}_pct as double)" if metric in changes else "cast(null as double)" for x in ("mom", "yoy")]
+        rows.append(f"'{metric}', cast({col} as double), {', '.join(pct)}")
+    return k.select("brand", "month", F.expr(f"stack({len(rows)}, {', '.join(rows)}) as (metric, value, mom_pct, yoy_pct)"))
 
 
 def comparative_table(summary: DataFrame) -> DataFrame:
@@ -506,14 +535,16 @@ def comparative_table(summary: DataFrame) -> DataFrame:
         f"qoq_delta, qoq_pct)"))
 
 
+# The demographics and the cash-flow matrix.
+DEMOGRAPHICS = ["total_players", "conversions", "new_players", "reactivated_players", "returning_players",
+                "profitable_players", "negative_yield_players"]
+CASH_FLOW = ["net_deposits", "deposits", "withdrawals", "bonus_total"]
+
+
 def demographics_matrix(summary: DataFrame) -> DataFrame:
-    """player counts and cash flow at each brand's latest active month."""
-    latest = latest_active(summary)
-    return latest.select("brand", "month", F.expr(
-        "stack(7, 'total_players', cast(total_players as double), 'new_players', cast(new_players as double), "
-        "'returning_players', cast(returning_players as double), 'reactivated_players', cast(reactivated_players as double), "
-        "'deposits', cast(deposits as double), 'withdrawals', cast(withdrawals as double), "
-        "'bonus_total', cast(bonus_total as double)) as (metric, value)"))
+    """player counts and cash flow at each entity's latest active month."""
+    rows = [f"'{m}', cast({m} as double)" for m in DEMOGRAPHICS + CASH_FLOW]
+    return latest_active(summary).select("brand", "month", F.expr(f"stack({len(rows)}, {', '.join(rows)}) as (metric, value)"))
 
 
 def revenue_composition(summary: DataFrame) -> DataFrame:
@@ -588,18 +619,17 @@ def ingest_diagnostics(pa: DataFrame) -> DataFrame:
     return by_brand.unionByName(by_month).select("level", "key", "rows")
 
 
+KPI_CARDS = ["ggr", "total_handle", "total_players"]
+KPI_RATIOS = ["hold_pct", "retention_pct", "profitable_pct", "turnover_per_player"]
+
+
 def kpi_deltas(summary: DataFrame) -> DataFrame:
-    """latest vs previous month per entity; entity rows skip padded months."""
-    active = summary.where(F.col("total_players") > 0)
-    w = Window.partitionBy("brand").orderBy(F.col("month").desc())
-    r = active.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
-    metrics = ["ggr", "ngr", "total_handle", "total_players", "new_players", "conversions"]
-    latest = r.where(F.col("_r") == 1).select("brand", "month", *metrics)
-    prev = r.where(F.col("_r") == 2).select("brand", *[F.col(m).alias(f"_p_{m}") for m in metrics])
-    x = latest.join(prev, "brand", "left")
-    cols = [F.col("brand"), F.col("month")]
-    for m in metrics:
-        cols += [F.col(m), (F.col(m) - F.col(f"_p_{m}")).alias(f"{m}_delta"),
-                 F.when(F.col(f"_p_{m}").isNotNull(), safe_pct(F.col(m) - F.col(f"_p_{m}"), F.col(f"_p_{m}")))
-                  .alias(f"{m}_delta_pct")]
-    return x.select(*cols)
+    """KPI cards of each entity's latest month: three totals with the change from
+    the row before, and four ratios.  Brands show their last row; Combined
+    skips padded months at the end."""
+    prev = Window.partitionBy("brand").orderBy("month")
+    x = summary.select("brand", "month", *KPI_CARDS, *KPI_RATIOS,
+                       *[(F.col(m) - F.lag(m).over(prev)).alias(f"{m}_delta") for m in KPI_CARDS])
+    shown = (F.col("brand") != COMBINED) | (F.col("total_players") > 0)
+    last = summary.where(shown).groupBy("brand").agg(F.max("month").alias("month"))
+    return x.join(last, ["brand", "month"])

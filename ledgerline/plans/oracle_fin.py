@@ -347,33 +347,34 @@ SELECT 'brand' AS level, brand AS key, CAST(COUNT(*) AS BIGINT) AS rows FROM pla
 UNION ALL
 SELECT 'month', report_month, CAST(COUNT(*) AS BIGINT) FROM player_activity GROUP BY report_month""")
 
-_KPI = ["ggr", "ngr", "total_handle", "total_players", "new_players", "conversions"]
-
+F24 = with_player_activity(f""", {summary_ctes(True)},
+r AS (SELECT brand, month, {", ".join(f"{m}, {m} - LAG({m}) OVER (PARTITION BY brand ORDER BY month) AS {m}_delta" for m in FIN.KPI_CARDS)},
+  {", ".join(FIN.KPI_RATIOS)} FROM full_summary),
+last AS (SELECT brand, MAX(month) AS month FROM full_summary WHERE brand <> 'Combined' OR total_players > 0 GROUP BY brand)
+SELECT brand, month, CAST(ggr AS DOUBLE) AS ggr, CAST(ggr_delta AS DOUBLE) AS ggr_delta,
+  CAST(total_handle AS DOUBLE) AS total_handle, CAST(total_handle_delta AS DOUBLE) AS total_handle_delta,
+  CAST(total_players AS BIGINT) AS total_players, CAST(total_players_delta AS BIGINT) AS total_players_delta,
+  hold_pct, retention_pct, profitable_pct, turnover_per_player
+FROM r JOIN last USING (brand, month)""")
 
-def _kpi_cols() -> str:
-    out = ["a.brand", "a.month"]
-    for m in _KPI:
-        cast = "BIGINT" if m in FIN.COUNT_COLS else "DOUBLE"
-        out.append(f"CAST(a.{m} AS {cast}) AS {m}")
-        out.append(f"CAST(a.{m} - b.{m} AS {cast}) AS {m}_delta")
-        out.append(f"{pct(f'a.{m} - b.{m}', f'b.{m}')} AS {m}_delta_pct")
-    return ", ".join(out)
+# the seven rows of the matrix: metric, value, and the time-series metric whose changes it shows
+_EXEC = [("turnover", "total_handle", "turnover"), ("ggr", "ggr", "ggr"), ("margin_pct", "hold_pct", None),
+         ("revenue_15", "revenue_share_deduction", "revenue_share_deduction"), ("conversions", "conversions", "conversions"),
+         ("turnover_per_player", "turnover_per_player", None), ("whale_risk_pct", "top_10_pct_ggr_share", None)]
 
 
-F24 = with_player_activity(f""", {summary_ctes(True)},
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY brand ORDER BY month DESC) AS rn FROM full_summary WHERE total_players > 0)
-SELECT {_kpi_cols()}
-FROM (SELECT * FROM r WHERE rn = 1) a LEFT JOIN (SELECT * FROM r WHERE rn = 2) b ON a.brand = b.brand""")
+def _exec_row(metric: str, value: str, change: str | None) -> str:
+    pcts = ", ".join(f"{f'ts.{change}_{x}_pct' if change else 'CAST(NULL AS DOUBLE)'} AS {x}_pct" for x in ("mom", "yoy"))
+    return f"SELECT brand, month, '{metric}' AS metric, CAST(l.{value} AS DOUBLE) AS value, {pcts} FROM l LEFT JOIN ts USING (brand, month)"
 
-_EXEC = FIN.EXEC_METRICS
 
 F18 = with_player_activity(f""", {summary_ctes(True)}, {_TS_SRC}, {_ts_sql('tsrc', 'brand')},
 latest AS (SELECT brand, MAX(month) AS month FROM full_summary WHERE total_players > 0 GROUP BY brand),
-k AS (SELECT ts.* FROM ts JOIN latest USING (brand, month))
-{" UNION ALL ".join(f"SELECT brand, month, '{m}' AS metric, CAST({m} AS DOUBLE) AS value, CAST({m}_mom_pct AS DOUBLE) AS mom_pct, CAST({m}_yoy_pct AS DOUBLE) AS yoy_pct, CAST({m}_ytd AS DOUBLE) AS ytd FROM k" for m in _EXEC)}""")
+l AS (SELECT s.* FROM full_summary s JOIN latest USING (brand, month))
+{" UNION ALL ".join(_exec_row(*r) for r in _EXEC)}""")
 
-_DEMO = ["total_players", "new_players", "returning_players", "reactivated_players", "deposits", "withdrawals",
-         "bonus_total"]
+_DEMO = ["total_players", "conversions", "new_players", "reactivated_players", "returning_players", "profitable_players",
+         "negative_yield_players", "net_deposits", "deposits", "withdrawals", "bonus_total"]
 F19 = with_player_activity(f""", {summary_ctes(True)},
 latest AS (SELECT brand, MAX(month) AS month FROM full_summary WHERE total_players > 0 GROUP BY brand),
 k AS (SELECT s.* FROM full_summary s JOIN latest USING (brand, month))

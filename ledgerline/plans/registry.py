@@ -34,8 +34,13 @@ def _summary(spark, sf_dir):
     return FIN.monthly_brand_summary(_pa(spark, sf_dir))
 
 
+def _lean_summary(spark, sf_dir):
+    """The summary for views that do not show the whale share."""
+    return FIN.monthly_brand_summary(_pa(spark, sf_dir), whales=False)
+
+
 def _f8(spark, sf_dir):
-    return as_report(FIN.time_series(_summary(spark, sf_dir), "brand"))
+    return as_report(FIN.time_series(_lean_summary(spark, sf_dir), "brand"))
 
 
 FIN_QUERIES: dict[str, QueryFn] = {
@@ -44,31 +49,31 @@ FIN_QUERIES: dict[str, QueryFn] = {
     "f2b_whale_share_combined": lambda s, d: FIN.whale_share(_pa(s, d), by_brand=False),
     "f3_cohort_counts": lambda s, d: as_report(FIN.cohort_counts(_pa(s, d))),
     "f4_month_padding": lambda s, d: as_report(
-        FIN.monthly_brand_summary(_pa(s, d), include_combined=False)
+        FIN.monthly_brand_summary(_pa(s, d), include_combined=False, whales=False)
         .select("brand", "month", "total_players", "ggr", "new_players")),
     "f5_monthly_brand_summary": lambda s, d: as_report(_summary(s, d)),
     "f6_combined_summary": lambda s, d: as_report(_summary(s, d).where("brand = 'Combined'")),
-    "f7_both_business_summary": lambda s, d: as_report(FIN.both_business_summary(_summary(s, d))),
+    "f7_both_business_summary": lambda s, d: as_report(FIN.both_business_summary(_lean_summary(s, d))),
     "f8_time_series": _f8,
-    "f11_quarterly": lambda s, d: as_report(FIN.quarterly(_summary(s, d), "brand")),
+    "f11_quarterly": lambda s, d: as_report(FIN.quarterly(_lean_summary(s, d), "brand")),
     "f12_segmentation": lambda s, d: as_report(FIN.segmentation(_pa(s, d))),
     "f13_program_summary": lambda s, d: as_report(FIN.program_summary(_pa(s, d))),
     "f14_geographic_summary": lambda s, d: as_report(FIN.geographic_summary(_pa(s, d))),
     "f15_segment_roi": lambda s, d: as_report(FIN.segment_roi(_pa(s, d))),
-    "f17_gross_to_net_bridge": lambda s, d: as_report(FIN.gross_to_net_bridge(_summary(s, d))),
-    "f17b_vertical_split": lambda s, d: as_report(FIN.vertical_split(_summary(s, d))),
+    "f17_gross_to_net_bridge": lambda s, d: as_report(FIN.gross_to_net_bridge(_lean_summary(s, d))),
+    "f17b_vertical_split": lambda s, d: as_report(FIN.vertical_split(_lean_summary(s, d))),
     "f18_executive_matrix": lambda s, d: as_report(FIN.executive_matrix(_summary(s, d))),
-    "f19_demographics_matrix": lambda s, d: as_report(FIN.demographics_matrix(_summary(s, d))),
-    "f20_revenue_composition": lambda s, d: as_report(FIN.revenue_composition(_summary(s, d))),
-    "f9_ytd": lambda s, d: as_report(FIN.time_series(_summary(s, d), "brand").select(
+    "f19_demographics_matrix": lambda s, d: as_report(FIN.demographics_matrix(_lean_summary(s, d))),
+    "f20_revenue_composition": lambda s, d: as_report(FIN.revenue_composition(_lean_summary(s, d))),
+    "f9_ytd": lambda s, d: as_report(FIN.time_series(_lean_summary(s, d), "brand").select(
         "brand", "month", *[f"{m}_ytd" for m in FIN.TS_METRICS])),
-    "f10_eoy_projections": lambda s, d: as_report(FIN.time_series(_summary(s, d), "brand").select(
+    "f10_eoy_projections": lambda s, d: as_report(FIN.time_series(_lean_summary(s, d), "brand").select(
         "brand", "month", *[f"eoy_{e}_{m}" for e in ("momentum", "seasonal")
                             for m in ("ggr", "turnover", "revenue_share_deduction")])),
     "f21_diagnostic_narrative": lambda s, d: FIN.diagnostic_narrative(_summary(s, d)),
-    "f23_comparative_table": lambda s, d: as_report(FIN.comparative_table(_summary(s, d))),
+    "f23_comparative_table": lambda s, d: as_report(FIN.comparative_table(_lean_summary(s, d))),
     "f22_ingest_diagnostics": lambda s, d: FIN.ingest_diagnostics(_pa(s, d)),
-    "f24_kpi_deltas": lambda s, d: as_report(FIN.kpi_deltas(_summary(s, d))),
+    "f24_kpi_deltas": lambda s, d: as_report(FIN.kpi_deltas(_lean_summary(s, d))),
 }
 
 
