@@ -248,9 +248,14 @@ SLA_SUMS = ["records", "kpi2_logins", "conversions", "calls", "sa", "sd", "sf",
             "eo", "ec", "d_plus", "d_total", "d_minus"]
 
 
-def sla_fulfilment(ops: DataFrame, as_of: str | None = None) -> DataFrame:
+#: What the prior-year benchmark of O7 scales.
+SLA_BENCH = ["records", "kpi2_logins", "conversions", "calls", "sa", "ev", "sd", "sf", "sp", "ed", "ef", "eo"]
+
+
+def sla_fulfilment(ops: DataFrame, snaps: DataFrame, as_of: str | None = None) -> DataFrame:
     """Per client (known lifecycles and clients): sums, the sorted active
-    lifecycles and the same half of the previous year scaled by days."""
+    lifecycles, and what the snapshot log holds for the same half of the previous
+    year (all lifecycles), scaled by days; change of volume, logins, conversions."""
     known = ops.where((F.col("extracted_lifecycle") != "UNKNOWN") & (F.col("ops_client") != "UNKNOWN"))
     cur = known.groupBy("ops_client").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in SLA_SUMS],
@@ -259,17 +264,18 @@ def sla_fulfilment(ops: DataFrame, as_of: str | None = None) -> DataFrame:
     ref = _as_of(ops, as_of)
     bench_half = F.concat(F.when(F.month(ref) <= 6, F.lit("H1 ")).otherwise(F.lit("H2 ")),
                           (F.year(ref) - 1).cast("string"))
-    prev = known.where(half_label("ops_date") == bench_half)
+    prev = snaps.where(half_label("ops_date") == bench_half)
     bdays = scalar(prev.select(F.countDistinct("ops_date")))
-    bench = prev.groupBy("ops_client").agg(*[F.sum(c).alias(f"_b_{c}") for c in ("records", "kpi2_logins", "conversions")])
+    bench = prev.groupBy("ops_client").agg(*[F.sum(c).alias(f"_b_{c}") for c in SLA_BENCH])
     out = cur.join(bench, "ops_client", "left").withColumn("num_days", days).withColumn("bench_days", bdays)
+    scale = dbl("num_days") / dbl("bench_days")
+    for c in SLA_BENCH:
+        out = out.withColumn(f"bench_{c}", F.when(F.col("bench_days") > 0, (
+            dbl(F.coalesce(f"_b_{c}", F.lit(0))) * scale).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
     for c in ("records", "kpi2_logins", "conversions"):
-        b = F.when(F.col("bench_days") > 0, (dbl(F.coalesce(f"_b_{c}", F.lit(0))) * dbl("num_days")
-                                             / dbl("bench_days")).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        out = out.withColumn(f"bench_{c}", b).withColumn(
-            f"{c}_delta_pct", F.when(F.col(f"bench_{c}") != 0,
-                                     (dbl(c) - dbl(f"bench_{c}")) / dbl(f"bench_{c}") * 100.0))
-    return out.drop(*[f"_b_{c}" for c in ("records", "kpi2_logins", "conversions")])
+        out = out.withColumn(f"{c}_delta_pct", F.when(
+            F.col(f"bench_{c}") != 0, (dbl(c) - dbl(f"bench_{c}")) / dbl(f"bench_{c}") * 100.0))
+    return out.drop(*[f"_b_{c}" for c in SLA_BENCH])
 
 
 def sla_breaches(ops: DataFrame, sla: DataFrame, days: int | None = None) -> DataFrame:
@@ -378,40 +384,57 @@ def weekly_logins_cpc(ops: DataFrame, as_of: str | None = None, weeks: int = 52)
 
 
 def latest_snapshots(snaps: DataFrame) -> DataFrame:
-    """The latest delivery per (campaign, day).  The window holds only the
-    deliveries of one key."""
-    w = Window.partitionBy("campaign_name", "ops_date").orderBy(F.col("snapshot_timestamp").desc())
-    return snaps.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
-def daily_efficiency(ops: DataFrame, sla_monthly: float | None = None) -> DataFrame:
-    """Per date sums, mean LI % and capped Conv/Login % of records, the
-    mean-volume line and the SLA/30 line."""
-    g = ops.groupBy("ops_date").agg(
-        F.sum("records").cast("bigint").alias("records"), F.sum("conversions").cast("bigint").alias("conversions"),
-        F.sum("kpi2_logins").cast("bigint").alias("logins"),
-        F.round(F.avg(F.col("li_pct") * 100.0), 6).alias("li_pct_mean"))
-    g = g.withColumn("conv_pct", capped_pct("conversions", "records")) \
-        .withColumn("login_pct", capped_pct("logins", "records"))
-    mean_vol = scalar(g.select(dbl(F.sum("records")) / F.count(F.lit(1))))
-    g = g.withColumn("mean_volume", mean_vol)
-    if sla_monthly is not None:
-        g = g.withColumn("sla_daily", F.lit(sla_monthly / 30.0))
-    return g
-
-
-def weekly_efficiency(ops: DataFrame, as_of: str | None = None, sla_monthly: float | None = None) -> DataFrame:
-    """Per completed week; percentages recomputed from weekly sums (not
-    means of daily percentages, see H5); SLA × 7/30."""
-    x = _completed_weeks(ops, as_of, None)
-    g = x.groupBy("week_start").agg(
-        F.sum("records").cast("bigint").alias("records"), F.sum("conversions").cast("bigint").alias("conversions"),
-        F.sum("kpi2_logins").cast("bigint").alias("logins"))
-    g = g.withColumn("conv_pct", capped_pct("conversions", "records")) \
-        .withColumn("login_pct", capped_pct("logins", "records"))
-    if sla_monthly is not None:
-        g = g.withColumn("sla_weekly", F.lit(sla_monthly * 7 / 30.0))
-    return g
+    """The latest delivery per (campaign, day); of equal delivery times the row with
+    the greatest remaining columns, so reruns agree."""
+    keys = ["campaign_name", "ops_date"]
+    rest = ["snapshot_timestamp"] + [c for c in snaps.columns if c not in [*keys, "snapshot_timestamp"]]
+    last = snaps.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in snaps.columns])
+
+
+def _trend(rows: DataFrame, period: str, sla: DataFrame | None, targets: DataFrame | None, days: float) -> DataFrame:
+    """Sums per view and period, with the lines of the chart.  Views are every client and
+    ``All``, which rolls up the client rows; its signature lines need one signature overall."""
+    sums = ["records", "calls", "conversions", "logins"]
+    per = rows.groupBy(F.col("ops_client").alias("client"), period).agg(
+        *[F.sum("kpi2_logins" if c == "logins" else c).cast("bigint").alias(c) for c in sums],
+        F.sum(F.col("li_pct") * 100.0).alias("_li"), F.count("li_pct").alias("_li_n"),
+        F.min("campaign_signature").alias("_lo"), F.max("campaign_signature").alias("_hi"))
+    total = per.groupBy(period).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums], F.sum("_li").alias("_li"),
+                                    F.sum("_li_n").alias("_li_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    g = per.unionByName(total.withColumn("client", F.lit("All")))
+    # one view's periods: days or weeks
+    view = Window.partitionBy("client")
+    lo, hi = F.min("_lo").over(view), F.max("_hi").over(view)
+    g = g.select("client", period, *sums, F.round(F.col("_li") / F.col("_li_n"), 6).alias("li_pct_mean"),
+                 capped_pct("conversions", "records").alias("conv_pct"), capped_pct("logins", "records").alias("login_pct"),
+                 (dbl(F.sum("records").over(view)) / F.count(F.lit(1)).over(view)).alias("mean_volume"),
+                 F.when(lo == hi, lo).alias("campaign_signature"))
+    if sla is not None:
+        lines = sla.where("brand_code = 'ALL'").groupBy(F.col("client_name").alias("client")).agg(
+            (F.sum("monthly_minimum_records") / 30.0 * days).alias("sla_minimum"))
+        g = g.join(lines.where("sla_minimum > 0"), "client", "left")
+    if targets is not None:
+        t = targets.groupBy("campaign_signature").agg(
+            (F.min("target_conv_pct") * 100.0).alias("target_conv_pct"), (F.min("target_li_pct") * 100.0).alias("target_li_pct"))
+        g = g.join(t, "campaign_signature", "left")
+    return g.drop("campaign_signature")
+
+
+def daily_efficiency(latest: DataFrame, sla: DataFrame | None = None, targets: DataFrame | None = None) -> DataFrame:
+    """O14 over the latest snapshots: per view (client or All) and date: sums, mean LI %, Conv %
+    and Login % of records capped at 100, the mean-volume line, the client's SLA / 30 line (brand
+    ALL) and target lines where the view holds exactly one signature."""
+    rows = latest.withColumn("campaign_signature", C.campaign_signature("campaign_name"))
+    return _trend(rows, "ops_date", sla, targets, 1.0)
+
+
+def weekly_efficiency(latest: DataFrame, sla: DataFrame | None = None, targets: DataFrame | None = None,
+                      as_of: str | None = None) -> DataFrame:
+    """The same per completed week; percentages recomputed from weekly sums (not
+    means of daily percentages, see H5), no LI mean; SLA × 7/30."""
+    rows = _completed_weeks(latest, as_of, None).withColumn("campaign_signature", C.campaign_signature("campaign_name"))
+    return _trend(rows, "week_start", sla, targets, 7.0).drop("li_pct_mean")
 
 
 # ---------------------------------------------------------------------------
@@ -643,9 +666,9 @@ def signature_targets(base: DataFrame, targets: DataFrame, view_key: str = "ops_
                                    F.min("campaign_signature").alias("campaign_signature"))
     t = targets.select("campaign_signature", (F.col("target_conv_pct") * 100.0).alias("target_conv_pct"),
                        (F.col("target_li_pct") * 100.0).alias("target_li_pct"), "target_cac_usd")
-    t = t.groupBy("campaign_signature").agg(F.first("target_conv_pct").alias("target_conv_pct"),
-                                            F.first("target_li_pct").alias("target_li_pct"),
-                                            F.first("target_cac_usd").alias("target_cac_usd"))
+    t = t.groupBy("campaign_signature").agg(F.min("target_conv_pct").alias("target_conv_pct"),
+                                            F.min("target_li_pct").alias("target_li_pct"),
+                                            F.min("target_cac_usd").alias("target_cac_usd"))
     j = v.join(t, "campaign_signature", "left")
     single = F.col("signatures") == 1
     return j.select(view_key, "signatures", F.when(single, F.col("campaign_signature")).alias("campaign_signature"),

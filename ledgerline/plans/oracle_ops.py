@@ -239,28 +239,28 @@ _BH = f"(CASE WHEN month({REF}) <= 6 THEN 'H1 ' ELSE 'H2 ' END || CAST(year({REF
 
 
 def _bench_col(c):
-    return (f"CASE WHEN bench_days > 0 THEN CAST(trunc(CAST(COALESCE(_b_{c}, 0) AS DOUBLE) * CAST(num_days AS DOUBLE) "
-            f"/ CAST(bench_days AS DOUBLE)) AS BIGINT) ELSE CAST(0 AS BIGINT) END")
+    return (f"CASE WHEN bench_days > 0 THEN CAST(trunc(CAST(COALESCE(_b_{c}, 0) AS DOUBLE) * (CAST(num_days AS DOUBLE) "
+            f"/ CAST(bench_days AS DOUBLE))) AS BIGINT) ELSE CAST(0 AS BIGINT) END")
 
 
+_SLA_BENCH = ["records", "kpi2_logins", "conversions", "calls", "sa", "ev", "sd", "sf", "sp", "ed", "ef", "eo"]
+
 O7 = with_ops(f""",
 known AS (SELECT * FROM ops_daily WHERE extracted_lifecycle <> 'UNKNOWN' AND ops_client <> 'UNKNOWN'),
 cur AS (SELECT ops_client, {_SLA_SUMS}, list_sort(list_distinct(array_agg(extracted_lifecycle))) AS active_lifecycles
         FROM known GROUP BY ops_client),
-prev AS (SELECT * FROM known WHERE {half('ops_date')} = {_BH}),
-bench AS (SELECT ops_client, SUM(records) AS _b_records, SUM(kpi2_logins) AS _b_kpi2_logins,
-            SUM(conversions) AS _b_conversions FROM prev GROUP BY ops_client),
-j AS (SELECT cur.*, bench._b_records, bench._b_kpi2_logins, bench._b_conversions,
+prev AS (SELECT * FROM snaps WHERE {half('ops_date')} = {_BH}),
+bench AS (SELECT ops_client, {", ".join(f"SUM({c}) AS _b_{c}" for c in _SLA_BENCH)} FROM prev GROUP BY ops_client),
+j AS (SELECT cur.*, {", ".join(f"bench._b_{c}" for c in _SLA_BENCH)},
         (SELECT CAST(COUNT(DISTINCT ops_date) AS BIGINT) FROM ops_daily) AS num_days,
         (SELECT CAST(COUNT(DISTINCT ops_date) AS BIGINT) FROM prev) AS bench_days
       FROM cur LEFT JOIN bench USING (ops_client)),
-k AS (SELECT * EXCLUDE (_b_records, _b_kpi2_logins, _b_conversions), {_bench_col('records')} AS bench_records,
-        {_bench_col('kpi2_logins')} AS bench_kpi2_logins, {_bench_col('conversions')} AS bench_conversions FROM j)
+k AS (SELECT * EXCLUDE ({", ".join(f"_b_{c}" for c in _SLA_BENCH)}), {", ".join(f"{_bench_col(c)} AS bench_{c}" for c in _SLA_BENCH)} FROM j)
 SELECT *,
   CASE WHEN bench_records <> 0 THEN (CAST(records AS DOUBLE) - CAST(bench_records AS DOUBLE)) / CAST(bench_records AS DOUBLE) * CAST(100 AS DOUBLE) END AS records_delta_pct,
   CASE WHEN bench_kpi2_logins <> 0 THEN (CAST(kpi2_logins AS DOUBLE) - CAST(bench_kpi2_logins AS DOUBLE)) / CAST(bench_kpi2_logins AS DOUBLE) * CAST(100 AS DOUBLE) END AS kpi2_logins_delta_pct,
   CASE WHEN bench_conversions <> 0 THEN (CAST(conversions AS DOUBLE) - CAST(bench_conversions AS DOUBLE)) / CAST(bench_conversions AS DOUBLE) * CAST(100 AS DOUBLE) END AS conversions_delta_pct
-FROM k""")
+FROM k""", SNAPS)
 
 O8 = with_ops(f""", {SLA_TABLE},
 mins AS (SELECT client_name, lifecycle, CAST(SUM(monthly_minimum_records) AS BIGINT) AS monthly_minimum_records
@@ -343,19 +343,29 @@ O13 = with_ops("""
 SELECT campaign_name, ops_client, ops_date, records, calls, conversions,
   strftime(snapshot_timestamp, '%Y-%m-%d %H:%M:%S') AS snapshot_at FROM latest_snaps""", SNAPS + LATEST_SNAPS)
 
-O14 = with_ops(f""",
-g AS (SELECT ops_date, CAST(SUM(records) AS BIGINT) AS records, CAST(SUM(conversions) AS BIGINT) AS conversions,
-        CAST(SUM(kpi2_logins) AS BIGINT) AS logins, ROUND(AVG(li_pct * CAST(100 AS DOUBLE)), 6) AS li_pct_mean
-      FROM ops_daily GROUP BY ops_date)
-SELECT *, {capped('conversions', 'records')} AS conv_pct, {capped('logins', 'records')} AS login_pct,
-  (SELECT CAST(SUM(records) AS DOUBLE) / COUNT(*) FROM g) AS mean_volume
-FROM g""")
-
-O15 = with_ops(f""",
-wk AS (SELECT *, {week_start('ops_date')} AS week_start FROM ops_daily WHERE ops_date <= {last_thu(REF)}),
-g AS (SELECT week_start, CAST(SUM(records) AS BIGINT) AS records, CAST(SUM(conversions) AS BIGINT) AS conversions,
-        CAST(SUM(kpi2_logins) AS BIGINT) AS logins FROM wk GROUP BY week_start)
-SELECT *, {capped('conversions', 'records')} AS conv_pct, {capped('logins', 'records')} AS login_pct FROM g""")
+_SNAP_SIG = """CASE WHEN regexp_matches(replace(campaign_name, '-', '_'), '_\\d+_\\d+$') AND contains(campaign_name, '_')
+    THEN regexp_replace(campaign_name, '_[^_]*$', '') ELSE campaign_name END"""
+
+
+def _trend(period: str, source: str, days: str, li: str) -> str:
+    return with_ops(f""", {SLA_TABLE},
+r AS (SELECT *, {_SNAP_SIG} AS sig FROM {source}),
+v AS (SELECT ops_client AS client, * FROM r UNION ALL SELECT 'All' AS client, * FROM r),
+one AS (SELECT client, CASE WHEN COUNT(DISTINCT sig) = 1 THEN MIN(sig) END AS sig FROM v GROUP BY client),
+g AS (SELECT client, {period}, CAST(SUM(records) AS BIGINT) AS records, CAST(SUM(calls) AS BIGINT) AS calls,
+        CAST(SUM(conversions) AS BIGINT) AS conversions, CAST(SUM(kpi2_logins) AS BIGINT) AS logins{li}
+      FROM v GROUP BY client, {period}),
+m AS (SELECT client, CAST(SUM(records) AS DOUBLE) / COUNT(*) AS mean_volume FROM g GROUP BY client),
+sla AS (SELECT client_name AS client, CAST(SUM(monthly_minimum_records) AS DOUBLE) / CAST(30 AS DOUBLE) * CAST({days} AS DOUBLE) AS sla_minimum
+        FROM contractual_volumes WHERE brand_code = 'ALL' GROUP BY client_name HAVING SUM(monthly_minimum_records) > 0)
+SELECT g.*, {capped('conversions', 'records')} AS conv_pct, {capped('logins', 'records')} AS login_pct, mean_volume, sla_minimum,
+  (CAST(0.02 AS DOUBLE) + (length(one.sig) % 5) * CAST(0.01 AS DOUBLE)) * CAST(100 AS DOUBLE) AS target_conv_pct,
+  (CAST(0.10 AS DOUBLE) + (length(one.sig) % 7) * CAST(0.01 AS DOUBLE)) * CAST(100 AS DOUBLE) AS target_li_pct
+FROM g JOIN m USING (client) JOIN one USING (client) LEFT JOIN sla USING (client)""", SNAPS + LATEST_SNAPS)
+
+
+O14 = _trend("ops_date", "latest_snaps", "1", ", ROUND(AVG(li_pct * CAST(100 AS DOUBLE)), 6) AS li_pct_mean")
+O15 = _trend("week_start", f"(SELECT *, {week_start('ops_date')} AS week_start FROM latest_snaps WHERE ops_date <= {last_thu(REF)})", "7", "")
 
 
 def _score(src: str, keys: str) -> str:

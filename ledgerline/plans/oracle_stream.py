@@ -16,7 +16,8 @@ EVENTS = f"""contact_events AS (
     FROM events)
   WHERE event_type IS NOT NULL
 ),
-dedup AS (SELECT DISTINCT ON (box_id, contact_id, event_type, event_at) * FROM contact_events)"""
+dedup AS (SELECT DISTINCT ON (box_id, contact_id, event_type, event_at) * FROM contact_events
+  ORDER BY box_id, contact_id, event_type, event_at, event_id)"""
 
 R1 = with_ops("""
 SELECT campaign_name, ops_client, ops_brand, ops_date, records, conversions, CAST(total_cost AS DOUBLE) AS total_cost,
@@ -28,7 +29,11 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, CAST(COUNT(*) AS
   ROUND(SUM(value), 6) AS total_value
 FROM events GROUP BY 1, 2"""
 
-R5 = f"WITH {EVENTS}\nSELECT DISTINCT box_id, contact_id, event_type, event_at FROM contact_events"
+R5 = f"""WITH {EVENTS},
+feed AS (SELECT * FROM contact_events
+  UNION ALL SELECT * REPLACE (event_id + 1000000000000 AS event_id) FROM contact_events WHERE event_id % 2 = 0)
+SELECT box_id, contact_id, event_type, event_at, CAST(min(event_id) AS BIGINT) AS event_id, arg_min(value, event_id) AS value
+FROM feed GROUP BY box_id, contact_id, event_type, event_at"""
 
 _STEPS = ", ".join(f"CAST(COUNT(DISTINCT CASE WHEN event_type = '{s}' THEN contact_id END) AS BIGINT) AS {s}_contacts"
                    for s in FUNNEL_STEPS)

@@ -149,7 +149,7 @@ OPS_QUERIES: dict[str, QueryFn] = {
     "o4_pulse_windows": lambda s, d: as_report(O.pulse_windows(O.daily_pulse(_ops(s, d)))),
     "o5_historical_benchmarks": lambda s, d: as_report(_bench(s, d)),
     "o6_half_over_half": lambda s, d: as_report(O.half_over_half(_ops(s, d))),
-    "o7_sla_fulfilment": lambda s, d: as_report(O.sla_fulfilment(_ops(s, d))),
+    "o7_sla_fulfilment": lambda s, d: as_report(O.sla_fulfilment(_ops(s, d), _snaps(s, d))),
     "o8_sla_breaches": lambda s, d: as_report(O.sla_breaches(_ops(s, d), dims.contractual_volumes(s))),
     "o9_volume_90d": lambda s, d: as_report(O.volume_90d(_ops(s, d))),
     "o10_cac_header": lambda s, d: as_report(O.cac_header(_ops(s, d), _bench(s, d))),
@@ -158,8 +158,10 @@ OPS_QUERIES: dict[str, QueryFn] = {
     "o13_latest_snapshots": lambda s, d: _latest_snaps(s, d).select(
         "campaign_name", "ops_client", "ops_date", "records", "calls", "conversions",
         F.date_format("snapshot_timestamp", "yyyy-MM-dd HH:mm:ss").alias("snapshot_at")),
-    "o14_daily_efficiency": lambda s, d: as_report(O.daily_efficiency(_ops(s, d))),
-    "o15_weekly_efficiency": lambda s, d: as_report(O.weekly_efficiency(_ops(s, d))),
+    "o14_daily_efficiency": lambda s, d: as_report(O.daily_efficiency(
+        _latest_snaps(s, d), dims.contractual_volumes(s), dims.granular_benchmarks(_ops(s, d)))),
+    "o15_weekly_efficiency": lambda s, d: as_report(O.weekly_efficiency(
+        _latest_snaps(s, d), dims.contractual_volumes(s), dims.granular_benchmarks(_ops(s, d)))),
     "o16_pitch_scorecard": lambda s, d: as_report(O.pitch_scorecard(_base(s, d))),
     "o17_color_bands": lambda s, d: O.pitch_scorecard(_base(s, d)).select(
         "core_signature", "deliveries_band", "delivery_rate_band", "engagement_band"),
@@ -240,10 +242,22 @@ def _r4_event_pulse(spark, sf_dir):
                     F.round("total_value", 6).alias("total_value"))
 
 
+#: What a re-delivered event adds to its id.
+REDELIVERED = 1_000_000_000_000
+
+
 def _events(spark, sf_dir):
     return TD.contact_events(spark, sf_dir)
 
 
+def _r5_journey_dedup(spark, sf_dir):
+    """A feed in which every event of an even id is delivered a second time under a new id."""
+    events = _events(spark, sf_dir)
+    again = events.where(F.col("event_id") % 2 == 0).withColumn("event_id", F.col("event_id") + REDELIVERED)
+    feed = events.unionByName(again)
+    return J.dedup_batch(feed).select(*J.DEDUP_KEYS, F.col("event_id").cast("bigint").alias("event_id"), "value")
+
+
 def _s1_financial_files(spark, sf_dir):
     """The monthly fact exported as detailed-format files
     (``brand/brand_yyyy_mm.csv``), re-read in one pass and summed."""
@@ -299,7 +313,7 @@ STREAM_QUERIES: dict[str, QueryFn] = {
     "s4_ops_files": _s4_ops_files,
     "r1_stream_ops_ingest": _r1_stream_ingest,
     "r4_stream_event_pulse": _r4_event_pulse,
-    "r5_journey_dedup": lambda s, d: _events(s, d).select(*J.DEDUP_KEYS).distinct(),
+    "r5_journey_dedup": _r5_journey_dedup,
     "r6_journey_funnel": lambda s, d: as_report(J.funnel(_events(s, d), _pa(s, d))),
     "r7_time_to_convert": lambda s, d: J.time_to_convert(_events(s, d)),
     "r7b_time_to_convert_histogram": lambda s, d: J.time_to_convert_histogram(_events(s, d)),

@@ -141,9 +141,13 @@ def display_round(df: DataFrame, digits: int = 2, pct_cols: list[str] | None = N
     return df.select(*cols)
 
 
+# The report columns shown as spreadsheet percentages (0–1).
+PERCENT_COLS = ["profitable_pct", "hold_pct", "top_10_pct_ggr_share", "retention_pct"]
+
+
 def write_multitab_report(tabs: dict[str, DataFrame], root: str) -> dict[str, str]:
     """One output table per tab (brand tabs partitioned by brand), months
-    shown as ``August 2025``."""
+    shown as ``August 2025``, percentages as fractions."""
     from .functions.core import pretty_month
     out = {}
     for name, df in tabs.items():
@@ -151,7 +155,7 @@ def write_multitab_report(tabs: dict[str, DataFrame], root: str) -> dict[str, st
         if "month" in d.columns:
             d = d.withColumn("month_label", pretty_month("month"))
         part = ["brand"] if "brand" in d.columns else None
-        out[name] = write_report(display_round(d), root, name, part)
+        out[name] = write_report(display_round(d, pct_cols=PERCENT_COLS), root, name, part)
     return out
 
 

@@ -31,6 +31,9 @@ CONTRACTUAL_VOLUMES = [
     ("Orchid Media", "BAH", "ROC", 500),
     ("Orchid Media", "KO", "FD", 400),
     ("Orchid Media", "KO", "CHU", 300),
+    # brand ALL: minimums of the client as a whole
+    ("Northwind Gaming", "ALL", "WB", 300),
+    ("Orchid Media", "ALL", "ROC", 200),
 ]
 
 

@@ -125,3 +125,26 @@ def test_approx_distinct_option(spark):
     approx = {r.country: r.total_players for r in FIN.geographic_summary(pa, approx=True).collect()}
     assert set(exact) == set(approx)
     assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
+
+
+def test_whale_share_matches_a_sort(spark):
+    """Ties, amounts that share a bucket, losses, null amounts and a null brand, against a plain sort."""
+    from decimal import Decimal
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["2024-01", "2024-02"]),
+             rng.choice([None, Decimal(0), Decimal(-7), Decimal("100.00"), Decimal("100.01"), Decimal("100.49"),
+                         Decimal(rng.randint(1, 10 ** rng.randint(1, 9))) / 100])) for i in range(900)]
+    rows += [(1000, "loss", "2024-01", Decimal(-5)), (1001, "one", "2024-01", Decimal(3))]
+    pa = spark.createDataFrame(rows, "id long, brand string, report_month string, revenue decimal(18,2)")
+    got = {(r["_level"], r["brand"], r["month"]): r["top_10_pct_ggr_share"] for r in FIN.whale_shares(pa).collect()}
+    groups = {}
+    for _, brand, month, revenue in rows:
+        if brand is not None:
+            groups.setdefault((0, brand, month), []).append(revenue)
+        groups.setdefault((1, "Combined", month), []).append(revenue)
+    want = {}
+    for key, values in groups.items():
+        good = sorted((v for v in values if v is not None and v > 0), reverse=True)
+        total = sum(v for v in values if v is not None)
+        want[key] = float(sum(good[:max(1, len(good) // 10)])) / float(total) * 100.0 if total else 0.0
+    assert got == want

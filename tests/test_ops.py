@@ -137,3 +137,22 @@ def test_sla_breach_and_pacing(spark):
     assert br["RND"].pro_rated_target == 10.0 and not br["RND"].breach
     pace = O.sla_pacing(_ops_rows(spark, rows), sla).collect()[0]
     assert pace.mtd_records == 70 and abs(pace.pacing - 70 / (330 / 30 * 10)) < 1e-12 and pace.status == "under"
+
+
+def test_daily_efficiency_lines(spark):
+    """One client with one signature gets its targets; its SLA line is brand ALL only."""
+    day = dt.date(2025, 1, 3)
+    rows = [("A", "x-DK", day, 10, 5, 1, 20, 0.5), ("A", "x-DK", dt.date(2025, 1, 4), 30, 0, 0, 3, None),
+            ("B", "y-DK", day, 0, 1, 1, 1, 0.1), ("B", "z-DK", day, 4, 1, 1, 1, 0.3)]
+    latest = spark.createDataFrame(rows, "ops_client string, campaign_name string, ops_date date, records long, calls long, "
+                                         "conversions long, kpi2_logins long, li_pct double")
+    sla = spark.createDataFrame([("A", "ALL", "WB", 60), ("A", "Q", "WB", 999), ("B", "Q", "WB", 5)],
+                                "client_name string, brand_code string, lifecycle string, monthly_minimum_records int")
+    targets = spark.createDataFrame([("x-DK", 0.25, 0.5)], "campaign_signature string, target_conv_pct double, target_li_pct double")
+    got = {(r.client, r.ops_date.day): r for r in O.daily_efficiency(latest, sla, targets).collect()}
+    a, b, both = got["A", 3], got["B", 3], got["All", 3]
+    assert (a.records, a.calls, a.conv_pct, a.login_pct, a.mean_volume, a.sla_minimum, a.target_conv_pct, a.target_li_pct) \
+        == (10, 5, 10.0, 100.0, 20.0, 2.0, 25.0, 50.0)
+    assert (b.records, b.li_pct_mean, b.sla_minimum, b.target_conv_pct) == (4, 20.0, None, None)
+    assert (both.records, both.li_pct_mean, both.sla_minimum, both.mean_volume) == (14, 30.0, None, 22.0)
+    assert got["A", 4].li_pct_mean is None

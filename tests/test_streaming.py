@@ -91,3 +91,25 @@ def test_dedup_within_watermark(spark, tmpdir_path):
     t = S.run_to_table(stream, "dedup_test", f"{tmpdir_path}/chk", mode="append")
     assert t.count() == 2
     assert J.dedup_batch(df).count() == 2
+
+
+def test_exact_medians_match_statistics(spark):
+    import random
+    import statistics
+    rng = random.Random(3)
+    rows = [(k, rng.choice([0.25, 1.5, 1.75, rng.uniform(0, 50), 7.0])) for k in "abc" for _ in range(rng.randint(1, 200))]
+    rows += [("one", 4.5), ("two", 1.0), ("two", 9.0)]
+    got = {r["k"]: (r["contacts"], r["median"]) for r in J.exact_medians(
+        spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()}
+    for k in {k for k, _ in rows}:
+        values = [v for x, v in rows if x == k]
+        assert got[k][0] == len(values)
+        assert abs(got[k][1] - statistics.median(values)) < 1e-9
+
+
+def test_dedup_keeps_the_smallest_event_id(spark):
+    rows = [("box1", 1, "call", "2024-01-01 00:00:00", 9, 5.0), ("box1", 1, "call", "2024-01-01 00:00:00", 4, 7.0),
+            ("box1", 1, "login", "2024-01-01 00:00:00", 6, None)]
+    df = spark.createDataFrame(rows, "box_id string, contact_id long, event_type string, event_at string, event_id long, value double")
+    got = {(r.event_type, r.event_id, r.value) for r in J.dedup_batch(df).collect()}
+    assert got == {("call", 4, 7.0), ("login", 6, None)}
