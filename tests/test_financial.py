@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import financial as FIN
