@@ -94,12 +94,14 @@ def subword_counts(column: pa.Array, buckets: int) -> Iterator[np.ndarray]:
 def has_letter(column: pa.Array) -> list[bool]:
     """Whether each text has a Unicode letter (null: no)."""
     data, offsets = text_buffer(column)
-    found = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
-    out = found[offsets[1:]] > found[offsets[:-1]]
-    texts = column
-    for i in np.flatnonzero(~out & (np.diff(offsets) > 0)).tolist():
-        out[i] = _LETTER.search(texts[i].as_py()) is not None
-    return out.tolist()
+    bounds = offsets.tolist()
+    # block by block: memory stays small however long the batch's texts are
+    out = [any(_ASCII_LETTER[data[at:min(b, at + (1 << 20))]].any() for at in range(a, b, 1 << 20))
+           for a, b in zip(bounds[:-1], bounds[1:])]
+    for i, found in enumerate(out):
+        if not found and bounds[i] < bounds[i + 1]:
+            out[i] = _LETTER.search(column[i].as_py()) is not None
+    return out
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: int, buckets: int, dimensions: int,
