@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from .scratch import fresh, written
-from .words import ALNUM, gram_hashes, word_hashes
+from .words import ALNUM, gram_hashes, return_memory, text_parts, word_hashes
 
 WINDOW, GRAM = 10, 4
 #: Characters of benchmark text in one broadcast index (about 3 bytes of index each).
@@ -164,8 +164,8 @@ def _scanned(docs: DataFrame, columns: list, schema: str, indexes: list[Index])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at, until in text_parts(batch.column(batch.num_columns - 1), 1024):
+                part = batch.slice(at, until - at)
                 texts = part.column(part.num_columns - 1)
                 n, runs, items = scan(texts, shared[0].value)
                 for more in shared[1:]:
@@ -175,6 +175,7 @@ def _scanned(docs: DataFrame, columns: list, schema: str, indexes: list[Index])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(n, pa.int64()), pa.array(runs, pa.list_(pa.int64())),
                      pa.array(items, pa.list_(pa.string()))], [*part.schema.names[:-1], "n_words", "runs", "items"])
+        return_memory()
 
     return docs.select(*columns).mapInArrow(run, f"{schema}, {_FOUND}")
 
@@ -268,11 +269,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for start, until in text_parts(batch.column(at), 1024):
+                part = batch.slice(start, until - start)
                 clean = np.ones(part.num_rows, bool)
                 for index in shared:
                     clean &= np.array([not r for r in scan(part.column(at), index.value)[1]], bool)
                 yield part.filter(pa.array(clean))
+        return_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import LOWER, WHITE, text_buffer
+from .words import BLOCK, LOWER, WHITE, return_memory, text_buffer
 
 BUCKETS, DIMENSIONS, PER_LANGUAGE = 8192, 16, 1500
 UNKNOWN = "und"
@@ -68,12 +68,13 @@ def subword_counts(column: pa.Array, buckets: int) -> Iterator[np.ndarray]:
         counts = np.zeros(buckets, np.int64)
         # long texts in blocks; the grams across a block's edge are counted by the two bytes kept over
         last = np.array([blank], np.uint8)
-        for at in range(a, b, 1 << 20):
-            block = LOWER[data[at:min(b, at + (1 << 20))]]
+        for at in range(a, b, BLOCK):
+            block = LOWER[data[at:min(b, at + BLOCK)]]
             block = np.where(WHITE[block], blank, block)
-            end = [blank] if at + (1 << 20) >= b else []
-            x = np.concatenate([last, block, np.array(end, np.uint8)]).astype(np.uint32)
+            end = [blank] if at + BLOCK >= b else []
+            whole = np.concatenate([last, block, np.array(end, np.uint8)]).astype(np.uint32)
             for n in (1, 2, 3):
+                x = whole[max(0, len(last) - n + 1):]  # of the bytes kept over, those of no counted gram
                 m = len(x) - n + 1
                 if m <= 0:
                     continue
@@ -87,7 +88,7 @@ def subword_counts(column: pa.Array, buckets: int) -> Iterator[np.ndarray]:
                 if n == 1:
                     inner &= x[:m] != blank
                 counts += np.bincount(h[inner] & np.uint32(buckets - 1), minlength=buckets)
-            last = x[-2:].astype(np.uint8)
+            last = whole[-2:].astype(np.uint8)
         yield counts.astype(np.float32)
 
 
@@ -96,7 +97,7 @@ def has_letter(column: pa.Array) -> list[bool]:
     data, offsets = text_buffer(column)
     bounds = offsets.tolist()
     # block by block: memory stays small however long the batch's texts are
-    out = [any(_ASCII_LETTER[data[at:min(b, at + (1 << 20))]].any() for at in range(a, b, 1 << 20))
+    out = [any(_ASCII_LETTER[data[at:min(b, at + BLOCK)]].any() for at in range(a, b, BLOCK))
            for a, b in zip(bounds[:-1], bounds[1:])]
     for i, found in enumerate(out):
         if not found and bounds[i] < bounds[i + 1]:
@@ -245,6 +246,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
             names, scores, accepted = _predictions(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                                               pa.array(accepted, pa.bool_())], ["doc_id", "lang_pred", "score", "accepted"])
+        return_memory()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind}, lang_pred string, score double, accepted boolean")
@@ -260,6 +262,7 @@ def accepted_rows(docs: DataFrame, model: Model | None, text_col: str = "text")
             texts = batch.column(at)
             keep = _predictions(shared.value, texts)[2] if shared.value is not None else has_letter(texts)
             yield batch.filter(pa.array(keep, pa.bool_()))
+        return_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

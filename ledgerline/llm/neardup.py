@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import drop_written, fresh, written
-from .words import WHITE, gram_hashes, mix, word_hashes
+from .words import WHITE, gram_hashes, mix, return_memory, text_parts, word_hashes
 
 BINS, ROWS = 128, 4
 #: 64-bit words of the parity bitmap.
@@ -108,14 +108,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bins: int, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at, until in text_parts(batch.column(1), 512):
+                part = batch.slice(at, until - at)
                 sets = list(shingle_sets(part.column(1), k))
                 keys = np.frombuffer(b"".join(map(set_key, sets)), np.int64).reshape(-1, 2)
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(sets, bins, rows, probes).ravel()), bins // rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]),
                      pa.array(keys[:, 1]), bands.cast(pa.list_(pa.int64()))], ["doc_id", "n", "cls", "cls2", "bands"])
+        return_memory()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return picked.mapInArrow(run, "doc_id long, n long, cls long, cls2 long, bands array<long>")
@@ -126,13 +127,14 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at, until in text_parts(batch.column(1), 512):
+                part = batch.slice(at, until - at)
                 sets = list(shingle_sets(part.column(1), k))
                 keys = np.frombuffer(b"".join(map(set_key, sets)), np.int64).reshape(-1, 2)[:, 0]
                 out = pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  ["cls", "own", "shingles"])
                 yield out
+        return_memory()
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     joined = texts.join(wanted, F.col("_id") == F.col("doc_id")).select("cls", "text")

@@ -33,15 +33,15 @@ from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 from .scratch import scratch_path, written
-from .words import byte_class, span_hashes, text_buffer
+from .words import byte_class, return_memory, span_hashes, text_buffer, text_parts
 
 LENGTH, SEQUENCES = 2048, 64
 #: Tokens after which a task goes on in a new file.
 FILE_TOKENS = 1 << 26
 #: Distinct pieces of text whose ids a worker keeps.
 CACHED = 400_000
-#: Characters encoded at once.
-PART = 1 << 21
+#: Pieces of text that go to the tokenizer at once; its result takes about 1 KB a piece.
+PIECES = 1 << 13
 
 # Bytes that begin a character which is surely not white space (lead bytes of blocks that
 # hold white space are left out), and printable ASCII.
@@ -86,6 +86,10 @@ class Encoder:
         self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _learn(self, keys: list[int], texts: list[str]) -> None:
+        for at in range(0, len(keys), PIECES):
+            self._learn_some(keys[at:at + PIECES], texts[at:at + PIECES])
+
+    def _learn_some(self, keys: list[int], texts: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         total, n = int(counts.sum()), len(self.known)
@@ -129,6 +133,7 @@ def _encoder(definition: str) -> Encoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(definition)
+        return_memory()
     return _ENCODERS[key]
 
 
@@ -205,16 +210,6 @@ class SequenceFile:
         self.source.close()
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``PART`` bytes, one row at least."""
-    _, offsets = text_buffer(texts)
-    at = 0
-    while at < len(texts):
-        until = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART, "right")) - 1)
-        yield at, until
-        at = until
-
-
 def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, length: int = LENGTH,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files to ``folder`` and return the index: (doc_id, part, roll, file,
@@ -225,7 +220,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
 
     * Null and empty texts give the end id alone.
     * Order: by id, nulls first, then by text; rows that repeat an id are all written.
-    * A very long text is encoded whole; a task holds one piece of about 2 MB or one text.
+    * A very long text is encoded whole; a task holds one part of about 1 MB or one text.
     * An empty table writes no file and gives an empty index.  Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -238,7 +233,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         writer, roll = None, 0
         for batch in batches:
-            for a, b in _parts(batch.column(1)):
+            for a, b in text_parts(batch.column(1)):
                 if writer is not None and writer.tokens >= FILE_TOKENS:
                     writer.close()
                     writer, roll = None, roll + 1
@@ -253,6 +248,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
                     [batch.column(0).slice(a, n), pa.array([part] * n, pa.int32()), pa.array([roll] * n, pa.int32()),
                      pa.array([writer.uri] * n, pa.string()), pa.array(start), pa.array(counts)],
                     ["doc_id", "part", "roll", "file", "start", "n_tokens"])
+            return_memory()
         if writer is not None:
             writer.close()
 
@@ -292,6 +288,7 @@ def read_documents(index: DataFrame) -> DataFrame:
                                              ["doc_id", "start", "n_tokens", "ids_crc32"])
         if source is not None:
             source.close()
+        return_memory()
 
     located = _with_offsets(index).select("doc_id", "file", "start", "n_tokens", "first")
     placed = located.repartition(shuffle_partitions(index.sparkSession), "file").sortWithinPartitions("file", "start")

@@ -8,11 +8,16 @@ and finished with a 64-bit mixer, so no Python code runs per word.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; the temporary arrays take about 50 times that.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
+#: Bytes of whole texts that an operator works on at once (or one longer text).
+PART = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -69,6 +74,27 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def text_parts(texts: pa.Array, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``rows`` rows and about ``PART`` bytes, one row at least."""
+    _, offsets = text_buffer(texts)
+    at = 0
+    while at < len(texts):
+        until = max(at + 1, min(at + rows, int(np.searchsorted(offsets, offsets[at] + PART, "right")) - 1))
+        yield at, until
+        at = until
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def return_memory() -> None:
+    """Give the memory that numpy and Arrow have freed back to the system: Spark keeps its
+    Python workers for later stages, which need that memory elsewhere."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[starts[i]:ends[i]]; the spans are ascending and disjoint.
 
