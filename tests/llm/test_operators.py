@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
-from ledgerline.llm import chat, decontam, langid, linededup, mixing, neardup, pii, quality, queries, tokens, urlrules
+from ledgerline.llm import chat, decontam, langid, linededup, mixing, neardup, pii, quality, queries, tokens, urlrules, words
 
 LONG = "alpha beta gamma delta " * 30_000
 #: Null ids and texts, empty and white-space texts, a repeated row, one id with two texts, a very
@@ -371,3 +371,20 @@ def test_pipeline(spark):
         kept = out
     last = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
     assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in kept.collect())
+
+
+def test_blocks_do_not_change_features(monkeypatch):
+    texts = pa.array(["Ein Wort, zwei  Wörter\nund\tmehr", "", None, "x", "abc def " * 9])
+    whole = np.array(list(langid.subword_counts(texts, 1024)))
+    for block in (1, 2, 3, 7, 16):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert (np.array(list(langid.subword_counts(texts, 1024))) == whole).all()
+
+
+def test_text_parts(monkeypatch):
+    monkeypatch.setattr(words, "PART", 10)
+    texts = pa.array(["abcd", None, "efgh", "x" * 50, "", "y", "z"])
+    ranges = list(words.text_parts(texts, 3))
+    assert [a for a, _ in ranges] == [0, *[b for _, b in ranges[:-1]]] and ranges[-1][1] == len(texts)
+    assert all(b - a == 1 or (b - a <= 3 and sum(len(t or "") for t in texts[a:b].to_pylist()) <= 10) for a, b in ranges)
+    assert list(words.text_parts(texts.slice(0, 0))) == []
