@@ -247,6 +247,16 @@ def test_pii(spark, small, edge):
     assert pii.report(edge).count() == len(EDGE) and pii.report(edge.limit(0)).count() == 0
 
 
+def test_iban_followed_by_words(spark):
+    texts = {"GB82 WEST 1234 5698 7654 32 Thanks": "iban:0:27", "DE89 3704 0044 0532 0130 00 BIC COBADEFF": "iban:0:27",
+             "DE89370400440532013000 2024": "iban:0:22", "Konto DE89 3704 0044 0532 0130 00 Danke": "iban:6:33",
+             "AB12 GB82 WEST 1234 5698 7654 32 X": "iban:5:32", "NO93 8601 1117 947 NO93 8601 1117 947": "iban:0:18,iban:19:37",
+             "ZZ66 0000 0000 0000 00 AND MORE": "iban:0:22", "DE89 3704 0044 0532 0130 01 BIC": "", "DE89 3704 0044 0532 0130 00Thanks": "",
+             "AB12 " * 20_000: "", "AB12" + "C" * 200_000: ""}
+    got = pii.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.spans for r in got] == list(texts.values())
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(4)
     parts = ["\\", "\\h", "\\t", "\\c", "### ", "</turn>", "</turn>\n", ": ", "#", "<", "é", "x ", "\n", "Assistant", "\\\\"]
