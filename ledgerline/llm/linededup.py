@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .scratch import written
 from .urlrules import host_of
 
-RATIO, MIN_PAGES = 0.3, 5
+RATIO, MIN_COPIES = 0.3, 2
 _UNSEEN = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->"
 _BLOCK = r"(?i)</?(?:p|li|ul|ol|div|h[1-6]|br|nav|article|section|header|footer|main|title|table|tr|td|th|pre|blockquote)\b[^>]*>"
 
@@ -30,13 +30,13 @@ def html_lines(html: Column) -> Column:
     return F.filter(lines, lambda x: x != "")
 
 
-def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, id_col: str = "page_id",
+def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, id_col: str = "page_id",
                      url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, host, n_lines, n_dropped, text), one row per row of ``pages``: ``text`` are the
     kept lines, joined by line feeds.
 
-    A line is dropped if more than ``ratio`` of the host's pages contain it and the host has at
-    least ``min_pages`` pages.
+    A line is dropped if more than ``ratio`` of the host's pages, and at least ``MIN_COPIES`` of
+    them, contain it, however few pages the host has.
 
     * Null urls, or urls without a host, form the host "".  Null or empty html has no line.
     * Rows that repeat a page id are pages of their own; a line counts once a page.
@@ -48,8 +48,8 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
     # one more entry a page (null) counts the page itself
     seen = rows.select("host", F.explode(F.concat(hashes, F.array(F.lit(None).cast("long")))).alias("line"))
     counts = written(seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(
-        (F.col("n") > 1) | F.col("line").isNull()), "lines")
-    totals = counts.where("line is null").select("host", F.col("n").alias("total")).where(F.col("total") >= min_pages)
+        (F.col("n") >= MIN_COPIES) | F.col("line").isNull()), "lines")
+    totals = counts.where("line is null").select("host", F.col("n").alias("total"))
     common = (counts.where("line is not null").join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("total"))
               .groupBy("host").agg(F.collect_list("line").alias("common")))
     judged = rows.join(written(common, "boilerplate"), "host", "left")

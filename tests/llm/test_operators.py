@@ -315,6 +315,13 @@ def test_line_dedup(spark):
     assert linededup.drop_boilerplate(pages).count() == len(rows) and linededup.drop_boilerplate(pages.limit(0)).count() == 0
 
 
+def test_line_dedup_small_hosts(spark):
+    rows = [(i, f"http://h{n}.org/{i}", f"<p>menu</p><p>body {i}</p>") for n in (1, 2, 3, 4) for i in range(10 * n, 11 * n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in linededup.drop_boilerplate(pages).collect()}
+    assert got == {i: f"menu\nbody {i}" if i == 10 else f"body {i}" for i, _, _ in rows}
+
+
 def test_quality(spark, edge):
     def brute(text):
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
