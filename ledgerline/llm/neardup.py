@@ -101,7 +101,8 @@ def band_keys(sets: list[np.ndarray], bins: int, rows: int, probes: np.ndarray)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bins: int, rows: int) -> DataFrame:
-    """(doc_id, n, cls, cls2, bands): set size, 128-bit set key, band keys."""
+    """(doc_id, n, cls, cls2, bands, text_key): set size, 128-bit set key, band keys, and the
+    text's hash where the id is null."""
     if bins & (bins - 1) or bins % rows:
         raise ValueError("bins must be a power of two and a multiple of rows")
     probes = _probes(bins)
@@ -115,15 +116,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bins: int, r
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(sets, bins, rows, probes).ravel()), bins // rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]),
-                     pa.array(keys[:, 1]), bands.cast(pa.list_(pa.int64()))], ["doc_id", "n", "cls", "cls2", "bands"])
+                     pa.array(keys[:, 1]), bands.cast(pa.list_(pa.int64())), part.column(2)], ["doc_id", "n", "cls", "cls2", "bands", "text_key"])
         return_memory()
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, n long, cls long, cls2 long, bands array<long>")
+    doc_id = F.col(id_col).cast("long")
+    picked = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.when(doc_id.isNull(), F.xxhash64(F.col(text_col))).alias("text_key"))
+    return picked.mapInArrow(run, "doc_id long, n long, cls long, cls2 long, bands array<long>, text_key long")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(cls, shingles binary) of the wanted(cls, doc_id) classes, hashed again from the texts."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, unnamed: bool, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(cls, shingles binary) of the wanted(cls, doc_id, text_key) classes, hashed again from the
+    texts.  ``unnamed``: some have no id, their texts are found by hash among the rows without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,6 +141,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k:
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     joined = texts.join(wanted, F.col("_id") == F.col("doc_id")).select("cls", "text")
+    if unnamed:
+        texts = (docs.where(F.col(id_col).cast("long").isNull()).groupBy(F.xxhash64(F.col(text_col)).alias("text_key"))
+                 .agg(F.first(F.col(text_col)).alias("text")))
+        joined = joined.union(texts.join(wanted.where("doc_id is null"), "text_key").select("cls", "text"))
     hashed = joined.mapInArrow(run, "cls long, own long, shingles binary").where("cls = own")
     return hashed.select("cls", "shingles").dropDuplicates(["cls"])
 
@@ -253,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = written(signatures(docs, id_col, text_col, k, bins, rows), "signatures")
     out = sig.select("doc_id", "n", "cls", "cls2")
     classes = written(sig.where("n > 0").groupBy("cls", "cls2").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).drop("cls2"), "classes")
+        F.min("doc_id").alias("rep"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands")).drop("cls2"), "classes")
     in_band = classes.select("cls", F.explode("bands").alias("key"))
     shared = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(in_band.join(shared, "key"), "members")
@@ -264,8 +271,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = written(pairs, "pairs")
 
     nodes = pairs.select("a").union(pairs.select("b")).distinct()
-    wanted = classes.join(nodes, F.col("cls") == F.col("a"), "left_semi").select("cls", F.col("rep").alias("doc_id"))
-    sets = written(_sets_of(docs, wanted, id_col, text_col, k), "sets")
+    wanted = classes.join(nodes, F.col("cls") == F.col("a"), "left_semi").select("cls", F.col("rep").alias("doc_id"), "text_key")
+    unnamed = not classes.where("rep is null").isEmpty()
+    sets = written(_sets_of(docs, wanted, unnamed, id_col, text_col, k), "sets")
     stars = written(_stars(pairs, sets, percent), "stars")
     links = stars.where("linked").select("a", "b")
     comps = None if links.isEmpty() else components(links)

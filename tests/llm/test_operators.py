@@ -97,6 +97,26 @@ def test_near_duplicates_edges(spark, edge):
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
 
 
+def test_near_duplicates_null_ids(spark):
+    rng = random.Random(8)
+
+    def edited(w, at):
+        return w[:at] + ["edit"] + w[at + 1:]
+    rows = []
+    for ids in ((None, 1, 2), (None, None, None), (3, None, 4)):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(100)]
+        rows += zip(ids, map(" ".join, (base, edited(edited(base, 10), 30), edited(edited(base, 60), 80))))
+    rows += [rows[0], rows[4]]
+    # null ids as large ids of their own
+    named = [(1000 + n if i is None else i, t) for n, (i, t) in enumerate(rows)]
+    tops = {i: (size, top if top < 1000 else None) for i, (size, top) in brute_components(named).items()}
+    want = sorted(((i, *tops[own], i == tops[own][1]) for (i, _), (own, _) in zip(rows, named)), key=str)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in neardup.near_duplicates(df, k=4).collect()]
+    assert sorted(got, key=str) == want
+    assert {top for _, top in tops.values()} == {1, 3, None}
+
+
 def brute_contamination(text, items):
     def words(t):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
