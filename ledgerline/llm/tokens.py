@@ -16,14 +16,12 @@ that the index does not name belongs to a lost attempt and is never read.
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -32,107 +30,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
+from .encoders import ByteLevelEncoder
 from .scratch import scratch_path, written
-from .words import byte_class, return_memory, span_hashes, text_buffer, text_parts
+from .words import return_memory, text_parts
 
 LENGTH, SEQUENCES = 2048, 64
 #: Tokens after which a task goes on in a new file.
 FILE_TOKENS = 1 << 26
-#: Distinct pieces of text whose ids a worker keeps.
-CACHED = 400_000
-#: Pieces of text that go to the tokenizer at once; its result takes about 1 KB a piece.
-PIECES = 1 << 13
-
-# Bytes that begin a character which is surely not white space (lead bytes of blocks that
-# hold white space are left out), and printable ASCII.
-_SOLID = byte_class([*range(0x21, 0x7F), 0xC3, *range(0xC4, 0xE1), *range(0xE4, 0xF5)])
-_PRINT = byte_class(range(0x21, 0x7F))
-
-
-def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of pieces that a byte-level BPE encodes independently, text starts included.
-
-    The pre-tokenizer never joins a character with the white space after it, and splits a
-    run of white space before its last character if something follows; a blank there
-    belongs to what follows, a line feed stands alone.  So a piece may begin at a blank
-    before a solid character, at a line feed after or before one, and after that line feed."""
-    cut = np.zeros(len(data) + 1, bool)
-    cut[offsets] = True
-    if len(data):
-        same = ~cut[1:-1]  # byte i and the next one are of the same text
-        solid = _SOLID[data[1:]] & same
-        feed = (data[:-1] == 0x0A) & solid
-        cut[:-2] |= ((data[:-1] == 0x20) & solid) | feed
-        cut[1:-1] |= feed | ((data[1:] == 0x0A) & _PRINT[data[:-1]] & same)
-    return np.flatnonzero(cut[:len(data)])
-
-
-class Encoder:
-    """Encodes texts with the tokenizers library; ids of repeated pieces are remembered."""
-
-    def __init__(self, definition: str, cached: int = CACHED):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.cached = cached
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, self.kind), 0
-        self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for at in range(0, len(keys), PIECES):
-            self._learn_some(keys[at:at + PIECES], texts[at:at + PIECES])
-
-    def _learn_some(self, keys: list[int], texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        total, n = int(counts.sum()), len(self.known)
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(keys) > len(self.begin):
-            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
-        self.flat[self.used:self.used + total] = np.fromiter((i for ids in found for i in ids), self.kind, total)
-        self.begin[n:n + len(keys)] = self.used + np.cumsum(counts) - counts
-        self.count[n:n + len(keys)] = counts
-        self.known.update(zip(keys, range(n, n + len(keys))))
-        self.used += total
-
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets): the ids of text d are ids[offsets[d]:offsets[d + 1]]."""
-        data, offsets = text_buffer(column)
-        starts = pieces(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        codes, keys = pd.factorize(span_hashes(data, starts, ends))
-        where = np.empty(len(keys), np.int64)
-        where[codes[::-1]] = np.arange(len(codes))[::-1]
-        if len(self.known) + len(keys) > self.cached:
-            self._forget()
-        keys = keys.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        raw = data.tobytes()
-        self._learn([keys[i] for i in new], [raw[starts[where[i]]:ends[where[i]]].decode() for i in new])
-        rows = np.fromiter((self.known[k] for k in keys), np.int64, len(keys))[codes]
-        count = self.count[rows]
-        total = np.append(0, np.cumsum(count))
-        ids = self.flat[np.repeat(self.begin[rows] - total[:-1], count) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(starts, offsets)]
-
-
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(definition: str) -> Encoder:
+
+
+_ENCODERS: dict[int, ByteLevelEncoder] = {}
+
+
+def _encoder(definition: str) -> ByteLevelEncoder:
     """One encoder for each Python worker, whose tasks share what it remembers."""
     key = zlib.crc32(definition.encode())
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
+        _ENCODERS[key] = ByteLevelEncoder(definition)
         return_memory()
     return _ENCODERS[key]
 
@@ -218,7 +133,8 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
     ``tokenizer`` is the path, on the driver, of a byte-level BPE definition of the tokenizers
     library; its text (a few MB for any vocabulary) goes to the executors.
 
-    * Null and empty texts give the end id alone.
+    * Null and empty texts give the end id alone.  A special token's string in a text is that token,
+      as by the library's default.
     * Order: by id, nulls first, then by text; rows that repeat an id are all written.
     * A very long text is encoded whole; a task holds one part of about 1 MB or one text.
     * An empty table writes no file and gives an empty index.  Other columns are ignored.
@@ -239,7 +155,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
                     writer, roll = None, roll + 1
                 if writer is None:
                     writer = SequenceWriter(f"{folder}/part-{part:06d}-{roll:05d}-{attempt}.arrow", length, encoder.kind)
-                ids, offsets = encoder.encode(batch.column(1).slice(a, b - a))
+                ids, offsets, _ = encoder.encode(batch.column(1).slice(a, b - a))
                 counts = np.diff(offsets) + 1
                 start = writer.tokens + np.cumsum(counts) - counts
                 writer.write(np.insert(ids, offsets[1:], encoder.kind(end_id)))
