@@ -35,6 +35,9 @@ feed AS (SELECT * FROM contact_events
 SELECT box_id, contact_id, event_type, event_at, CAST(min(event_id) AS BIGINT) AS event_id, arg_min(value, event_id) AS value
 FROM feed GROUP BY box_id, contact_id, event_type, event_at"""
 
+R5B = f"""WITH {EVENTS}
+SELECT box_id, contact_id, event_type, event_at, CAST(event_id AS BIGINT) AS event_id, value FROM dedup"""
+
 _STEPS = ", ".join(f"CAST(COUNT(DISTINCT CASE WHEN event_type = '{s}' THEN contact_id END) AS BIGINT) AS {s}_contacts"
                    for s in FUNNEL_STEPS)
 _RATES = ", ".join(
@@ -75,6 +78,7 @@ ORACLES = {
     "r1_stream_ops_ingest": R1,
     "r4_stream_event_pulse": R4,
     "r5_journey_dedup": R5,
+    "r5b_journey_dedup_stream": R5B,
     "r6_journey_funnel": R6,
     "r7_time_to_convert": R7,
     "r7b_time_to_convert_histogram": R7B,

@@ -215,16 +215,33 @@ def _scratch(spark, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Sources that deliver a day in the R1 query.
+R1_SOURCES = 5
+
+
+def r1_deliveries(raw):
+    """Raw daily rows as deliveries of several sources: days of even number come twice, first with
+    other numbers and with a campaign that the second delivery drops."""
+    def row(at: str, suffix: str, more: int):
+        return F.struct(F.lit(at).alias("delivery"), F.concat("campaign", F.lit(suffix)).alias("campaign"),
+                        (F.col("records") + more).alias("records"))
+    twice = F.array(row("1", "", 1), row("1", "-DROPPED", 0), row("2", "", 0))
+    rows = raw.withColumn("source", F.concat(F.lit("box"), F.pmod(F.xxhash64("campaign"), F.lit(R1_SOURCES)).cast("string")))
+    rows = rows.withColumn("_d", F.explode(F.when(F.dayofmonth("ops_date") % 2 == 0, twice).otherwise(F.array(row("1", "", 0)))))
+    columns = [c for c in raw.columns if c not in ("campaign", "records")]
+    return rows.select(*columns, "source", "_d.delivery", "_d.campaign", "_d.records")
+
+
 def _r1_stream_ingest(spark, sf_dir):
-    """Raw daily deliveries written as files (derived from the tables),
+    """Raw daily deliveries of five sources written as files (derived from the tables),
     ingested by the file-source stream into the live table."""
     from ..streaming import ops_stream as S
     root = _scratch(spark, "r1")
-    raw = TD.ops_raw_daily(spark, sf_dir).withColumn("_m", F.date_format("ops_date", "yyyy-MM"))
-    # several tasks a month, each day whole in one file
+    feed = r1_deliveries(TD.ops_raw_daily(spark, sf_dir))
+    # a source's days lie in several files, and files hold days of several months
     split = F.pmod(F.xxhash64("ops_date"), F.lit(2))
-    raw.repartition("_m", split).write.partitionBy("_m").parquet(f"{root}/incoming")
-    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk", max_files_per_trigger=32)
+    feed.repartition("source", "delivery", split).write.partitionBy(S.SOURCE_FOLDER, S.DELIVERY_FOLDER).parquet(f"{root}/incoming")
+    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk", max_files_per_trigger=8)
     S.run_available(q)
     live = spark.read.parquet(f"{root}/out/ops_live")
     return live.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "conversions",
@@ -234,10 +251,10 @@ def _r1_stream_ingest(spark, sf_dir):
 
 
 def _r4_event_pulse(spark, sf_dir):
+    """The events as a file stream, aggregated in update mode and upserted into the pulse table."""
     from ..streaming import ops_stream as S
     root = _scratch(spark, "r4")
-    name = "r4_pulse_" + root.rsplit("-", 1)[-1]
-    t = S.run_to_table(S.event_pulse_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet"), name, f"{root}/chk")
+    t = S.run_pulse(S.event_pulse_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet"), f"{root}/pulse", f"{root}/chk")
     return t.select("day", F.col("engagement").alias("event_type"), "rows",
                     F.round("total_value", 6).alias("total_value"))
 
@@ -258,6 +275,23 @@ def _r5_journey_dedup(spark, sf_dir):
     return J.dedup_batch(feed).select(*J.DEDUP_KEYS, F.col("event_id").cast("bigint").alias("event_id"), "value")
 
 
+def _r5_journey_dedup_stream(spark, sf_dir):
+    """R5, streamed: the feed up to a day is drained and the query ends; then the last ten days
+    before that come again under new ids, together with the rest of the feed, and the query starts
+    anew from its checkpoint.  Only kept state can tell the repeated events."""
+    root = _scratch(spark, "r5")
+    events = _events(spark, sf_dir)
+    # one row: ten days before the newest event
+    cut = events.agg(F.max("event_at") - F.expr("interval 10 days")).first()[0]
+    again = events.where((F.col("event_at") <= F.lit(cut)) & (F.col("event_at") > F.lit(cut) - F.expr("interval 10 days")))
+    parts = [events.where(F.col("event_at") <= F.lit(cut)),
+             events.where(F.col("event_at") > F.lit(cut)).unionByName(again.withColumn("event_id", F.col("event_id") + REDELIVERED))]
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{root}/feed/{i}")
+        J.start_dedup(J.read_event_stream(spark, f"{root}/feed", events.schema), f"{root}/log", f"{root}/chk").awaitTermination()
+    return spark.read.parquet(f"{root}/log").select(*J.DEDUP_KEYS, F.col("event_id").cast("bigint").alias("event_id"), "value")
+
+
 def _s1_financial_files(spark, sf_dir):
     """The monthly fact exported as detailed-format files
     (``brand/brand_yyyy_mm.csv``), re-read in one pass and summed."""
@@ -314,6 +348,7 @@ STREAM_QUERIES: dict[str, QueryFn] = {
     "r1_stream_ops_ingest": _r1_stream_ingest,
     "r4_stream_event_pulse": _r4_event_pulse,
     "r5_journey_dedup": _r5_journey_dedup,
+    "r5b_journey_dedup_stream": _r5_journey_dedup_stream,
     "r6_journey_funnel": lambda s, d: as_report(J.funnel(_events(s, d), _pa(s, d))),
     "r7_time_to_convert": lambda s, d: J.time_to_convert(_events(s, d)),
     "r7b_time_to_convert_histogram": lambda s, d: J.time_to_convert_histogram(_events(s, d)),

@@ -11,8 +11,9 @@ R7  time to convert: first event per step per contact, hours between steps,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from ..functions.core import MONEY, money_sum
 
@@ -32,8 +33,30 @@ def dedup_batch(events: DataFrame) -> DataFrame:
 
 
 def dedup_stream(events: DataFrame, watermark: str = "14 days") -> DataFrame:
-    """R5 (stream): duplicates within the watermark are dropped with bounded state."""
-    return events.withWatermark("event_at", watermark).dropDuplicatesWithinWatermark(DEDUP_KEYS)
+    """R5 (stream): of the events of one key the first to arrive stays; a later one within the
+    watermark is dropped.  The state holds the keys of the watermark's span alone.
+
+    Zone-less event times count as UTC instants, whatever the session time zone is."""
+    ts = "event_at"
+    if isinstance(events.schema[ts].dataType, TimestampNTZType):
+        ts = "_event_ts"
+        events = events.withColumn(ts, F.from_utc_timestamp(F.col("event_at").cast("timestamp"), F.current_timezone()))
+    return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(DEDUP_KEYS).drop("_event_ts")
+
+
+def read_event_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int = 8) -> DataFrame:
+    """The contact-event feed, files below ``path`` in the order of their arrival."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("recursiveFileLookup", "true").parquet(path))
+
+
+def start_dedup(events: DataFrame, path: str, checkpoint: str, watermark: str = "14 days", available_now: bool = True):
+    """Append the de-duplicated feed to the event log at ``path``, partitioned by event day;
+    returns the running query.  File sink and checkpoint make a restart exactly-once."""
+    kept = dedup_stream(events, watermark).withColumn("event_day", F.date_format("event_at", "yyyy-MM-dd"))
+    w = kept.writeStream.format("parquet").outputMode("append").partitionBy("event_day").option("path", path).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
 
 
 def funnel(events: DataFrame, pa: DataFrame | None = None) -> DataFrame:

@@ -5,11 +5,13 @@ log, re-pulls a 14-day tail and keeps the daily pulse current.  Here:
 
 * R1  ``read_ops_stream``: file-source stream with a fixed schema and
       ``maxFilesPerTrigger``; the C1–C14 projections are the batch ones.
-* R2/R3 ``ops_sink_batch``: one ``foreachBatch`` appends the snapshot log,
-      routes rows older than the 14-day late-data horizon to a late-rows table
-      and replaces only the touched ``ops_month`` partitions of the live table.
+* R2/R3 ``ops_sink_batch``: one ``foreachBatch`` appends the snapshot log, copies
+      rows older than the 14-day late-data horizon to a late-rows table and
+      replaces (day, source) deliveries in the touched ``ops_month`` partitions of
+      the live table, as a kept manifest of deliveries decides.
 * R4  ``pulse_stream``: event-time windows with a watermark (day labels are
-      UTC days, independent of the session time zone).
+      UTC days, independent of the session time zone), in update mode; ``start_pulse``
+      upserts what changed into a table and logs what the state dropped.
 * R8  every query has a checkpoint; ``run_available`` uses
       ``Trigger.AvailableNow`` so a restart processes only new files.
 """
@@ -18,10 +20,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sinks import path_exists
-from pyspark.sql import functions as F
 
 from ..sources.testdata import finish_ops_rows
 
@@ -34,12 +36,27 @@ RAW_OPS_SCHEMA = (
     "ef long, optouts_all long, optout_call long, optout_sms long, optout_email long, _price decimal(22,2)")
 
 
+#: How a file's path names its source and its delivery: ``…/source=<name>/delivery=<id>/…``.
+SOURCE_FOLDER, DELIVERY_FOLDER = "source", "delivery"
+
+
+def _folder(path: Column, name: str) -> Column:
+    """The value of a ``name=value`` folder of a path, null without one."""
+    return F.nullif(F.regexp_extract(path, f"/{name}=([^/]+)/", 1), F.lit(""))
+
+
+def delivery_of(path: Column, modified: Column) -> Column:
+    """(source, at, file): which source a file comes from, which of its deliveries it belongs to
+    (ids sort by time; without one, the file's modification time), and the file."""
+    at = F.coalesce(_folder(path, DELIVERY_FOLDER), F.lpad(F.unix_micros(modified).cast("string"), 20, "0"))
+    return F.struct(_folder(path, SOURCE_FOLDER).alias("source"), at.alias("at"), path.alias("file"))
+
+
 def read_ops_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 8) -> DataFrame:
-    """Raw daily operations rows (one file per delivery) as a stream."""
+    """Raw daily operations rows as a stream; a delivery is one or more files."""
     raw = (spark.readStream.schema(RAW_OPS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .option("recursiveFileLookup", "true").parquet(path))
-    return raw.withColumn("delivery", F.struct(F.col("_metadata.file_modification_time").alias("at"),
-                                               F.col("_metadata.file_path").alias("file")))
+    return raw.withColumn("delivery", delivery_of(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")))
 
 
 def parse_stream(raw: DataFrame) -> DataFrame:
@@ -47,59 +64,106 @@ def parse_stream(raw: DataFrame) -> DataFrame:
     return finish_ops_rows(raw)
 
 
-def _watermark_before(spark: SparkSession, state_path: str, epoch_id: int):
-    """The newest day that batches before this one accepted (a replay sees the same)."""
-    if not path_exists(spark, state_path):
+def read_manifest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The manifest's entries, of the batches before one (a replayed batch sees the same)."""
+    if not path_exists(spark, path):
         return None
-    return spark.read.parquet(state_path).where(F.col("batch_id") < epoch_id).agg(F.max("watermark")).first()[0]
+    entries = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    return entries if before is None else entries.where(F.col("batch_id") < before)
+
+
+MANIFEST_SCHEMA = "ops_date date, unit string, source string, at string, known_at string, status string, rows long, batch_id long, ops_month string"
+
+
+def _unit() -> Column:
+    """What a delivery replaces within a day: its source's rows, without a source its campaign's."""
+    return F.coalesce(F.concat(F.lit("source "), "_source"), F.concat(F.lit("campaign "), "campaign_name"))
+
+
+def judge_deliveries(heads: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``heads`` (the newest delivery of each (ops_date, unit) in a batch) with ``known_at``, the one
+    that the manifest has, and a status: ``new``, ``newer``, ``same`` (more files of the known
+    delivery) or ``stale`` (older than the known one)."""
+    if known is None:
+        judged = heads.withColumn("known_at", F.lit(None).cast("string"))
+    else:
+        latest = known.groupBy("ops_month", "ops_date", "unit").agg(F.max("at").alias("known_at"))
+        judged = heads.join(latest, ["ops_month", "ops_date", "unit"], "left")
+    status = (F.when(F.col("known_at").isNull(), "new").when(F.col("at") > F.col("known_at"), "newer")
+              .when(F.col("at") == F.col("known_at"), "same").otherwise("stale"))
+    return judged.withColumn("status", status)
 
 
 def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS,
-                   state_path: str | None = None):
+                   manifest_path: str | None = None):
     """R2 + R3 as a ``foreachBatch`` function.
 
-    A delivery holds whole days: the days in a batch replace those of the live table, so
-    campaigns that a re-delivery drops are gone.  Of several rows of one campaign and day in a
-    batch the last delivered one counts (on equal times the file of the later name).  Rows older
-    than the horizon, which trails the newest day that *earlier* batches accepted, go to the live
-    table like all others and, as an audit copy, to ``late_path``; so the live table does not
-    depend on the order in which files of different days arrive.
+    Several sources deliver a day, each as one or more files, and deliver it again when late
+    numbers arrive.  The live table holds, for each (day, source), the rows of its newest
+    delivery and nothing else: a newer delivery replaces the source's rows of that day, so
+    campaigns that it drops are gone; more files of the same delivery add to it; an older one is
+    only logged.  Other sources' rows stay.  So the live table is the same however files are
+    spread over triggers and in whatever order they come.
 
-    Every table is safe to replay: the live table is replaced by day, snapshots, late rows and
-    the watermark state by batch id.  Only the months a delivery touches are read and
-    rewritten (dynamic partition overwrite).
+    * A file whose source is not known replaces campaign by campaign (the unit of replacement is
+      the campaign instead of the source), so no row of another file is lost.
+    * Of several rows of one campaign, day and source in a delivery, the one of the last file
+      counts (in a file: the one of the largest hash).
+    * The manifest keeps every judged delivery: (day, unit, source, delivery, status, rows), by
+      month and batch.  Only the entries and live rows of the months in a batch are read.
+    * Rows older than the horizon, which trails the newest day that earlier batches accepted, go
+      to the live table like all others and, as an audit copy, to ``late_path`` (so that copy,
+      unlike the live table, depends on the batches).
+    * Rows without a date are logged in the snapshots alone.
+
+    Every table is safe to replay: snapshots, late rows and manifest are replaced by batch id,
+    and a batch first takes back what an earlier attempt of its own put into the live table.
+    Only touched months are rewritten (dynamic partition overwrite).
     """
     from pyspark import StorageLevel
-    state = state_path or live_path.rstrip("/") + "_watermark"
+    manifest = manifest_path or live_path.rstrip("/") + "_manifest"
 
-    def by_batch(df: DataFrame, epoch_id: int, path: str, *parts: str) -> None:
+    def by_batch(df: DataFrame, epoch_id: int, path: str) -> None:
         (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path))
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "ops_month").parquet(path))
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("ops_month", F.date_format("ops_date", "yyyy-MM")).persist(StorageLevel.MEMORY_AND_DISK)
+        given = {f.name for f in batch.schema["delivery"].dataType.fields} if "delivery" in batch.columns else set()
+        meta = [(F.col(f"delivery.{c}") if c in given else F.lit(None)).cast("string").alias(f"_{c}") for c in ("source", "at", "file")]
+        columns = [c for c in batch.columns if c != "delivery"]
+        b = (batch.select(*columns, *meta, F.date_format("ops_date", "yyyy-MM").alias("ops_month"))
+             .withColumn("_at", F.coalesce("_at", F.lit(""))).persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            seen = _watermark_before(spark, state, epoch_id)
-            delivered = b.drop("delivery")
-            by_batch(delivered.withColumn("snapshot_timestamp", F.current_timestamp()), epoch_id, snapshot_path, "ops_month")
-            # Days in one delivery: bounded by the calendar.
-            days = [r[0] for r in b.select("ops_date").distinct().collect()]
-            if not days:
+            entries = read_manifest(spark, manifest, epoch_id)
+            seen = None if entries is None else entries.agg(F.max("ops_date")).first()[0]
+            by_batch(b.select(*columns, "ops_month").withColumn("snapshot_timestamp", F.current_timestamp()), epoch_id, snapshot_path)
+            dated = b.where(F.col("ops_date").isNotNull()).withColumn("unit", _unit())
+            # Months in a batch: bounded by the calendar.
+            months = sorted(r[0] for r in dated.select("ops_month").distinct().collect())
+            if not months:
                 return
             if seen is not None:
-                by_batch(delivered.where(F.col("ops_date") < F.date_sub(F.lit(seen), horizon_days)), epoch_id, late_path, "ops_month")
-            columns = delivered.columns
-            order = [*(["delivery"] if "delivery" in b.columns else []), F.xxhash64(*columns)]
-            accepted = b.groupBy("campaign_name").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r")).select("r.*")
+                by_batch(dated.where(F.col("ops_date") < F.date_sub(F.lit(seen), horizon_days)).select(*columns, "ops_month"),
+                         epoch_id, late_path)
+            heads = dated.groupBy("ops_month", "ops_date", "unit").agg(
+                F.max("_at").alias("at"), F.first("_source").alias("source"), F.count(F.lit(1)).alias("rows"))
+            judged = judge_deliveries(heads, None if entries is None else entries.where(F.col("ops_month").isin(months)))
+            judged = judged.checkpoint(eager=True)
+            accepted = dated.join(judged.where("status <> 'stale'").selectExpr("ops_date", "unit", "at _at"), ["ops_date", "unit", "_at"])
+            live = accepted.select(*columns, "_source", "_at", "_file", "ops_month", F.lit(epoch_id).cast("long").alias("_batch"))
             if path_exists(spark, live_path):
-                months = sorted({d.strftime("%Y-%m") for d in days})
-                current = spark.read.parquet(live_path).where(F.col("ops_month").isin(months) & ~F.col("ops_date").isin(days))
-                # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
-                accepted = current.unionByName(accepted.select(*current.columns)).checkpoint(eager=True)
-            (accepted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                current = spark.read.schema(live.schema).parquet(live_path).where(
+                    F.col("ops_month").isin(months) & (F.col("_batch") != epoch_id)).withColumn("unit", _unit())
+                replaced = judged.where("status in ('new', 'newer')").select("ops_date", "unit")
+                live = live.unionByName(current.join(replaced, ["ops_date", "unit"], "left_anti").drop("unit"))
+            # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
+            last = F.struct("_at", "_file", F.xxhash64(*columns))
+            live = (live.groupBy("ops_date", "campaign_name", "_source").agg(F.max_by(F.struct(*live.columns), last).alias("r"))
+                    .select("r.*").checkpoint(eager=True))
+            (live.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ops_month").parquet(live_path))
-            by_batch(spark.createDataFrame([(max(days),)], "watermark date"), epoch_id, state)
+            by_batch(judged.select("ops_date", "unit", "source", "at", "known_at", "status", "rows", "ops_month"), epoch_id, manifest)
         finally:
             b.unpersist()
     return fn
@@ -147,11 +211,56 @@ def event_pulse_stream(spark: SparkSession, events_path: str) -> DataFrame:
     return pulse_stream(ev, value_cols=("value",))
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Drain a streaming aggregate into a result table (memory sink, local use)
-    and return it as a DataFrame."""
-    spark = df.sparkSession
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name)
+def upsert_pulse(path: str, keys: tuple[str, ...] = ("day", "engagement")):
+    """A ``foreachBatch`` function for an aggregate in update mode: rows of a batch replace the
+    table's rows of the same keys, and only the months they fall in are read and rewritten.
+
+    A batch holds the whole new value of each key it touches, so a replay writes the same rows.
+    A key that the state has dropped keeps its last value in the table."""
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.withColumn("month", F.date_format(keys[0], "yyyy-MM")).checkpoint(eager=True)
+        # Months in a batch: bounded by the calendar.
+        months = [r[0] for r in changed.select("month").distinct().collect()]
+        if not months:
+            return
+        if path_exists(spark, path):
+            current = spark.read.schema(changed.schema).parquet(path).where(F.col("month").isin(months))
+            same = None
+            for k in keys:
+                equal = F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}"))
+                same = equal if same is None else same & equal
+            kept = current.alias("o").join(changed.select(*keys).alias("n"), same, "left_anti")
+            changed = changed.unionByName(kept).checkpoint(eager=True)
+        (changed.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("month").parquet(path))
+    return fn
+
+
+def start_pulse(pulse: DataFrame, path: str, checkpoint: str, available_now: bool = True, keys: tuple[str, ...] = ("day", "engagement")):
+    """Keep the pulse table at ``path`` current; returns the running query.  State is evicted
+    behind the watermark."""
+    w = pulse.writeStream.outputMode("update").foreachBatch(upsert_pulse(path, keys)).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def state_report(query) -> list[dict]:
+    """Per batch: event-time watermark, rows held in state, rows evicted, and late rows that
+    arrived behind the watermark and are not in the result."""
+    out = []
+    for p in query.recentProgress:
+        states = p["stateOperators"] if isinstance(p, dict) else [o for o in p.stateOperators]
+        get = (lambda o, k: o[k]) if isinstance(p, dict) else getattr
+        row = {"batch_id": p["batchId"], "input_rows": p["numInputRows"], "watermark": dict(p["eventTime"]).get("watermark")}
+        for name in ("numRowsTotal", "numRowsRemoved", "numRowsDroppedByWatermark"):
+            row[name] = sum(get(o, name) for o in states)
+        out.append(row)
+    return out
+
+
+def run_pulse(pulse: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("day", "engagement")) -> DataFrame:
+    """Drain a pulse into its table and return the table."""
+    query = start_pulse(pulse, path, checkpoint, keys=keys)
+    query.awaitTermination()
+    return pulse.sparkSession.read.parquet(path).drop("month")
