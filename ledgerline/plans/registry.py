@@ -241,7 +241,7 @@ def _r1_stream_ingest(spark, sf_dir):
     # a source's days lie in several files, and files hold days of several months
     split = F.pmod(F.xxhash64("ops_date"), F.lit(2))
     feed.repartition("source", "delivery", split).write.partitionBy(S.SOURCE_FOLDER, S.DELIVERY_FOLDER).parquet(f"{root}/incoming")
-    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk", max_files_per_trigger=8)
+    q = S.start_ops_ingest(spark, f"{root}/incoming", f"{root}/out", f"{root}/chk", max_files_per_trigger=10)
     S.run_available(q)
     live = spark.read.parquet(f"{root}/out/ops_live")
     return live.select("campaign_name", "ops_client", "ops_brand", "ops_date", "records", "conversions",

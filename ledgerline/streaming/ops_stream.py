@@ -124,7 +124,7 @@ def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_d
     manifest = manifest_path or live_path.rstrip("/") + "_manifest"
 
     def by_batch(df: DataFrame, epoch_id: int, path: str) -> None:
-        (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+        (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).hint("rebalance", "ops_month").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "ops_month").parquet(path))
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
@@ -161,7 +161,8 @@ def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_d
             last = F.struct("_at", "_file", F.xxhash64(*columns))
             live = (live.groupBy("ops_date", "campaign_name", "_source").agg(F.max_by(F.struct(*live.columns), last).alias("r"))
                     .select("r.*").checkpoint(eager=True))
-            (live.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # a month's rows together, large months in several tasks
+            (live.hint("rebalance", "ops_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ops_month").parquet(live_path))
             by_batch(judged.select("ops_date", "unit", "source", "at", "known_at", "status", "rows", "ops_month"), epoch_id, manifest)
         finally:
@@ -232,7 +233,7 @@ def upsert_pulse(path: str, keys: tuple[str, ...] = ("day", "engagement")):
                 same = equal if same is None else same & equal
             kept = current.alias("o").join(changed.select(*keys).alias("n"), same, "left_anti")
             changed = changed.unionByName(kept).checkpoint(eager=True)
-        (changed.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (changed.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("month").parquet(path))
     return fn
 
