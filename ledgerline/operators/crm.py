@@ -168,11 +168,10 @@ def _tiers(player: DataFrame, keys: list[str]) -> DataFrame:
 def tier_summary_by_brand(pa: DataFrame) -> DataFrame:
     """K5 per brand, each with its own latest month as the recency target."""
     latest = pa.groupBy("brand").agg(F.max("report_month").alias("_target"))
-    x = pa.where(F.col("id").isNotNull() & F.col("brand").isNotNull()).join(latest, "brand")
-    player = (x.groupBy("brand", "id")
-              .agg(months_distinct().alias("frequency"),
-                   money_sum("revenue").alias("monetary"),
-                   F.max(F.when(F.col("report_month") == F.col("_target"), 1).otherwise(0)).alias("recent")))
+    # players first, so that the join on the brand alone moves (or, when broadcast, meets) player rows
+    player = (pa.where(F.col("id").isNotNull() & F.col("brand").isNotNull()).groupBy("brand", "id")
+              .agg(months_distinct().alias("frequency"), money_sum("revenue").alias("monetary"), F.max("report_month").alias("_last")))
+    player = player.join(latest, "brand").withColumn("recent", F.coalesce((F.col("_last") == F.col("_target")).cast("int"), F.lit(0)))
     return _tiers(player, ["brand"])
 
 
@@ -270,7 +269,7 @@ def pareto_curve(pa: DataFrame) -> DataFrame:
     its share, rank and the cumulative player share — without a global window."""
     pl = (pa.where(F.col("id").isNotNull()).groupBy("id").agg(money_sum("revenue").alias("lifetime_ggr"))
           .where(F.col("lifetime_ggr") > 0))
-    r = rank_in_groups(pl, [], [F.col("lifetime_ggr").desc(), F.col("id").asc()], sum_col="lifetime_ggr")
+    r = rank_in_groups(pl, [], "lifetime_ggr", "id", sum_col="lifetime_ggr")
     return r.select(
         "id", "lifetime_ggr",
         F.col("_cum").cast(MONEY).alias("cumulative_ggr"),
@@ -284,7 +283,7 @@ def pareto_tiers(pa: DataFrame) -> DataFrame:
     t20 = max(t5+1,⌊20 %⌋), all clamped to the player count (ruling Q12)."""
     pl = (pa.where(F.col("id").isNotNull()).groupBy("id").agg(money_sum("ngr").alias("ngr"))
           .where(F.col("ngr") > 0))
-    r = rank_in_groups(pl, [], [F.col("ngr").desc(), F.col("id").asc()])
+    r = rank_in_groups(pl, [], "ngr", "id")
     n = F.col("_group_n")
     t1 = F.least(F.greatest(F.lit(1), F.floor(n / 100)), n)
     t5 = F.least(F.greatest(t1 + 1, F.floor(n / 20)), n)

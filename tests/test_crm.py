@@ -11,9 +11,9 @@ from conftest import pa_frame
 
 def test_rank_in_groups_matches_window(spark):
     random.seed(7)
-    data = [(g, i, float(random.randint(0, 50))) for g in ("a", "b", "hot") for i in range(400 if g == "hot" else 37)]
-    df = spark.createDataFrame(data, "g string, id long, v double")
-    got = rank_in_groups(df, ["g"], [F.col("v").desc(), F.col("id").asc()], sum_col="v", num_partitions=7)
+    data = [(g, f"{i:05d}", float(random.randint(0, 50))) for g in ("a", "b", "hot") for i in range(400 if g == "hot" else 37)]
+    df = spark.createDataFrame(data, "g string, id string, v double")
+    got = rank_in_groups(df, ["g"], "v", "id", sum_col="v", buckets=7, sample=2)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id").asc())
     exp = df.withColumn("rk", F.row_number().over(w)).withColumn(
         "cum", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -25,8 +25,8 @@ def test_rank_in_groups_matches_window(spark):
 
 
 def test_rank_global_no_groups(spark):
-    df = spark.createDataFrame([(i, float(i % 13)) for i in range(300)], "id long, v double")
-    got = rank_in_groups(df, [], [F.col("v").desc(), F.col("id").asc()], num_partitions=5)
+    df = spark.createDataFrame([(str(i), float(i % 13)) for i in range(300)], "id string, v double")
+    got = rank_in_groups(df, [], "v", "id", buckets=5)
     ranks = sorted(r._rank for r in got.collect())
     assert ranks == list(range(1, 301))
 
@@ -112,14 +112,38 @@ def test_pareto_curve_cumulative(spark):
 
 
 def test_rank_splits_a_hot_group_across_tasks(spark):
-    """A group holding most rows must not land in one task."""
-    data = [("hot", i, float(i % 97)) for i in range(3000)] + [("cold", i, 1.0) for i in range(30)]
-    df = spark.createDataFrame(data, "g string, id long, v double")
+    """A group of most rows falls into many buckets of about equal size, one exchange moves its rows,
+    and the plan holds no written table."""
     from ledgerline.operators import ranking
-    staged_tasks = (df.repartitionByRange(8, F.col("g"), F.col("v").desc(), F.col("id"))
-                    .withColumn("_pid", F.spark_partition_id()).where("g = 'hot'")
-                    .select("_pid").distinct().count())
-    assert staged_tasks > 1
-    got = ranking.rank_in_groups(df, ["g"], [F.col("v").desc(), F.col("id").asc()], num_partitions=8)
-    hot = sorted(r._rank for r in got.where("g = 'hot'").collect())
-    assert hot == list(range(1, 3001))
+    data = [("hot", f"{i:05d}", float(i % 997)) for i in range(6000)] + [("cold", f"{i:05d}", 1.0) for i in range(30)]
+    df = spark.createDataFrame(data, "g string, id string, v double").repartition(4)
+    cuts = ranking.borders(df, ["g"], "v", "id", 8)
+    sizes = [r["count"] for r in ranking._with_buckets(df, ["g"], "v", "id", 8, cuts).where("g = 'hot'").groupBy("_b", "_e", "_p").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 2 * 6000 / 8
+    got = ranking.rank_in_groups(df, ["g"], "v", "id", buckets=8)
+    assert sorted(r._rank for r in got.where("g = 'hot'").collect()) == list(range(1, 6001))
+    plan = got._jdf.queryExecution().explainString(got._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(g" in line and "_b" in line]
+    assert len(moved) == 2 and "FileScan" not in plan  # the rows once, the buckets' sums once
+    assert sum("Window" in line and "row_number" in line for line in plan.splitlines()) == 1
+
+
+def test_rank_of_heavy_values_and_nulls(spark):
+    """Half of all rows have one value: they are split by the tiebreak; nulls come last."""
+    from ledgerline.operators import ranking
+    random.seed(5)
+    rows = [(f"{i:06d}", 7.0 if i % 2 else float(random.randint(0, 40))) for i in range(4000)] + [(f"n{i}", None) for i in range(9)]
+    df = spark.createDataFrame(rows, "id string, v double")
+    cuts = ranking.borders(df, [], "v", "id", 16)
+    assert cuts.first()["_heavy"] == [7.0]
+    spread = ranking._with_buckets(df, [], "v", "id", 16, cuts).where("v = 7").groupBy("_b", "_e", "_p").count().collect()
+    assert len(spread) == 40 and {r["_e"] for r in spread} == {1}
+    got = {r.id: (r._rank, r._cum, r._group_sum) for r in rank_in_groups(df, [], "v", "id", sum_col="v", buckets=16).collect()}
+    total = sum(v for _, v in rows if v is not None)
+    cum = 0.0
+    for n, (i, v) in enumerate(sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0])), 1):
+        cum += v or 0
+        assert got[i][0] == n and got[i][2] == total
+        if v is not None:
+            assert got[i][1] == cum
+    assert rank_in_groups(df.limit(0), [], "v", "id", sum_col="v").count() == 0
