@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import campaign as C
 from ..operators import ops as O
-from .sqlkit import SLA_TABLE, month_index, with_ops, with_player_activity
+from .sqlkit import PLAYER_ACTIVITY, SLA_TABLE, month_index, with_ops, with_player_activity
 
 MONEY = "DECIMAL(18,2)"
 REF = "(SELECT MAX(ops_date) FROM ops_daily)"
@@ -812,11 +812,26 @@ ORACLES.update({
     "c19_reparse_unknown": C19,
 })
 
-# S3: the same campaign summary after the file round trip; brand keys are the
-# brand's letters and the loader title-cases the brand (initcap(trim(brand))).
+# S3: the same campaign summary after the file round trip; the loader title-cases
+# the brand (initcap(trim(brand))).
 _INITCAP = "array_to_string(list_transform(string_split(lower(trim(ops_brand)), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ')"
-S3 = F16.replace("cm AS (SELECT ops_brand AS brand,", f"cm AS (SELECT {_INITCAP} AS brand,").replace(
-    "FROM ops_daily GROUP BY 1, 2, 3),",
-    "FROM ops_daily WHERE regexp_replace(ops_brand, '[^A-Za-z]', '', 'g') <> '' GROUP BY 1, 2, 3),")
+S3 = F16.replace("cm AS (SELECT ops_brand AS brand,", f"cm AS (SELECT {_INITCAP} AS brand,")
 assert S3 != F16
 ORACLES["s3_campaign_files"] = S3
+
+ORACLES["w5_upsert_by_key"] = ORACLES["o13_latest_snapshots"]
+
+
+def _c18b() -> str:
+    from ..sources.dims import CLIENT_MAPPING
+    from .registry import CLIENT_RENAMES
+    case = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in CLIENT_RENAMES.items())
+    names = ", ".join(f"('{m[2]}')" for m in CLIENT_MAPPING)
+    every = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COALESCE(CASE {c} {case} END, {c}) AS client FROM {src}"
+        for t, c, src in (("client_mapping", "client_name", f"(VALUES {names}) m(client_name)"), ("player_activity", "client", "player_activity"),
+                          ("ops_daily", "ops_client", "ops_daily")))
+    return with_ops(f"SELECT table_name, client, CAST(COUNT(*) AS BIGINT) AS rows FROM ({every}) GROUP BY 1, 2", ",\n" + PLAYER_ACTIVITY)
+
+
+ORACLES["c18b_rename_cascade"] = _c18b()

@@ -102,3 +102,34 @@ SELECT brand, report_month, CAST(COUNT(*) AS BIGINT) AS rows FROM player_activit
 WHERE (brand, report_month) NOT IN (SELECT DISTINCT brand, report_month FROM player_activity WHERE report_month < '2025-01')
 GROUP BY brand, report_month"""
 ORACLES["s2_duplicate_policy"] = S2
+
+_ROUTED = f"""WITH {PLAYER_ACTIVITY},
+reg AS (SELECT brand, i, 'Client ' || CAST(i % 3 AS VARCHAR) AS client, ['detailed', 'basic', 'sheet_cohort', 'Standard'][CAST(i % 4 AS INTEGER) + 1] AS format
+  FROM (SELECT brand, row_number() OVER (ORDER BY brand) - 1 AS i FROM (SELECT DISTINCT brand FROM player_activity WHERE brand IS NOT NULL))),
+x AS (SELECT p.* EXCLUDE (client), r.client, r.format FROM player_activity p JOIN reg r USING (brand))"""
+
+
+def _dsum(expr: str, name: str) -> str:
+    return f"CAST(CAST(SUM({expr}) AS DECIMAL(18,2)) AS DOUBLE) AS {name}"
+
+
+S1B = _ROUTED + f"""
+SELECT client, brand, report_month, format, CAST(COUNT(*) AS BIGINT) AS rows,
+  CAST(COUNT(DISTINCT CASE format WHEN 'detailed' THEN coalesce(wb_tag, 'Unknown') WHEN 'basic' THEN wb_tag
+    ELSE trim(split_part(wb_tag, '-', 1)) END) AS BIGINT) AS segments,
+  CAST(COUNT(DISTINCT CASE WHEN format = 'detailed' THEN country ELSE 'Global' END) AS BIGINT) AS countries,
+  {_dsum('revenue', 'ggr')}, {_dsum("CASE WHEN format = 'sheet_cohort' THEN 0 ELSE bet END", 'turnover')},
+  {_dsum("CASE WHEN format = 'basic' THEN revenue ELSE ngr END", 'ngr')},
+  {_dsum("CASE WHEN format = 'basic' THEN 0 ELSE deposits END", 'deposits')}
+FROM x WHERE format <> 'Standard' GROUP BY client, brand, report_month, format"""
+
+S11 = _ROUTED + """
+SELECT lower(trim(brand)) AS brand_key, report_month, CASE WHEN format = 'Standard' THEN 'unknown format'
+    WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'no player id' WHEN CAST(id AS BIGINT) % 7 = 0 THEN 'malformed line' ELSE 'good' END AS reason,
+  CAST(COUNT(*) AS BIGINT) AS rows
+FROM x GROUP BY 1, 2, 3"""
+ORACLES.update({"s1b_routed_formats": S1B, "s11_quarantine": S11})
+
+W4B = _ROUTED + f"""
+SELECT client, brand, CAST(COUNT(*) AS BIGINT) AS rows, {_dsum('revenue', 'ggr')}, {_dsum('bet', 'turnover')} FROM x GROUP BY client, brand"""
+ORACLES["w4b_replace_client"] = W4B

@@ -306,6 +306,43 @@ def _s1_financial_files(spark, sf_dir):
         F.sum("deposit_count").cast("bigint").alias("deposit_count")))
 
 
+#: Formats that the S1 queries give the brands, in the order of their names.
+ROUTED_FORMATS = ["detailed", "basic", "sheet_cohort", "Standard"]
+
+
+def _routed_registry(spark, pa):
+    """A registry of the fact's brands (one row each) with a format for every one."""
+    names = sorted(r.brand for r in pa.select("brand").where("brand is not null").distinct().collect())
+    return spark.createDataFrame([(n, n, f"Client {i % 3}", ROUTED_FORMATS[i % len(ROUTED_FORMATS)]) for i, n in enumerate(names)],
+                                 "brand_code string, brand_name string, client_name string, financial_format string")
+
+
+def _s1b_routed_formats(spark, sf_dir):
+    """S1 over three layouts: every brand's months exported in its registry format, the directory
+    routed per file and loaded in one plan."""
+    from ..sources import routing
+    pa = _pa(spark, sf_dir)
+    registry = _routed_registry(spark, pa)
+    good, _ = routing.route_financial_files(spark, routing.export_by_format(pa, registry, _scratch(spark, "s1b")), registry)
+    return as_report(good.groupBy("client", "brand", "report_month", "format").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("segment").alias("segments"), F.countDistinct("country").alias("countries"),
+        *[F.sum(c).cast("decimal(18,2)").alias(a) for c, a in (("revenue", "ggr"), ("bet", "turnover"), ("ngr", "ngr"), ("deposits", "deposits"))]))
+
+
+def _s11_quarantine(spark, sf_dir):
+    """The same directory with spoilt lines; good rows and reason-tagged rejected lines are
+    written beside each other, and both are counted."""
+    from ..sources import routing
+    pa = _pa(spark, sf_dir)
+    registry = _routed_registry(spark, pa)
+    root = _scratch(spark, "s11")
+    paths = routing.export_by_format(pa, registry, f"{root}/files", damage=True)
+    routing.load_with_quarantine(spark, paths, registry, f"{root}/good", f"{root}/rejected")
+    good = spark.read.parquet(f"{root}/good").select(F.lower("brand").alias("brand_key"), "report_month", F.lit("good").alias("reason"))
+    rejected = spark.read.parquet(f"{root}/rejected").select("brand_key", "report_month", "reason")
+    return good.unionByName(rejected).groupBy("brand_key", "report_month", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _s3_campaign_files(spark, sf_dir):
     """S3 + F16: the monthly campaign rows exported as ``brand_yyyy_mm.csv``
     files, re-read (header aliasing, int coercion, title-cased brand, month from
@@ -340,9 +377,69 @@ def _s2_duplicate_policy(spark, sf_dir):
     return accepted.groupBy("brand", "report_month").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _w5_upsert_by_key(spark, sf_dir):
+    """The delivery log upserted by campaign, later deliveries first and some of them twice;
+    what is left is the latest delivery of each."""
+    from .. import tables
+    root = _scratch(spark, "w5")
+    snaps = _snaps(spark, sf_dir)
+    hour = F.hour("snapshot_timestamp")
+    for loaded in (snaps.where(hour.isin(12, 0)), snaps.where(hour.isin(12, 6)), snaps.where(hour == 0)):
+        tables.upsert(spark, loaded, root, "ops", ["campaign_name"], "snapshot_timestamp")
+    return tables.read_table(spark, root, "ops").select(
+        "campaign_name", "ops_client", "ops_date", "records", "calls", "conversions",
+        F.date_format("snapshot_timestamp", "yyyy-MM-dd HH:mm:ss").alias("snapshot_at"))
+
+
+#: The client that the W4b query loads anew, and the renames of the C18 cascade query.
+HEALED_CLIENT = "Client 1"
+CLIENT_RENAMES = {"Northwind Gaming": "Boreal Gaming", "ASIA": "Boreal Gaming", "EUROPE": "Europa"}
+
+
+def _w4b_replace_client(spark, sf_dir):
+    """A table by client in which one client's numbers are wrong; its rows are replaced from its
+    files, the other clients' files stay."""
+    from .. import tables
+    from ..sources import routing
+    root = _scratch(spark, "w4b")
+    pa = _pa(spark, sf_dir)
+    registry = _routed_registry(spark, pa).withColumn("financial_format", F.lit("detailed"))
+    named = pa.drop("client").join(registry.selectExpr("brand_name brand", "client_name client"), "brand")
+    columns = ["id", "client", "brand", "report_month", "bet", "revenue"]
+    wrong = F.when(F.col("client") == HEALED_CLIENT, F.col("revenue") + 1).otherwise(F.col("revenue")).cast("decimal(18,2)")
+    tables.create(spark, root, {"player_activity": (named.withColumn("revenue", wrong).select(*columns), "client")})
+    files = routing.export_by_format(named.where(F.col("client") == HEALED_CLIENT), registry, f"{root}/files")
+    good, _ = routing.route_financial_files(spark, files, registry)
+    tables.replace_parts(spark, good.select(*columns), root, "player_activity", "client", [HEALED_CLIENT])
+    return as_report(tables.read_table(spark, root, "player_activity").groupBy("client", "brand").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr"), F.sum("bet").cast("decimal(18,2)").alias("turnover")))
+
+
+def _c18b_rename_cascade(spark, sf_dir):
+    """Clients renamed and merged in the dimension, the financial and the operations table by one commit."""
+    from .. import tables
+    root = _scratch(spark, "c18b")
+    pa = _pa(spark, sf_dir).select("id", "client", "brand", "report_month", "revenue")
+    ops = _ops(spark, sf_dir).select("campaign_name", "ops_client", "ops_date", "records")
+    tables.create(spark, root, {"client_mapping": (dims.client_mapping(spark), "client_name"), "player_activity": (pa, "client"), "ops_daily": (ops, "ops_client")})
+    columns = {"client_mapping": "client_name", "player_activity": "client", "ops_daily": "ops_client"}
+    tables.rename_everywhere(spark, root, {t: (c, c) for t, c in columns.items()}, CLIENT_RENAMES)
+    out = None
+    for table, column in columns.items():
+        counts = tables.read_table(spark, root, table).groupBy(F.col(column).alias("client")).agg(F.count(F.lit(1)).alias("rows"))
+        counts = counts.select(F.lit(table).alias("table_name"), "client", "rows")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 STREAM_QUERIES: dict[str, QueryFn] = {
+    "w5_upsert_by_key": _w5_upsert_by_key,
+    "w4b_replace_client": _w4b_replace_client,
+    "c18b_rename_cascade": _c18b_rename_cascade,
     "s2_duplicate_policy": _s2_duplicate_policy,
     "s1_financial_files": _s1_financial_files,
+    "s1b_routed_formats": _s1b_routed_formats,
+    "s11_quarantine": _s11_quarantine,
     "s3_campaign_files": _s3_campaign_files,
     "s4_ops_files": _s4_ops_files,
     "r1_stream_ops_ingest": _r1_stream_ingest,

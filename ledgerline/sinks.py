@@ -100,17 +100,27 @@ def write_version(df: DataFrame, path: str, partition_by: list[str] | None = Non
     out.write(bytearray(name.encode("utf-8")))
     out.close()
     _, ptr = _fs(spark, path.rstrip("/") + "/_CURRENT")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    _rename_over(spark, tmp, ptr)
     return target
 
 
+def _rename_over(spark: SparkSession, source, target) -> None:
+    """Put ``source`` in the place of ``target`` in one step (an error leaves the old one)."""
+    sc = spark.sparkContext
+    overwrite = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = sc._gateway.new_array(overwrite, 1)
+    options[0] = overwrite.OVERWRITE
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    files = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(source), fs.makeQualified(target), options)
+
+
 def upsert(spark: SparkSession, new: DataFrame, path: str, key: list[str], version: str,
            partition_by: list[str] | None = None) -> str:
-    """Upsert by key, last write wins, written as a new version."""
+    """W5 / S5 of small tables (dimensions): upsert by key, last write wins, written whole as a new
+    version; a first load is merged with itself.  ``tables.upsert`` rewrites touched parts alone."""
     cur = current_version(spark, path)
-    merged = upsert_latest(new, spark.read.parquet(cur), key, version) if cur else new
+    merged = upsert_latest(new, spark.read.parquet(cur) if cur else new.limit(0), key, version)
     return write_version(merged, path, partition_by)
 
 

@@ -9,11 +9,13 @@ splits the work by file.  Only file *listing* happens on the driver.
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import campaign as C
 from ..functions.core import MONEY
@@ -104,16 +106,32 @@ def clean_header(name: str, strip_quotes: bool = False) -> str:
     return s.strip()
 
 
+def unquoted(path: Column) -> Column:
+    """A metadata path or name as the file system has it (as ``unquote`` does)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+#: Where the text of a malformed line is kept.
+CORRUPT = "_corrupt_line"
+
+
 def read_csv_strings(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8",
-                     strip_quotes: bool = False) -> DataFrame:
+                     strip_quotes: bool = False, header: str | None = None) -> DataFrame:
     """All columns as strings, cleaned headers, with the source file name.
 
-    PERMISSIVE mode keeps malformed rows (S11); empty files contribute no rows.
+    PERMISSIVE mode keeps malformed rows (S11); empty files contribute no rows.  With the files'
+    ``header`` line, the text of lines that have more or fewer cells than it is kept in ``CORRUPT``.
     """
-    df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-          .option("encoding", encoding).option("multiLine", False).csv(paths))
+    reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+              .option("encoding", encoding).option("multiLine", False))
+    if header is not None:
+        names = [clean_header(c, strip_quotes) for c in next(csv.reader([header]))]
+        cells = [StructField(c, StringType()) for c in [*names, CORRUPT]]
+        # cells are counted on whole lines, so no column may be pruned while parsing
+        reader = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).schema(StructType(cells))
+    df = reader.csv(paths)
     df = df.toDF(*[clean_header(c, strip_quotes) for c in df.columns])
-    return df.withColumn("_file", F.col("_metadata.file_name"))
+    return df.withColumn("_file", unquoted(F.col("_metadata.file_name"))).withColumn("_path", F.col("_metadata.file_path"))
 
 
 def files_needing_latin1(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -142,13 +160,19 @@ def read_csv_any_encoding(spark: SparkSession, paths: list[str], strip_quotes: b
     """Every file is read under its own header and encoding, and the parts are united
     by column name.  ``_header`` holds the cleaned header of the row's file; without any line
     in the files there are no rows and no other columns."""
+    return read_layouts(spark, file_layouts(spark, paths), strip_quotes).drop("_path")
+
+
+def read_layouts(spark: SparkSession, layouts: dict[tuple[str, str], list[str]], strip_quotes: bool = False,
+                 corrupt: bool = False) -> DataFrame:
+    """The files of ``file_layouts``, each read once; ``corrupt`` keeps malformed lines."""
     parts = []
-    for (_, encoding), files in file_layouts(spark, paths).items():
-        part = read_csv_strings(spark, files, encoding, strip_quotes)
-        names = [c for c in part.columns if c != "_file"]
+    for (header, encoding), files in layouts.items():
+        part = read_csv_strings(spark, files, encoding, strip_quotes, header if corrupt else None)
+        names = [c for c in part.columns if c not in ("_file", "_path", CORRUPT)]
         parts.append(part.withColumn("_header", F.array(*map(F.lit, names))))
     if not parts:
-        return spark.createDataFrame([], "_file string, _header array<string>")
+        return spark.createDataFrame([], "_file string, _path string, _header array<string>")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -161,6 +185,17 @@ def num(c: str) -> Column:
 # File-name parsing
 # ---------------------------------------------------------------------------
 
+def escape_brand(brand: Column) -> Column:
+    """A brand as part of a file name: ``%`` and ``/`` are escaped, no visible one is ``%0``."""
+    text = F.coalesce(brand, F.lit(""))
+    return F.when(F.trim(text) == "", F.lit("%0")).otherwise(F.replace(F.replace(text, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F")))
+
+
+def unescape_brand(name: Column) -> Column:
+    """The brand that ``escape_brand`` wrote."""
+    return F.when(name == "%0", F.lit("")).otherwise(F.replace(F.replace(name, F.lit("%2F"), F.lit("/")), F.lit("%25"), F.lit("%")))
+
+
 def brand_month_from_filename(name: Column, month_name_brand: str | None = None) -> tuple[Column, Column]:
     """``brand_yyyy_mm.ext`` or ``yyyy-mm brand.ext``; for the one client
     whose exports are named with a month name and a two-digit year (``Jan '26``),
@@ -180,7 +215,7 @@ def brand_month_from_filename(name: Column, month_name_brand: str | None = None)
         named = lower.contains(month_name_brand.lower()) & month_num.isNotNull() & (yy != "")
     brand = (F.when(named, F.lit(month_name_brand.lower() if month_name_brand else None))
              .when(lower.rlike(p1), F.regexp_extract(lower, p1, 1))
-             .when(F.trim(stem).rlike(p2), F.lower(F.trim(F.regexp_extract(F.trim(stem), p2, 3)))))
+             .when(F.trim(stem).rlike(p2), F.lower(F.trim(unescape_brand(F.regexp_extract(F.trim(stem), p2, 3))))))
     month = (F.when(named, F.concat(F.lit("20"), yy, F.lit("-"), month_num))
              .when(lower.rlike(p1), F.concat(F.regexp_extract(lower, p1, 2), F.lit("-"), F.regexp_extract(lower, p1, 3)))
              .when(F.trim(stem).rlike(p2), F.concat(F.regexp_extract(F.trim(stem), p2, 1), F.lit("-"),
@@ -229,7 +264,10 @@ def adapt_detailed(raw: DataFrame, target_brand: Column | str, target_client: Co
     x = x.withColumn("id", F.trim("id")).where(F.col("id").isNotNull() & (F.col("id") != "") & (F.col("id") != "nan"))
     for c in MONEY_COLS:
         x = x.withColumn(c, num(c) if c in x.columns else F.lit(0).cast(MONEY))
-    x = x.withColumn("deposit_count", F.coalesce(F.col("deposit_count").try_cast("double").cast("bigint"), F.lit(0)))
+    if "brand" not in x.columns:
+        x = x.withColumn("brand", F.lit(None).cast("string"))
+    count = F.col("deposit_count").try_cast("double").cast("bigint") if "deposit_count" in x.columns else F.lit(None).cast("bigint")
+    x = x.withColumn("deposit_count", F.coalesce(count, F.lit(0)))
     x = x.withColumn("segment", F.coalesce(F.col("wb_tag"), F.lit("Unknown")) if seg_col else F.lit("Unknown"))
     x = x.withColumn("brand", F.when(F.trim(F.coalesce("brand", F.lit(""))) == "", tb).otherwise(F.col("brand")))
     x = x.withColumn("client", tc)
@@ -247,18 +285,27 @@ def reactivation_delay(df: DataFrame) -> DataFrame:
             .withColumn("reactivation_days", F.datediff("reactivation_date", "campaign_start_date")))
 
 
-def adapt_basic(raw: DataFrame, target_brand: str, target_client: str) -> DataFrame | None:
+def _literal(x: Column | str) -> Column:
+    return F.lit(x) if isinstance(x, str) else x
+
+
+def _carried(raw: DataFrame) -> list[str]:
+    """The month and the per-file targets (directory loads), where a frame has them."""
+    return [c for c in ("report_month", "_tb", "_tc") if c in raw.columns]
+
+
+def adapt_basic(raw: DataFrame, target_brand: Column | str, target_client: Column | str) -> DataFrame | None:
     """Six required headers (else the file is rejected); NGR := revenue,
     country := Global, verticals/deposits/bonus = 0, dates null."""
     if any(h not in raw.columns for h in BASIC_HEADERS):
         return None
-    x = raw.select(*[F.col(f"`{k}`").alias(v) for k, v in BASIC_HEADERS.items()], "_file",
-                   *(["report_month"] if "report_month" in raw.columns else []))
+    # the file's own brand column is not used
+    x = raw.select(*[F.col(f"`{k}`").alias(v) for k, v in BASIC_HEADERS.items() if v != "brand"], "_file", *_carried(raw))
     x = x.where(F.col("id").isNotNull())
     for c in ("bet", "revenue"):
         x = x.withColumn(c, num(c))
-    x = (x.withColumn("segment", F.col("wb_tag")).withColumn("client", F.lit(target_client))
-         .withColumn("brand", F.lit(target_brand)).withColumn("ngr", F.col("revenue"))
+    x = (x.withColumn("segment", F.col("wb_tag")).withColumn("client", _literal(target_client))
+         .withColumn("brand", _literal(target_brand)).withColumn("ngr", F.col("revenue"))
          .withColumn("country", F.lit("Global")).withColumn("deposit_count", F.lit(0).cast("bigint")))
     for c in MONEY_COLS:
         if c not in x.columns:
@@ -269,7 +316,7 @@ def adapt_basic(raw: DataFrame, target_brand: str, target_client: str) -> DataFr
     return _finish(x)
 
 
-def adapt_sheet_cohort(raw: DataFrame, target_brand: str, target_client: str) -> DataFrame | None:
+def adapt_sheet_cohort(raw: DataFrame, target_brand: Column | str, target_client: Column | str) -> DataFrame | None:
     """T4: one row set per sheet (``sheet_name`` column): segment = text before
     the first ``-``, wb_tag = the sheet name, country from the ROC/ONT prefix;
     revenue/NGR/deposits columns located by substring; bet = 0."""
@@ -285,8 +332,7 @@ def adapt_sheet_cohort(raw: DataFrame, target_brand: str, target_client: str) ->
 
     ggr, ngr, dep = find(SHEET_GGR_MATCH), find(SHEET_NGR_MATCH), find(SHEET_DEPOSITS_MATCH, "#")
     sheet = F.coalesce(F.col("sheet_name"), F.lit("UNKNOWN")) if "sheet_name" in raw.columns else F.lit("UNKNOWN")
-    x = raw.select(F.col(f"`{SHEET_ID_HEADER}`").alias("id"), sheet.alias("_sheet"), "_file",
-                   *(["report_month"] if "report_month" in raw.columns else []),
+    x = raw.select(F.col(f"`{SHEET_ID_HEADER}`").alias("id"), sheet.alias("_sheet"), "_file", *_carried(raw),
                    *[(F.col(f"`{c}`") if c else F.lit(None)).alias(a) for c, a in ((ggr, "revenue"), (ngr, "ngr"), (dep, "deposits"))])
     x = x.where(F.col("id").isNotNull())
     for c in ("revenue", "ngr", "deposits"):
@@ -294,7 +340,7 @@ def adapt_sheet_cohort(raw: DataFrame, target_brand: str, target_client: str) ->
     for c in MONEY_COLS:
         if c not in x.columns:
             x = x.withColumn(c, F.lit(0).cast(MONEY))
-    x = (x.withColumn("client", F.lit(target_client)).withColumn("brand", F.lit(target_brand))
+    x = (x.withColumn("client", _literal(target_client)).withColumn("brand", _literal(target_brand))
          .withColumn("country", F.when(F.col("_sheet").startswith("ROC"), "CA-ROC")
                      .when(F.col("_sheet").startswith("ONT"), "CA-ONT").otherwise("Global"))
          .withColumn("segment", F.when(F.col("_sheet").contains("-"), F.trim(F.split("_sheet", "-").getItem(0)))
@@ -354,8 +400,6 @@ def load_financial_directory(spark: SparkSession, files: list[str], mapping: Dat
                              F.col("brand_name").alias("_brand")), "_key", "left")
     raw = (raw.withColumn("_tb", F.coalesce(F.col("_brand"), F.initcap(F.col("_key"))))
            .withColumn("_tc", F.coalesce(F.col("_client"), F.lit("UNKNOWN"))))
-    if fmt != "detailed":
-        raise ValueError("directory loads with per-file targets are implemented for the detailed format")
     return adapter(raw, F.col("_tb"), F.col("_tc"))
 
 
@@ -432,32 +476,47 @@ def load_ops_files(spark: SparkSession, paths: list[str], mapping: DataFrame) ->
 
 
 def upsert_latest(new: DataFrame, old: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Last write wins per key: the newest version, on equal versions the new row."""
+    """Last write wins per key: the newest version, on equal versions the new row (of several
+    new ones the one of the largest hash)."""
     u = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.col("_new").desc())
+    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.col("_new").desc(), F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]).desc())
     return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_new")
 
 
+def daily_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[tuple[str, int]]]:
+    """Files by header, the second line of each, from one distributed read: (path, number of that
+    line in the read).  A file's first block is read by one task in order, so its lines carry
+    consecutive numbers there.  One row per file reaches the driver."""
+    lines = _numbered(spark, paths).where(F.col("block") == 0)
+    first = lines.groupBy(F.col("path").alias("of")).agg(F.min("line").alias("title"))
+    second = lines.join(first, (F.col("path") == F.col("of")) & (F.col("line") == F.col("title") + 1)).select("path", "value")
+    out: dict[str, list[str]] = {}
+    for r in sorted(second.collect()):
+        out.setdefault(r.value, []).append(unquote(r.path))
+    return out
+
+
+def _numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"),
+                                         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
 def merge_daily_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per-source exports of one day merged by column name.  Each export has
-    a title line with the real header on the 2nd line; the two lines are read
-    with one small ``take(2)`` per source, the body is parsed with ``from_csv``.
-    Rows that are entirely null are dropped."""
-    import csv
+    """Per-source exports of one day merged by column name.  Each export has a title line and
+    the real header on the 2nd line; files of equal headers are parsed together with ``from_csv``,
+    so the plan has a scan per layout, not per file.  Rows that are entirely null are dropped;
+    files without a header line give no rows (S11), and if all are such there is no column."""
     frames = []
-    for p in paths:
-        lines = spark.read.text(p)
-        head = lines.take(2)
-        if len(head) < 2:
-            continue  # S11: empty or header-only export
-        header = head[1].value
+    for header, files in daily_layouts(spark, paths).items():
         names = [clean_header(h) for h in next(csv.reader([header]))]
         ddl = ", ".join(f"`{n}` STRING" for n in names)
-        # the first two lines of the file, wherever else their text occurs
-        line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        numbered = lines.select("value", F.col("_metadata.file_block_start").alias("_block"), line.alias("_line"))
-        body = numbered.where((F.col("_block") > 0) | (F.col("_line") >= 2))
+        lines = _numbered(spark, files)
+        # the first two lines of each file, wherever else their text occurs
+        first = lines.where(F.col("block") == 0).groupBy(F.col("path").alias("of")).agg(F.min("line").alias("title"))
+        body = lines.join(first, F.col("path") == F.col("of")).where((F.col("block") > 0) | (F.col("line") > F.col("title") + 1))
         frames.append(body.select(F.from_csv("value", ddl).alias("r")).select("r.*"))
+    if not frames:
+        return spark.createDataFrame([], "")
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return merged.na.drop("all")
 
@@ -478,13 +537,18 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn) -> list[str]:
-    """Write one CSV (with header) per distinct ``key_cols`` value and rename it
-    to ``name_fn(*key values)`` — the file naming the exports arrive with.
-    Only file names pass through the driver (one listing of the output)."""
+#: Files that one key's rows are dealt to, so that a hot key is not one task.
+EXPORT_SPLITS = 2
+
+
+def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn, splits: int = EXPORT_SPLITS) -> list[str]:
+    """Write CSV files (with header) per distinct ``key_cols`` value, named
+    ``name_fn(*key values)``, the naming the exports arrive with, in up to ``splits``
+    numbered folders.  Only file names pass through the driver (one listing of the output)."""
     spark = df.sparkSession
     stage = root.rstrip("/") + "/_stage"
-    (df.repartition(*key_cols).write.partitionBy(*key_cols).option("header", True)
+    salted = df.withColumn("_split", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(splits)))
+    (salted.repartition(*key_cols, "_split").write.partitionBy(*key_cols, "_split").option("header", True)
      .option("encoding", "UTF-8").csv(stage))
     fs, base = _fs(spark, stage)
     it = fs.listFiles(base, True)
@@ -494,9 +558,8 @@ def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn) ->
         path = st.getPath()
         if not path.getName().endswith(".csv"):
             continue
-        parts = {kv.split("=", 1)[0]: kv.split("=", 1)[1] for kv in str(path.getParent().toUri().getPath()).split("/")
-                 if "=" in kv}
-        target = root.rstrip("/") + "/" + name_fn(*[parts[k] for k in key_cols])
+        parts = {k: unquote(v) for k, v in (kv.split("=", 1) for kv in str(path.getParent().toUri().getPath()).split("/") if "=" in kv)}
+        target = f"{root.rstrip('/')}/{parts['_split']}/{name_fn(*[parts[k] for k in key_cols])}"
         _, tp = _fs(spark, target)
         fs.mkdirs(tp.getParent())
         if not fs.rename(path, tp):
@@ -506,7 +569,7 @@ def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn) ->
 
 
 def export_detailed(pa: DataFrame, root: str) -> dict[str, list[str]]:
-    """PlayerRecord rows → detailed-format files ``<brand>/<brand>_yyyy_mm.csv``."""
+    """PlayerRecord rows → detailed-format files ``<brand>/<brand>_yyyy_mm.csv``, by brand."""
     inv = {v: k for k, v in DETAILED_HEADERS.items()}
     cols = [F.col(v).cast("string").alias(inv[v]) for v in DETAILED_HEADERS.values()
             if v not in ("reactivation_date", "campaign_start_date") and v in pa.columns]
@@ -533,11 +596,9 @@ def export_ops(ops: DataFrame, root: str) -> list[str]:
 
 
 def export_campaign_monthly(cm: DataFrame, root: str) -> list[str]:
-    """CampaignRecord rows → monthly campaign files ``<brand>_yyyy_mm.csv`` in
-    the raw campaign layout (brand key = the brand's letters, lower case)."""
+    """CampaignRecord rows → monthly campaign files ``yyyy-mm <brand>.csv`` in the raw
+    campaign layout; every brand has a file of its own (``escape_brand``)."""
     inv = {v: k for k, v in CAMPAIGN_HEADERS.items()}
-    key = F.lower(F.regexp_replace("brand", "[^A-Za-z]", ""))
     x = cm.select(*[F.col(v).cast("string").alias(inv[v]) for v in CAMPAIGN_HEADERS.values()],
-                  key.alias("_bk"), F.col("report_month").alias("_m"))
-    x = x.where(F.col("_bk") != "")
-    return export_named_csv(x, root, ["_bk", "_m"], lambda b, m: f"{b}_{m.replace('-', '_')}.csv")
+                  escape_brand(F.col("brand")).alias("_bk"), F.col("report_month").alias("_m"))
+    return export_named_csv(x, root, ["_bk", "_m"], lambda b, m: f"{m} {b}.csv", splits=1)  # monthly totals: few rows a key

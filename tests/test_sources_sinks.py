@@ -190,3 +190,63 @@ def test_merge_daily_sources_keeps_body_lines_equal_to_the_header(spark, tmpdir_
     from ledgerline.sources.files import merge_daily_sources
     p = _write(f"{tmpdir_path}/a.csv", "Title\nA,B\n1,2\nA,B\n3,4\n")
     assert sorted(r.A for r in merge_daily_sources(spark, [p]).collect()) == ["1", "3", "A"]
+
+
+def test_campaign_files_of_brands_without_letters_and_equal_letters(spark, tmpdir_path):
+    """Every brand has a file of its own and comes back: digits alone, equal letters, escapes, none."""
+    brands = ["365", "A-B", "AB", "a/b %2F", "Ünal", " ", "", None]
+    cm = spark.createDataFrame([(b, "LI", i, 1, 1, 1, 1, 1, "2025-03") for i, b in enumerate(brands)],
+                               "brand string, campaign_type string, records long, kpi1_conversions long, kpi2_logins long, "
+                               "calls long, emails_sent long, sms_sent long, report_month string")
+    paths = files.export_campaign_monthly(cm, f"{tmpdir_path}/c")
+    assert len(paths) == 6  # no brand, an empty and a blank one are the same file
+    got = files.load_campaign_files(spark, paths).collect()
+    assert sorted(r.records for r in got) == list(range(8)) and {r.report_month for r in got} == {"2025-03"}
+    named = spark.createDataFrame([(p.rsplit("/", 1)[1],) for p in paths], "f string")
+    key, month = files.brand_month_from_filename(F.col("f"))
+    assert {r.k for r in named.select(key.alias("k"), month.alias("m")).collect()} == {"365", "a-b", "ab", "a/b %2f", "ünal", ""}
+
+
+def test_routed_directory_and_quarantine(spark, tmpdir_path):
+    from ledgerline.sources import routing
+    mapping = spark.createDataFrame([("LV", "Lumen Vale", "North", "detailed"), ("LT", "Lattice Bet", "Harbor", "basic"),
+                                     ("YZ", "Yuzu", "Harbor", "sheet_cohort"), ("KO", "Kobalt", "Orchid", "Standard")],
+                                    "brand_code string, brand_name string, client_name string, financial_format string")
+    d = tmpdir_path
+    paths = [
+        _write(f"{d}/a/lv_2025_02.csv", "Player Key,Brand,Segment,GGR (Total) €\n1,,VIP,10\n2,Own,VIP,5,spoilt\n ,x,y,1\n3\n4,Own,,x\n"),
+        _write(f"{d}/b/2025-03 Lattice Bet.csv", "Player unique identifier,Brand,WB tag/flag,Bet,Win,Revenue\n7,zz,T,100,90,10\nnan,zz,T,1,1,1\n"),
+        _write(f"{d}/c/lt_2025_04.csv", "Player unique identifier,Brand,Bet\n7,zz,1\n"),
+        _write(f"{d}/d/yz_2025_02.csv", "Player Id,sheet_name,Total GGR €,Total NGR €,Deposits €,Deposits #\n9,ROC - Feb,3,2,1,4\n"),
+        _write(f"{d}/e/ko_2025_02.csv", "Player Key,Brand\n1,k\n2,k\n"),
+        _write(f"{d}/f/notes.csv", "Player Key,Brand\n1,k\n"),
+        _write(f"{d}/g/lv_2025_05.csv", ""),
+        _write(f"{d}/h/lv_2025_06.csv", "Player Key,Brand,Segment\ncafé,,Old\n", "latin-1")]
+    good, bad = routing.route_financial_files(spark, paths, mapping)
+    got = {(r.id, r.brand, r.client, r.report_month, r.segment, float(r.revenue), r.format) for r in good.collect()}
+    assert got == {("1", "Lumen Vale", "North", "2025-02", "VIP", 10.0, "detailed"), ("4", "Own", "North", "2025-02", "Unknown", 0.0, "detailed"),
+                   ("café", "Lumen Vale", "North", "2025-06", "Old", 0.0, "detailed"),
+                   ("7", "Lattice Bet", "Harbor", "2025-03", "T", 10.0, "basic"), ("9", "Yuzu", "Harbor", "2025-02", "ROC", 3.0, "sheet_cohort")}
+    rejected = sorted((r.file, r.reason) for r in bad.collect())
+    assert rejected == sorted([("lv_2025_02.csv", "malformed line")] * 2 + [("lv_2025_02.csv", "no player id"), ("2025-03 Lattice Bet.csv", "no player id"),
+                              ("lt_2025_04.csv", "missing headers"), ("ko_2025_02.csv", "unknown format"), ("ko_2025_02.csv", "unknown format"),
+                              ("notes.csv", "file name")])
+    assert {r.line for r in bad.where("reason = 'malformed line'").collect()} == {"2,Own,VIP,5,spoilt", "3"}
+    assert good.count() + bad.count() == 13  # all lines but headers
+    routing.load_with_quarantine(spark, paths, mapping, f"{d}/good", f"{d}/rejected")
+    assert spark.read.parquet(f"{d}/good").count() == 5 and spark.read.parquet(f"{d}/rejected").count() == 8
+    empty_good, empty_bad = routing.route_financial_files(spark, paths[6:7], mapping)
+    assert empty_good.count() == 0 and empty_bad.count() == 0
+
+
+def test_merge_daily_sources_of_many_files(spark, tmpdir_path):
+    """Several layouts, a file of one line, empty files, and no line at all."""
+    from ledgerline.sources.files import daily_layouts, merge_daily_sources
+    paths = [_write(f"{tmpdir_path}/{i}.csv", f"Title {i}\nA,B\n{i},x\n,\nTitle {i},y\n") for i in range(12)]
+    paths += [_write(f"{tmpdir_path}/z{i}.csv", f"Export\n﻿B,\"C,c\"\nq,\"{i},1\"\n") for i in range(3)]
+    nothing = [_write(f"{tmpdir_path}/e.csv", ""), _write(f"{tmpdir_path}/t.csv", "Title only\n")]
+    assert {h: len(p) for h, p in daily_layouts(spark, paths + nothing).items()} == {"A,B": 12, "﻿B,\"C,c\"": 3}
+    got = sorted((r.A or "", r.B or "", r["C,c"] or "") for r in merge_daily_sources(spark, paths + nothing).collect())
+    assert got == sorted([(str(i), "x", "") for i in range(12)] + [(f"Title {i}", "y", "") for i in range(12)] + [("", "q", f"{i},1") for i in range(3)])
+    empty = merge_daily_sources(spark, nothing)
+    assert empty.count() == 0 and empty.columns == []
