@@ -133,3 +133,8 @@ ORACLES.update({"s1b_routed_formats": S1B, "s11_quarantine": S11})
 W4B = _ROUTED + f"""
 SELECT client, brand, CAST(COUNT(*) AS BIGINT) AS rows, {_dsum('revenue', 'ggr')}, {_dsum('bet', 'turnover')} FROM x GROUP BY client, brand"""
 ORACLES["w4b_replace_client"] = W4B
+
+F13B = f"""WITH {PLAYER_ACTIVITY}
+SELECT brand, substr(report_month, 1, 4) || '-Q' || CAST(CAST(ceil(CAST(substr(report_month, 6, 2) AS INTEGER) / 3) AS INTEGER) AS VARCHAR) AS quarter,
+  CAST(COUNT(DISTINCT id) AS BIGINT) AS players FROM player_activity GROUP BY 1, 2"""
+ORACLES["f13b_sketch_players"] = F13B

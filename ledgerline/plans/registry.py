@@ -432,7 +432,40 @@ def _c18b_rename_cascade(spark, sf_dir):
     return out
 
 
+#: Month range of the report queries.
+REPORT_MONTHS = ("2024-07", "2025-06")
+
+
+def _report(name: str, tab: str) -> QueryFn:
+    def run(spark, sf_dir):
+        """A registered report over the fact stored by month, computed and written to the report store."""
+        from .. import reports, sinks
+        root = _scratch(spark, "reports")
+        sinks.replace(_pa(spark, sf_dir).hint("rebalance", "report_month"), f"{root}/fact", ["report_month"])
+        params = dict(zip(("start_month", "end_month"), REPORT_MONTHS))
+        return spark.read.parquet(reports.store_report(spark, name, f"{root}/fact", f"{root}/store", params)[tab])
+    return run
+
+
+#: Registers of the sketches in the query: so many that its counts are exact at test sizes.
+QUERY_LG_REGISTERS = 18
+
+
+def _f13b_sketch_players(spark, sf_dir):
+    """Distinct players by brand and quarter from monthly sketches alone."""
+    from .. import reports
+    root = _scratch(spark, "sketches")
+    reports.write_player_sketches(_pa(spark, sf_dir), root, QUERY_LG_REGISTERS)
+    quarter = F.concat(F.substring("report_month", 1, 4), F.lit("-Q"), F.ceil(F.substring("report_month", 6, 2).cast("int") / 3).cast("string"))
+    return reports.distinct_players(reports.read_player_sketches(spark, root), ["brand", quarter.alias("quarter")])
+
+
 STREAM_QUERIES: dict[str, QueryFn] = {
+    "rep_full_financial_export": _report("full_financial_export", "brands"),
+    "rep_player_master_list": _report("player_master_list", "players"),
+    "rep_cohort_matrix": _report("cohort_matrix", "cohorts"),
+    "rep_vip_churn_radar": _report("vip_churn_radar", "players"),
+    "f13b_sketch_players": _f13b_sketch_players,
     "w5_upsert_by_key": _w5_upsert_by_key,
     "w4b_replace_client": _w4b_replace_client,
     "c18b_rename_cascade": _c18b_rename_cascade,
@@ -464,4 +497,21 @@ def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     for mod in (oracle_fin, oracle_crm, oracle_ops, oracle_stream):
         out.update(mod.ORACLES)
+    for report, query in REPORT_QUERIES.items():
+        out[report] = _in_report_months(out[query])
     return out
+
+
+#: Reports and the queries that give the same rows over all months.
+REPORT_QUERIES = {"rep_full_financial_export": "f5_monthly_brand_summary", "rep_player_master_list": "k1_player_master_list",
+                  "rep_cohort_matrix": "k8_cohort_retention_matrix", "rep_vip_churn_radar": "k14_vip_churn_radar"}
+
+
+def _in_report_months(sql: str) -> str:
+    """A query's SQL with the fact cut to the report's months."""
+    from .sqlkit import PLAYER_ACTIVITY
+    head = f"WITH {PLAYER_ACTIVITY}"
+    assert sql.startswith(head)
+    whole = head.replace("player_activity AS (", "player_activity_all AS (")
+    start, end = REPORT_MONTHS
+    return f"{whole},\nplayer_activity AS (SELECT * FROM player_activity_all WHERE report_month BETWEEN '{start}' AND '{end}'){sql[len(head):]}"
