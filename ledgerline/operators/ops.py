@@ -249,6 +249,7 @@ SLA_SUMS = ["records", "kpi2_logins", "conversions", "calls", "sa", "sd", "sf",
 
 
 #: What the prior-year benchmark of O7 scales.
+# The measures compared with the benchmark.
 SLA_BENCH = ["records", "kpi2_logins", "conversions", "calls", "sa", "ev", "sd", "sf", "sp", "ed", "ef", "eo"]
 
 

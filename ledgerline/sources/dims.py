@@ -13,22 +13,22 @@ from pyspark.sql import functions as F
 
 # Registry rows: brand_code, brand_name, client_name, financial_format.
 CLIENT_MAPPING = [
-    ("LV", "Lumen Vale", "Northwind Gaming", "detailed"),
+    ("LM", "Lumen Vale", "Northwind Gaming", "detailed"),
     ("RJ", "Red Juniper", "Northwind Gaming", "detailed"),
     ("LT", "Lattice Bet", "Harbor Play", "basic"),
     ("YU", "Yuzu Spins", "Harbor Play", "sheet_cohort"),
-    ("BAH", "Bahia Luck", "Orchid Media", "detailed"),
+    ("BHL", "Bahia Luck", "Orchid Media", "detailed"),
     ("KO", "Kobalt Casino", "Orchid Media", "Standard"),
 ]
 
 # SLA rows: client_name, brand_code, lifecycle, monthly_minimum_records.
 CONTRACTUAL_VOLUMES = [
-    ("Northwind Gaming", "LV", "WB", 1200),
-    ("Northwind Gaming", "LV", "RND", 900),
+    ("Northwind Gaming", "LM", "WB", 1200),
+    ("Northwind Gaming", "LM", "RND", 900),
     ("Northwind Gaming", "RJ", "WB", 800),
     ("Harbor Play", "LT", "CS", 600),
     ("Harbor Play", "YU", "RND", 700),
-    ("Orchid Media", "BAH", "ROC", 500),
+    ("Orchid Media", "BHL", "ROC", 500),
     ("Orchid Media", "KO", "FD", 400),
     ("Orchid Media", "KO", "CHU", 300),
     # brand ALL: minimums of the client as a whole

@@ -127,7 +127,7 @@ def aggregate_player_activity(lines: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Generator vocabularies for synthetic campaign names.  They deliberately include
 # WBD, blanks, an unmapped tag (ZZ), the NA segment token and the ONT region.
-GEN_TAGS = ["LV", "RJ", "LT", "YU", "BAH", "KO", "ZZ", ""]
+GEN_TAGS = ["LM", "RJ", "LT", "YU", "BHL", "KO", "ZZ", ""]
 GEN_COUNTRIES = ["DK", "TR", "CL", "BR", "GB", "JP", "DE", "SE", "ONT", "MX", ""]
 GEN_LANGS = ["DA", "TR", "ES", "PT", "EN", "JA"]
 GEN_PRODUCTS = ["CAS", "SPO", "LIVE", "ALL", ""]

@@ -12,8 +12,8 @@ def _parse(spark, names, ops_date="2026-03-30"):
 
 
 def test_full_convention_name(spark):
-    r = _parse(spark, ["LV-DK-DA-CAS-HIGH-WB-J1-NLI-2026-03-24"])["LV-DK-DA-CAS-HIGH-WB-J1-NLI-2026-03-24"]
-    assert r.tag == "LV"
+    r = _parse(spark, ["LM-DK-DA-CAS-HIGH-WB-J1-NLI-2026-03-24"])["LM-DK-DA-CAS-HIGH-WB-J1-NLI-2026-03-24"]
+    assert r.tag == "LM"
     assert (r.extracted_lifecycle, r.extracted_segment, r.extracted_engagement) == ("WB", "HIGH", "NLI")
     assert (r.extracted_product, r.extracted_sublifecycle) == ("CAS", "J1")
     assert r.country == "DK" and r.extracted_language == "DA"
@@ -21,12 +21,12 @@ def test_full_convention_name(spark):
 
 
 def test_wbd_underscore_and_blank_tokens(spark):
-    p = _parse(spark, ["lv_wbd_dk_nli_new", "BAH--TR-RND", "XX", "", "ZZ-ONT-NA-LI"])
-    a = p["lv_wbd_dk_nli_new"]
-    assert a.tag == "LV" and a.extracted_lifecycle == "WB" and a.country == "DK"
+    p = _parse(spark, ["lm_wbd_dk_nli_new", "BHL--TR-RND", "XX", "", "ZZ-ONT-NA-LI"])
+    a = p["lm_wbd_dk_nli_new"]
+    assert a.tag == "LM" and a.extracted_lifecycle == "WB" and a.country == "DK"
     assert a.extracted_engagement == "NLI"
-    b = p["BAH--TR-RND"]
-    assert b.tag == "BAH" and b.country == "TR" and b.extracted_lifecycle == "RND"
+    b = p["BHL--TR-RND"]
+    assert b.tag == "BHL" and b.country == "TR" and b.extracted_lifecycle == "RND"
     assert b.extracted_language == "TR"
     x = p["XX"]
     assert x.tag == "XX" and x.country == "Global" and x.extracted_lifecycle == "UNKNOWN"
@@ -55,7 +55,7 @@ def test_signatures(spark):
 
 
 def test_display_lifecycle(spark):
-    df = spark.createDataFrame([("LV-WB-RND",), ("LV-WB",), ("LVRND",)], "s string")
+    df = spark.createDataFrame([("LM-WB-RND",), ("LM-WB",), ("LMRND",)], "s string")
     got = [r[0] for r in df.select(C.display_lifecycle("s")).collect()]
     assert got == ["RND", "WB", "UNKNOWN"]
 

@@ -67,11 +67,11 @@ def test_ops_fact_invariants(spark):
 
 def test_short_name_aggregator(spark):
     ops = spark.createDataFrame([
-        ("LV-WBD-DK-NLI-New_2026-03-01", 5), ("LV-WB-DK-NLI-2026-03-02_2026-03-02", 7),
-        ("lv-DK-LI-RND_2026-03-01", 100), ("YU-JP-CAS-RND-MAR_2026-03-01", 3), ("X_2026-03-01", 1)],
+        ("LM-WBD-DK-NLI-New_2026-03-01", 5), ("LM-WB-DK-NLI-2026-03-02_2026-03-02", 7),
+        ("lm-DK-LI-RND_2026-03-01", 100), ("YU-JP-CAS-RND-MAR_2026-03-01", 3), ("X_2026-03-01", 1)],
         "campaign_name string, records long")
     got = {r.short_name: r.total for r in O.short_name_totals(ops).collect()}
-    assert got == {"LV-DK-WB": 12, "YU-JP-RND": 3}
+    assert got == {"LM-DK-WB": 12, "YU-JP-RND": 3}
 
 
 def test_latest_snapshot_per_key(spark):

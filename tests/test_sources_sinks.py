@@ -26,10 +26,10 @@ def test_detailed_csv_edge_cases(spark, tmpdir_path):
          "31/02/2025", "01/02/2025", "0"],
     ]
     text = "﻿" + ",".join(f'"{h}"' for h in hdr) + "\n" + "\n".join(",".join(r) for r in rows) + "\n"
-    path = f"{tmpdir_path}/lv/lv_2025_03.csv"
+    path = f"{tmpdir_path}/lm/lm_2025_03.csv"
     _write(path, text)
     mapping = dims.client_mapping(spark)
-    df = files.load_financial_files(spark, [path], mapping, "detailed", "LV")
+    df = files.load_financial_files(spark, [path], mapping, "detailed", "LM")
     got = {r.id: r for r in df.collect()}
     assert set(got) == {"p1", "p3"}                       # blank id dropped
     p1 = got["p1"]
@@ -66,7 +66,7 @@ def test_filename_parsing(spark):
 
 def test_ops_file_load_and_records_fallback(spark, tmpdir_path):
     p1 = f"{tmpdir_path}/ops/daily_2026_03_25.csv"
-    _write(p1, '"Campaign Name",New Data,Calls,KPI1-Conv.,Cost SIP\nLV-DK-WB-NLI-2026-03-20,10,5,2,1.5\n')
+    _write(p1, '"Campaign Name",New Data,Calls,KPI1-Conv.,Cost SIP\nLM-DK-WB-NLI-2026-03-20,10,5,2,1.5\n')
     p2 = f"{tmpdir_path}/ops2/daily_2026_03_26.csv"
     _write(p2, "Campaign Name,# Records,Calls\nRJ-TR-RND-LI,7,3\n")
     a = files.load_ops_files(spark, [p1], dims.client_mapping(spark)).collect()[0]
@@ -209,26 +209,26 @@ def test_campaign_files_of_brands_without_letters_and_equal_letters(spark, tmpdi
 
 def test_routed_directory_and_quarantine(spark, tmpdir_path):
     from ledgerline.sources import routing
-    mapping = spark.createDataFrame([("LV", "Lumen Vale", "North", "detailed"), ("LT", "Lattice Bet", "Harbor", "basic"),
+    mapping = spark.createDataFrame([("LM", "Lumen Vale", "North", "detailed"), ("LT", "Lattice Bet", "Harbor", "basic"),
                                      ("YZ", "Yuzu", "Harbor", "sheet_cohort"), ("KO", "Kobalt", "Orchid", "Standard")],
                                     "brand_code string, brand_name string, client_name string, financial_format string")
     d = tmpdir_path
     paths = [
-        _write(f"{d}/a/lv_2025_02.csv", "Player Key,Brand,Segment,GGR (Total) €\n1,,VIP,10\n2,Own,VIP,5,spoilt\n ,x,y,1\n3\n4,Own,,x\n"),
+        _write(f"{d}/a/lm_2025_02.csv", "Player Key,Brand,Segment,GGR (Total) €\n1,,VIP,10\n2,Own,VIP,5,spoilt\n ,x,y,1\n3\n4,Own,,x\n"),
         _write(f"{d}/b/2025-03 Lattice Bet.csv", "Player unique identifier,Brand,WB tag/flag,Bet,Win,Revenue\n7,zz,T,100,90,10\nnan,zz,T,1,1,1\n"),
         _write(f"{d}/c/lt_2025_04.csv", "Player unique identifier,Brand,Bet\n7,zz,1\n"),
         _write(f"{d}/d/yz_2025_02.csv", "Player Id,sheet_name,Total GGR €,Total NGR €,Deposits €,Deposits #\n9,ROC - Feb,3,2,1,4\n"),
         _write(f"{d}/e/ko_2025_02.csv", "Player Key,Brand\n1,k\n2,k\n"),
         _write(f"{d}/f/notes.csv", "Player Key,Brand\n1,k\n"),
-        _write(f"{d}/g/lv_2025_05.csv", ""),
-        _write(f"{d}/h/lv_2025_06.csv", "Player Key,Brand,Segment\ncafé,,Old\n", "latin-1")]
+        _write(f"{d}/g/lm_2025_05.csv", ""),
+        _write(f"{d}/h/lm_2025_06.csv", "Player Key,Brand,Segment\ncafé,,Old\n", "latin-1")]
     good, bad = routing.route_financial_files(spark, paths, mapping)
     got = {(r.id, r.brand, r.client, r.report_month, r.segment, float(r.revenue), r.format) for r in good.collect()}
     assert got == {("1", "Lumen Vale", "North", "2025-02", "VIP", 10.0, "detailed"), ("4", "Own", "North", "2025-02", "Unknown", 0.0, "detailed"),
                    ("café", "Lumen Vale", "North", "2025-06", "Old", 0.0, "detailed"),
                    ("7", "Lattice Bet", "Harbor", "2025-03", "T", 10.0, "basic"), ("9", "Yuzu", "Harbor", "2025-02", "ROC", 3.0, "sheet_cohort")}
     rejected = sorted((r.file, r.reason) for r in bad.collect())
-    assert rejected == sorted([("lv_2025_02.csv", "malformed line")] * 2 + [("lv_2025_02.csv", "no player id"), ("2025-03 Lattice Bet.csv", "no player id"),
+    assert rejected == sorted([("lm_2025_02.csv", "malformed line")] * 2 + [("lm_2025_02.csv", "no player id"), ("2025-03 Lattice Bet.csv", "no player id"),
                               ("lt_2025_04.csv", "missing headers"), ("ko_2025_02.csv", "unknown format"), ("ko_2025_02.csv", "unknown format"),
                               ("notes.csv", "file name")])
     assert {r.line for r in bad.where("reason = 'malformed line'").collect()} == {"2,Own,VIP,5,spoilt", "3"}

@@ -23,15 +23,15 @@ def _raw(spark, rows):
 
 def test_stream_ingest_late_rows_and_restart(spark, tmpdir_path):
     src, out, chk = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/chk"
-    _raw(spark, [("LV-DK-WB-NLI", dt.date(2026, 3, 1), 5), ("LV-DK-WB-NLI", dt.date(2026, 3, 20), 6)]) \
+    _raw(spark, [("LM-DK-WB-NLI", dt.date(2026, 3, 1), 5), ("LM-DK-WB-NLI", dt.date(2026, 3, 20), 6)]) \
         .coalesce(1).write.parquet(f"{src}/b1")
     S.run_available(S.start_ops_ingest(spark, src, out, chk))
     live = spark.read.parquet(f"{out}/ops_live")
     assert live.count() == 2
     # second delivery: one late row (> 14 days before the newest accepted day; live and audit copy),
     # one re-delivery of 03-20 with new numbers, one new day
-    _raw(spark, [("LV-DK-WB-NLI", dt.date(2026, 3, 2), 9), ("LV-DK-WB-NLI", dt.date(2026, 3, 20), 60),
-                 ("LV-DK-WB-NLI", dt.date(2026, 3, 21), 7)]).coalesce(1).write.parquet(f"{src}/b2")
+    _raw(spark, [("LM-DK-WB-NLI", dt.date(2026, 3, 2), 9), ("LM-DK-WB-NLI", dt.date(2026, 3, 20), 60),
+                 ("LM-DK-WB-NLI", dt.date(2026, 3, 21), 7)]).coalesce(1).write.parquet(f"{src}/b2")
     S.run_available(S.start_ops_ingest(spark, src, out, chk))      # restart: only the new file is read
     live = {(str(r.ops_date), r.records) for r in spark.read.parquet(f"{out}/ops_live").collect()}
     assert live == {("2026-03-01", 5), ("2026-03-02", 9), ("2026-03-20", 60), ("2026-03-21", 7)}
