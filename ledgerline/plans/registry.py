@@ -489,7 +489,7 @@ def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for block in (FIN_QUERIES, CRM_QUERIES, OPS_QUERIES, STREAM_QUERIES):
         out.update(block)
-    return out
+    return {**out, **{name: fn for name, (fn, _, _) in SPEAKING_QUERIES.items()}}
 
 
 def all_oracles() -> dict[str, str]:
@@ -499,6 +499,8 @@ def all_oracles() -> dict[str, str]:
         out.update(mod.ORACLES)
     for report, query in REPORT_QUERIES.items():
         out[report] = _in_report_months(out[query])
+    for name, (_, query, fact) in SPEAKING_QUERIES.items():
+        out[name] = _over(out[query], fact) if fact else out[query]
     return out
 
 
@@ -507,11 +509,50 @@ REPORT_QUERIES = {"rep_full_financial_export": "f5_monthly_brand_summary", "rep_
                   "rep_cohort_matrix": "k8_cohort_retention_matrix", "rep_vip_churn_radar": "k14_vip_churn_radar"}
 
 
-def _in_report_months(sql: str) -> str:
-    """A query's SQL with the fact cut to the report's months."""
+def _over(sql: str, fact: str) -> str:
+    """A query's SQL over another fact, a SELECT on ``player_activity_all``."""
     from .sqlkit import PLAYER_ACTIVITY
     head = f"WITH {PLAYER_ACTIVITY}"
     assert sql.startswith(head)
     whole = head.replace("player_activity AS (", "player_activity_all AS (")
-    start, end = REPORT_MONTHS
-    return f"{whole},\nplayer_activity AS (SELECT * FROM player_activity_all WHERE report_month BETWEEN '{start}' AND '{end}'){sql[len(head):]}"
+    return f"{whole},\nplayer_activity AS ({fact}){sql[len(head):]}"
+
+
+def _in_report_months(sql: str) -> str:
+    return _over(sql, "SELECT * FROM player_activity_all WHERE report_month BETWEEN '{}' AND '{}'".format(*REPORT_MONTHS))
+
+
+#: A fact with holes: a brand that misses months in the middle, one that ends early.
+WITHOUT = "(brand = 'PROMO' AND substr(report_month, 6, 2) IN ('03', '04', '09')) OR (brand = 'ECONOMY' AND report_month >= '2025-08')"
+#: Many small deposits for every second player.
+SMALL_DEPOSITS = "CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN CAST(deposit_count * 10 AS DECIMAL(18,2)) ELSE deposits END"
+GAP_FACT = f"SELECT * FROM player_activity_all WHERE NOT ({WITHOUT})"
+FRICTION_FACT = f"SELECT * EXCLUDE (deposits), {SMALL_DEPOSITS} AS deposits FROM player_activity_all"
+
+
+def _gappy(spark, sf_dir):
+    return _pa(spark, sf_dir).where(f"NOT ({WITHOUT})")
+
+
+def _reparse_damaged(spark, sf_dir):
+    """C19 on rows whose fields were lost: every third day the parsed fields are UNKNOWN and are
+    read again from the name."""
+    ops = _ops(spark, sf_dir)
+    lost = F.dayofmonth("ops_date") % 3 == 0
+    for c in ("extracted_lifecycle", "extracted_engagement"):
+        ops = ops.withColumn(c, F.when(lost, F.lit("UNKNOWN")).otherwise(F.col(c)))
+    return C.reparse_unknown(ops.withColumn("campaign", O.raw_campaign(None)), "campaign").select(
+        "campaign_name", "extracted_lifecycle", "extracted_engagement")
+
+
+#: Queries over data that shows what the given tables cannot, each with the one it repeats.
+SPEAKING_QUERIES: dict[str, tuple[QueryFn, str, str | None]] = {
+    "f4b_month_padding_gaps": (lambda s, d: as_report(FIN.monthly_brand_summary(_gappy(s, d), include_combined=False, whales=False).select(
+        "brand", "month", "total_players", "ggr", "new_players")), "f4_month_padding", GAP_FACT),
+    "q1b_registry_gaps": (lambda s, d: Q.registry_gaps(_gappy(s, d)), "q1_registry_gaps", GAP_FACT),
+    "q2b_compliance_grid": (lambda s, d: Q.compliance_grid(_gappy(s, d)), "q2_compliance_grid", GAP_FACT),
+    "q5b_ops_completeness": (lambda s, d: as_report(Q.ops_completeness(_ops(s, d), _gappy(s, d))), "q5_ops_completeness", GAP_FACT),
+    "k18b_payment_friction": (lambda s, d: as_report(K.payment_friction(K.smart_profiles(
+        _pa(s, d).withColumn("deposits", F.expr(SMALL_DEPOSITS))))), "k18_payment_friction", FRICTION_FACT),
+    "c19b_reparse_damaged": (_reparse_damaged, "c19_reparse_unknown", None),
+}
