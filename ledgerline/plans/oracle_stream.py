@@ -138,3 +138,15 @@ F13B = f"""WITH {PLAYER_ACTIVITY}
 SELECT brand, substr(report_month, 1, 4) || '-Q' || CAST(CAST(ceil(CAST(substr(report_month, 6, 2) AS INTEGER) / 3) AS INTEGER) AS VARCHAR) AS quarter,
   CAST(COUNT(DISTINCT id) AS BIGINT) AS players FROM player_activity GROUP BY 1, 2"""
 ORACLES["f13b_sketch_players"] = F13B
+
+TOTALS = f"""WITH {PLAYER_ACTIVITY}
+SELECT client, brand, report_month, CAST(COUNT(*) AS BIGINT) AS rows, {_dsum('revenue', 'ggr')}, {_dsum('bet', 'turnover')}
+FROM player_activity GROUP BY client, brand, report_month"""
+W8 = f"""WITH {PLAYER_ACTIVITY},
+s AS (SELECT brand, report_month AS month, wb_tag, CAST(COUNT(id) AS BIGINT) AS total_players, {_dsum('revenue', 'ggr')}
+  FROM player_activity WHERE brand IS NOT NULL AND report_month IS NOT NULL AND wb_tag IS NOT NULL GROUP BY brand, report_month, wb_tag)
+SELECT brand, month, strftime(CAST(month || '-01' AS DATE), '%B %Y') AS month_label, wb_tag, total_players, round(ggr, 2) AS ggr FROM s"""
+P1B = f"""WITH {PLAYER_ACTIVITY}
+SELECT id, client, brand, report_month, CAST(revenue AS DOUBLE) AS revenue, CAST(bet AS DOUBLE) AS bet FROM player_activity
+WHERE client = 'ASIA' AND brand = 'PROMO' AND report_month BETWEEN '2024-05' AND '2025-02'"""
+ORACLES.update({"w1_append_replace_fact": TOTALS, "w7_csv_extract": TOTALS, "w8_multitab_report": W8, "p1b_financial_filter": P1B})

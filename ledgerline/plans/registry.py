@@ -460,7 +460,55 @@ def _f13b_sketch_players(spark, sf_dir):
     return reports.distinct_players(reports.read_player_sketches(spark, root), ["brand", quarter.alias("quarter")])
 
 
+def _totals(df):
+    return as_report(df.groupBy("client", "brand", "report_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr"), F.sum("bet").cast("decimal(18,2)").alias("turnover")))
+
+
+FACT_COLUMNS = ["id", "client", "brand", "report_month", "revenue", "bet"]
+
+
+def _w1_append_fact(spark, sf_dir):
+    """Months appended to the fact table by two loads; then one year's months, first loaded
+    with other numbers, are replaced, and the rest stays."""
+    from .. import sinks
+    root = _scratch(spark, "w1")
+    pa = _pa(spark, sf_dir).select(*FACT_COLUMNS)
+    early = F.col("report_month") < "2025-01"
+    for part in (pa.where(early).withColumn("revenue", (F.col("revenue") * 2).cast("decimal(18,2)")), pa.where(~early)):
+        sinks.append(part.hint("rebalance", "report_month"), root, ["report_month"])
+    sinks.replace_partitions(pa.where(early).hint("rebalance", "report_month"), root, ["report_month"])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pa.schema)
+    return _totals(spark.read.schema(schema).parquet(root))
+
+
+def _w7_csv_extract(spark, sf_dir):
+    """The monthly totals written as CSV with a header and read back by name."""
+    from .. import sinks
+    root = _scratch(spark, "w7")
+    totals = _totals(_pa(spark, sf_dir))
+    sinks.write_csv_extract(totals, root)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in totals.schema)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(root)
+
+
+def _w8_multitab_report(spark, sf_dir):
+    """The brands tab of the multi-tab report, one folder a brand, months as labels, shares as fractions."""
+    from .. import sinks
+    out = sinks.write_multitab_report({"brands": as_report(FIN.segmentation(_pa(spark, sf_dir)))}, _scratch(spark, "w8"))
+    back = spark.read.parquet(out["brands"])
+    return back.select("brand", "month", "month_label", "wb_tag", "total_players", "ggr")
+
+
+#: P1 on the financial fact.
+P1_FINANCIAL = P.FilterSpec(client="ASIA", brand="PROMO", months=("2024-05", "2025-02"))
+
 STREAM_QUERIES: dict[str, QueryFn] = {
+    "w1_append_replace_fact": _w1_append_fact,
+    "w7_csv_extract": _w7_csv_extract,
+    "w8_multitab_report": _w8_multitab_report,
+    "p1b_financial_filter": lambda s, d: as_report(P.filter_financial(_pa(s, d), P1_FINANCIAL).select(
+        "id", "client", "brand", "report_month", "revenue", "bet")),
     "rep_full_financial_export": _report("full_financial_export", "brands"),
     "rep_player_master_list": _report("player_master_list", "players"),
     "rep_cohort_matrix": _report("cohort_matrix", "cohorts"),
