@@ -97,6 +97,19 @@ def test_near_duplicates_edges(spark, edge):
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
 
 
+def test_drop_near_duplicates_by_row(spark):
+    """Exactly one row of each group stays: copies without ids, an id with a kept and a dropped row, repeated rows."""
+    rng = random.Random(11)
+    base, other, third = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, base), (6, base + " end"), (5, ""), (5, ""), (6, third), (None, other), (None, other), (None, other + " x"), (None, ""), (None, None),
+            (9, third), (7, third), (None, third)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit("clash"))
+    out = [(r.doc_id, r.text) for r in neardup.drop_near_duplicates(df, k=5).collect()]
+    # base, base end and third (both of id 6) are one group, which also holds third's other rows
+    assert sorted(out, key=str) == sorted([(5, base), (5, ""), (None, ""), (None, None), out[[t in (other, other + " x") for _, t in out].index(True)]], key=str)
+    assert len(neardup.drop_near_duplicates(df.where("false")).collect()) == 0
+
+
 def test_near_duplicates_null_ids(spark):
     rng = random.Random(8)
 
@@ -409,6 +422,33 @@ def test_pipeline(spark):
     assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in kept.collect())
 
 
+def test_pipeline_edge_rows_and_empty_tables(spark, edge, library, small):
+    """Nulls, empty and long texts, repeated rows and ids, clashing columns, and no row at all."""
+    import corpus_pipeline
+    from ledgerline.llm.scratch import written
+    stages = dict(corpus_pipeline.STAGES)
+    wide = edge.select(*COLUMNS.replace(" long", "").replace(" string", "").split(", "), *[F.lit("x").alias(c) for c in ("key", "row_key", "epochs", "kept", "again")])
+    extra = [F.lit("x").alias(c) for c in ("key", "row_key", "epochs", "kept", "again")]
+    docs = wide.union(small.limit(60).select(*COLUMNS.replace(" long", "").replace(" string", "").split(", "), *extra))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, docs, SF_SMALL), f"edge-{name}")
+        assert out.columns == docs.columns
+        kept[name], docs = [(r.doc_id, r.text) for r in out.collect()], out
+    assert not [t for _, t in kept["language"] if not t or not re.search(r"[^\W\d_]", t)]  # null, empty, blank, digits
+    near = kept["near_duplicates"]
+    assert len(near) == len(set(near)) and set(near) <= set(kept["language"])
+    assert sum(i == 6 for i, _ in near) <= 1 and sum(i == 7 for i, _ in near) <= 1
+    assert set(kept["mix"]) <= set(kept["decontaminate"]) <= set(near)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens) for r in stages["token_ids"](spark, docs, SF_SMALL).collect())
+    assert got == sorted((i if i is not None else -1, len(library.encode(t, add_special_tokens=False).ids) + 1) for i, t in kept["mix"])
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, wide.where("false"), SF_SMALL)
+        assert none.count() == 0, name
+        if name != "token_ids":
+            assert none.columns == wide.columns
+
+
 def test_blocks_do_not_change_features(monkeypatch):
     texts = pa.array(["Ein Wort, zwei  Wörter\nund\tmehr", "", None, "x", "abc def " * 9])
     whole = np.array(list(langid.subword_counts(texts, 1024)))
