@@ -37,21 +37,29 @@ def unescape(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\\\\", -1), plain), "\\")
 
 
-def escape(text: Column) -> Column:
-    """The least escaped of three renderings that holds no control string and reads back as ``text``."""
-    raw, marked = text, _control(text)
-    full = _control(F.replace(text, F.lit("\\"), F.lit("\\\\")))
-    plain = ~F.contains(text, F.lit(HEAD)) & ~F.contains(text, F.lit(END))
-    return (F.when(~F.contains(text, F.lit("\\")) & plain, raw)
-            .when(plain & (unescape(raw) == text), raw)
-            .when(unescape(marked) == text, marked).otherwise(full))
-
-
 def escape_role(role: Column) -> Column:
     """Roles are always escaped in full, colons too."""
     return F.replace(_control(F.replace(role, F.lit("\\"), F.lit("\\\\"))), F.lit(":"), F.lit("\\c"))
 
 
+def render(role: Column, text: Column) -> Column:
+    """A turn, with the least escaped of three renderings of its text that holds no control string
+    and that the grammar reads back: the rendered turn is parsed, and must be one turn of the
+    same role and text.  An error is raised if none is, which no text can cause."""
+    def turn(escaped: Column) -> Column:
+        return F.concat(F.lit(HEAD), escape_role(role), F.lit(SEPARATOR), escaped, F.lit(END + "\n"))
+
+    def reads_back(rendered: Column) -> Column:
+        turns = parse(rendered)
+        return (F.size(turns) == 1) & (F.get(turns, 0)["role"] == role) & (F.get(turns, 0)["text"] == text)
+
+    plain = ~F.contains(text, F.lit(HEAD)) & ~F.contains(text, F.lit(END))
+    raw, marked = turn(text), turn(_control(text))
+    full = turn(_control(F.replace(text, F.lit("\\"), F.lit("\\\\"))))
+    return (F.when(plain & reads_back(raw), raw).when(reads_back(marked), marked).when(reads_back(full), full)
+            .otherwise(F.raise_error(F.lit("a turn does not read back"))))
+
+
 def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
     """(conv_id, formatted), one row per conversation.
@@ -63,7 +71,7 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: st
     Other columns are ignored."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
     rows = turns.select(F.col(id_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
-    rendered = F.concat(F.lit(HEAD), escape_role(F.col("role")), F.lit(SEPARATOR), escape(F.col("text")), F.lit(END + "\n"))
+    rendered = render(F.col("role"), F.col("text"))
     block = F.floor(F.col("turn") / BLOCK_TURNS)
     parts = rows.select("conv_id", block.alias("block"), "turn", "role", "text", rendered.alias("r")).groupBy("conv_id", "block").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text", "r"))).alias("turns"))
