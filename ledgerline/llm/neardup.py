@@ -33,8 +33,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -44,6 +45,8 @@ from .words import WHITE, gram_hashes, mix, return_memory, text_parts, word_hash
 BINS, ROWS = 128, 4
 #: 64-bit words of the parity bitmap.
 PARITY = 8
+#: Bits of the filter that finds the texts to be hashed again (16 MB).
+FILTER_BITS = 1 << 27
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -100,9 +103,14 @@ def band_keys(sets: list[np.ndarray], bins: int, rows: int, probes: np.ndarray)
     return keys.view(np.int64)
 
 
+def _identity(id_col: str, text_col: str) -> Column:
+    """A hash of a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).isNull(), F.xxhash64(F.col(text_col)))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bins: int, rows: int) -> DataFrame:
-    """(doc_id, n, cls, cls2, bands, text_key): set size, 128-bit set key, band keys, and the
-    text's hash where the id is null."""
+    """(doc_id, n, cls, cls2, bands, text_key, row_key): set size, 128-bit set key, band keys, the
+    text's hash where the id is null, and a hash of id and text."""
     if bins & (bins - 1) or bins % rows:
         raise ValueError("bins must be a power of two and a multiple of rows")
     probes = _probes(bins)
@@ -116,37 +124,60 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bins: int, r
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(sets, bins, rows, probes).ravel()), bins // rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]),
-                     pa.array(keys[:, 1]), bands.cast(pa.list_(pa.int64())), part.column(2)], ["doc_id", "n", "cls", "cls2", "bands", "text_key"])
+                     pa.array(keys[:, 1]), bands.cast(pa.list_(pa.int64())), part.column(2), part.column(3)],
+                    ["doc_id", "n", "cls", "cls2", "bands", "text_key", "row_key"])
         return_memory()
 
     doc_id = F.col(id_col).cast("long")
-    picked = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.when(doc_id.isNull(), F.xxhash64(F.col(text_col))).alias("text_key"))
-    return picked.mapInArrow(run, "doc_id long, n long, cls long, cls2 long, bands array<long>, text_key long")
+    picked = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.when(doc_id.isNull(), F.xxhash64(F.col(text_col))).alias("text_key"),
+                         _identity(id_col, text_col).alias("row_key"))
+    return picked.mapInArrow(run, "doc_id long, n long, cls long, cls2 long, bands array<long>, text_key long, row_key long")
+
+
+def _row_key(doc_id: Column, text_key: Column) -> Column:
+    """A hash by which rows of a wanted id, or texts without one, are found again."""
+    return F.when(doc_id.isNull(), text_key).otherwise(F.xxhash64(doc_id))
+
 
+def _filter_words(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of the hashes in column ``key``: two bits a key among at most ``FILTER_BITS``,
+    so what reaches the driver and the executors is bounded; more keys let more rows through."""
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(10, (16 * keys.count()).bit_length()))
+    spots = F.explode(F.array(F.col("key"), F.xxhash64("key"))).alias("spot")
+    words = (keys.select(spots).select(F.expr(f"shiftright(spot & {bits - 1}L, 6)").alias("word"), F.expr("shiftleft(1L, cast(spot & 63L as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bit"))).toArrow()
+    table = np.zeros(bits >> 6, np.int64)
+    table[np.asarray(words.column("word"))] = np.asarray(words.column("bit"))
+    return table
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, unnamed: bool, id_col: str, text_col: str, k: int) -> DataFrame:
+
+def _maybe(table: np.ndarray, spots: list[np.ndarray]) -> np.ndarray:
+    out = np.ones(len(spots[0]), bool)
+    for spot in spots:
+        at = spot & ((len(table) << 6) - 1)
+        out &= (table[at >> 6] >> (at & 63)) & 1 == 1
+    return out
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(cls, shingles binary) of the wanted(cls, doc_id, text_key) classes, hashed again from the
-    texts.  ``unnamed``: some have no id, their texts are found by hash among the rows without one."""
+    texts where they lie: a bounded filter passes the rows of wanted ids (or, without an id, texts).
+    Nothing is shuffled; repeated rows repeat a class, and others may pass."""
+    keys = wanted.select(_row_key(F.col("doc_id"), F.col("text_key")).alias("key"))
+    filter_ = docs.sparkSession.sparkContext.broadcast(_filter_words(keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, until in text_parts(batch.column(1), 512):
-                part = batch.slice(at, until - at)
-                sets = list(shingle_sets(part.column(1), k))
+            some = batch.filter(pa.array(_maybe(filter_.value, [np.asarray(batch.column(c)) for c in (1, 2)])))
+            for at, until in text_parts(some.column(0), 512):
+                sets = list(shingle_sets(some.column(0).slice(at, until - at), k))
                 keys = np.frombuffer(b"".join(map(set_key, sets)), np.int64).reshape(-1, 2)[:, 0]
-                out = pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 ["cls", "own", "shingles"])
-                yield out
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "shingles"])
         return_memory()
 
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
-    joined = texts.join(wanted, F.col("_id") == F.col("doc_id")).select("cls", "text")
-    if unnamed:
-        texts = (docs.where(F.col(id_col).cast("long").isNull()).groupBy(F.xxhash64(F.col(text_col)).alias("text_key"))
-                 .agg(F.first(F.col(text_col)).alias("text")))
-        joined = joined.union(texts.join(wanted.where("doc_id is null"), "text_key").select("cls", "text"))
-    hashed = joined.mapInArrow(run, "cls long, own long, shingles binary").where("cls = own")
-    return hashed.select("cls", "shingles").dropDuplicates(["cls"])
+    text = F.col(text_col)
+    spots = docs.select(text.alias("text"), _row_key(F.col(id_col).cast("long"), F.xxhash64(text)).alias("key")).select("text", "key", F.xxhash64("key").alias("key2"))
+    return spots.mapInArrow(run, "cls long, shingles binary")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -155,7 +186,10 @@ def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with the shingle sets of both."""
+    """pairs(a, b) with the shingle sets of both; sets of other classes stay where they are, if the
+    pairs are few enough to be broadcast."""
+    needed = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
+    sets = sets.join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
@@ -257,8 +291,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       component_id is null.  kept compares null-safely.
     * An empty table gives an empty result.  Other columns are ignored.
     """
+    found = _judged(docs, id_col, text_col, k, percent, bins, rows)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                        F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, bins: int, rows: int) -> DataFrame:
+    """(doc_id, row_key, n, comp, component_id), one row per row of ``docs``; without shingles comp is null."""
     sig = written(signatures(docs, id_col, text_col, k, bins, rows), "signatures")
-    out = sig.select("doc_id", "n", "cls", "cls2")
+    out = sig.select("doc_id", "row_key", "n", "cls")
     classes = written(sig.where("n > 0").groupBy("cls", "cls2").agg(
         F.min("doc_id").alias("rep"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands")).drop("cls2"), "classes")
     in_band = classes.select("cls", F.explode("bands").alias("key"))
@@ -272,8 +314,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     nodes = pairs.select("a").union(pairs.select("b")).distinct()
     wanted = classes.join(nodes, F.col("cls") == F.col("a"), "left_semi").select("cls", F.col("rep").alias("doc_id"), "text_key")
-    unnamed = not classes.where("rep is null").isEmpty()
-    sets = written(_sets_of(docs, wanted, unnamed, id_col, text_col, k), "sets")
+    sets = written(_sets_of(docs, written(wanted, "wanted"), id_col, text_col, k), "sets")
     stars = written(_stars(pairs, sets, percent), "stars")
     links = stars.where("linked").select("a", "b")
     comps = None if links.isEmpty() else components(links)
@@ -287,15 +328,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = _labelled(classes.select("cls", "rep"), comps)
     # a class's component, its smallest id, and ids that stand for several classes
     groups = _id_groups(labels, sig)
-    result = out.join(groups, "cls", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    drop_written(sets)
-    return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+    for table in (sets, members, company, pairs, stars, hubs, strays):
+        drop_written(table)
+    return out.join(groups, "cls", "left").select("doc_id", "row_key", "n", "comp", "component_id")
 
 
 def _id_groups(labels: DataFrame, sig: DataFrame) -> DataFrame:
-    """(cls, component_id): the smallest id of each class's component.  Ids that occur
+    """(cls, comp, component_id): each class's component and its smallest id.  Ids that occur
     with several texts connect their classes."""
     several = (sig.where("n > 0 and doc_id is not null").groupBy("doc_id")
                .agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b"))
@@ -308,24 +347,43 @@ def _id_groups(labels: DataFrame, sig: DataFrame) -> DataFrame:
         labels = (labels.join(merged.selectExpr("node", "comp top"), F.col("comp") == F.col("node"), "left")
                   .withColumn("comp", F.coalesce("top", "comp")).drop("node", "top"))
     smallest = labels.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    return labels.join(smallest, "comp").select("cls", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the document of the smallest id
-    stays, once.  Columns as given.
-
-    Rows without an id are outside the comparison of ids and all stay.  Of rows that
-    repeat a kept id one of the smallest text stays (null first)."""
-    verdict = near_duplicates(docs, id_col, text_col, **options)
-    name = fresh("kept_id", docs)
-    kept = written(verdict.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name))
-                   .agg(F.count(F.lit(1)).alias("copies")), "kept")
-    own = F.col(id_col).cast("long") == F.col(name)
-    out = docs.join(kept.where("copies = 1").select(name), own, "left_semi").union(docs.where(F.col(id_col).isNull()))
-    repeated = kept.where("copies > 1").select(name)
-    if repeated.isEmpty():
+    return labels.join(smallest, "comp").select("cls", "comp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
+                         bins: int = BINS, rows: int = ROWS) -> DataFrame:
+    """``docs`` without near-duplicates: of each group the row of the smallest id stays, once.
+    Columns as given.
+
+    * Of rows of a group that share the smallest id, and of rows without an id in a group that
+      has none, one stays.  Rows without shingles are groups of their own; of such rows that
+      repeat both id and text one stays.
+    * The texts of rows that stay are not shuffled, but for those that a bounded filter of the
+      dropped rows cannot tell from them.
+    * An empty table gives an empty result.
+    """
+    judged = written(_judged(docs, id_col, text_col, k, percent, bins, rows), "judged")
+    group = F.when(F.col("n") > 0, F.struct(F.lit(True).alias("of"), F.col("comp").alias("key"))).otherwise(
+        F.struct(F.lit(False).alias("of"), F.col("row_key").alias("key")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row_key").alias("row_key")))
+    kept = written(judged.groupBy(group.alias("g")).agg(first.alias("f")).select("f.row_key").distinct(), "kept")
+    times = judged.groupBy("row_key").agg(F.count(F.lit(1)).alias("times"))
+    kept_times = kept.join(times, "row_key")
+    doubtful = written(times.join(kept, "row_key", "left_anti").select("row_key").union(kept_times.where("times > 1").select("row_key")), "dropped")
+    filter_ = docs.sparkSession.sparkContext.broadcast(_filter_words(doubtful.select(F.col("row_key").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series(_maybe(filter_.value, [x.to_numpy(), y.to_numpy()]), dtype=bool)
+
+    name = fresh("row_key", docs)
+    marked = docs.withColumn(name, _identity(id_col, text_col))
+    passed = maybe(F.col(name), F.xxhash64(name))
+    some = marked.where(passed)
+    once, several = (kept_times.where(f"times {op} 1").select(F.col("row_key").alias(name)) for op in ("=", ">"))
+    out = docs.where(~maybe(_identity(id_col, text_col), F.xxhash64(_identity(id_col, text_col)))).union(
+        some.join(once, name, "left_semi").drop(name))
+    if kept_times.where("times > 1").isEmpty():
         return out
-    row, order = F.struct(*docs.columns), F.struct(F.col(text_col).isNotNull(), F.col(text_col))
-    one = docs.join(repeated, own, "left_semi").groupBy(F.col(id_col).alias(name)).agg(F.min_by(row, order).alias("row"))
+    one = some.join(several, name, "left_semi").groupBy(name).agg(F.first(F.struct(*docs.columns)).alias("row"))
     return out.union(one.select("row.*"))
