@@ -150,3 +150,7 @@ P1B = f"""WITH {PLAYER_ACTIVITY}
 SELECT id, client, brand, report_month, CAST(revenue AS DOUBLE) AS revenue, CAST(bet AS DOUBLE) AS bet FROM player_activity
 WHERE client = 'ASIA' AND brand = 'PROMO' AND report_month BETWEEN '2024-05' AND '2025-02'"""
 ORACLES.update({"w1_append_replace_fact": TOTALS, "w7_csv_extract": TOTALS, "w8_multitab_report": W8, "p1b_financial_filter": P1B})
+
+ORACLES["s7_range_scan"] = f"""WITH {PLAYER_ACTIVITY}
+SELECT brand, report_month, CAST(COUNT(*) AS BIGINT) AS rows, {_dsum('revenue', 'ggr')} FROM player_activity
+WHERE report_month BETWEEN '2024-07' AND '2025-06' GROUP BY brand, report_month"""

@@ -500,12 +500,25 @@ def _w8_multitab_report(spark, sf_dir):
     return back.select("brand", "month", "month_label", "wb_tag", "total_players", "ggr")
 
 
+def _s7_range_scan(spark, sf_dir):
+    """The stored fact read with a projection and a month range, which is a partition filter."""
+    from .. import sinks
+    from ..sources import files as FL
+    root = _scratch(spark, "s7")
+    sinks.replace(_pa(spark, sf_dir).select(*FACT_COLUMNS).hint("rebalance", "report_month"), root, ["report_month"])
+    months = F.col("report_month").cast("string").between(*REPORT_MONTHS)
+    some = FL.scan(spark, root, ["brand", "report_month", "revenue"], months)
+    return as_report(some.groupBy("brand", F.col("report_month").cast("string").alias("report_month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(18,2)").alias("ggr")))
+
+
 #: P1 on the financial fact.
 P1_FINANCIAL = P.FilterSpec(client="ASIA", brand="PROMO", months=("2024-05", "2025-02"))
 
 STREAM_QUERIES: dict[str, QueryFn] = {
     "w1_append_replace_fact": _w1_append_fact,
     "w7_csv_extract": _w7_csv_extract,
+    "s7_range_scan": _s7_range_scan,
     "w8_multitab_report": _w8_multitab_report,
     "p1b_financial_filter": lambda s, d: as_report(P.filter_financial(_pa(s, d), P1_FINANCIAL).select(
         "id", "client", "brand", "report_month", "revenue", "bet")),
