@@ -189,7 +189,7 @@ def signed(p):
     return p - (1 << 64) if p >> 63 else p
 
 
-@pytest.mark.parametrize("bucket", [simhash.BUCKET, 1, 6])
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 2])
 def test_links_brute_force(spark, bucket):
     """Clusters of near fingerprints: groups are right whether buckets are paired or meet at words."""
     rng = random.Random(7)
@@ -233,9 +233,8 @@ def test_simhash_brute_force(spark, small):
     for i, p in prints.items():
         smallest[group[p]] = min(smallest.get(group[p], i), i)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for bucket in (simhash.BUCKET, 3):
-        got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(df, bucket=bucket).collect()}
-        assert got == {i: (f"{p:016x}", smallest[group[p]]) for i, p in prints.items()}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(df, bucket=3).collect()}
+    assert got == {i: (f"{p:016x}", smallest[group[p]]) for i, p in prints.items()}
 
 
 def test_simhash_edges(spark, edge):
