@@ -25,15 +25,20 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = star.union(star.selectExpr("b a", "a b"))
         low = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("m"))
-        large = both.where("b > a").join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.where("b > a").join(low.hint("merge"), F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a <> b").distinct(), "large")
         low = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        small = large.join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(low.hint("merge"), F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.where("a <> b").union(low.selectExpr("node a", "m b"))
         after = written(small.distinct(), "small")
         drop_written(large)
-        changed = not (star.count() == after.count() and star.exceptAll(after).isEmpty())
         drop_written(star)
         star = after
-        if not changed:
+        if _stars(star):
             return star.selectExpr("a node", "b comp")
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of edges(a, b), distinct and a > b, is either a centre or has one edge, to a centre."""
+    ends = edges.selectExpr("a node", "1L up", "0L down").union(edges.selectExpr("b node", "0L up", "1L down"))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()

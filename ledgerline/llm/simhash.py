@@ -145,14 +145,14 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     pairs that meet in a bucket of at most ``bucket``, and stars that connect what larger ones hold."""
     keyed = _keyed(nodes)
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = written(keyed.join(shared, "key"), "members")
+    members = written(keyed.join(shared.hint("merge"), "key"), "members")
     left, right = members.where(F.col("size") <= bucket).selectExpr("key", "fp a"), members.where(F.col("size") <= bucket).selectExpr("key", "fp b")
-    pairs = left.join(right, "key").where(f"a < b and bit_count(a ^ b) <= {DISTANCE}").select("a", "b")
+    pairs = left.join(right.hint("merge"), "key").where(f"a < b and bit_count(a ^ b) <= {DISTANCE}").select("a", "b")
     crowded = written(members.where(F.col("size") > bucket).select("fp").distinct(), "crowded")
     if not crowded.isEmpty():
         meet = _meetings(crowded)
         centre = meet.where("close").groupBy("z").agg(F.min("fp").alias("a"))
-        pairs = pairs.union(meet.join(centre, "z").where("fp <> a").selectExpr("a", "fp b"))
+        pairs = pairs.union(meet.join(centre.hint("merge"), "z").where("fp <> a").selectExpr("a", "fp b"))
     out = written(pairs.distinct(), "links")
     for table in (members, crowded):
         drop_written(table)
@@ -170,6 +170,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       fingerprint zero, which is linked like any other.
     * Rows are linked by their fingerprints alone: rows that repeat an id are documents of their own.
     * A null id is never the smallest; a group without any other has a null component_id.
+    * All joined tables grow with the input, so none is broadcast: a broadcast passes through the driver.
     * A very long text is hashed in blocks.  An empty table gives an empty result.  Other columns
       are ignored.
     """
@@ -179,8 +180,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tops = components(edges)
     tops = written(tops.union(tops.selectExpr("comp node", "comp").distinct()), "tops")  # the smallest node of each, too
     drop_written(edges)
-    linked = nodes.join(tops, F.col("fp") == F.col("node"))
+    linked = nodes.join(tops.hint("merge"), F.col("fp") == F.col("node"))
     smallest = linked.groupBy("comp").agg(F.min("rep").alias("top"))
-    named = linked.join(smallest, "comp").select("fp", "top", F.lit(True).alias("found"))
-    labels = nodes.join(named, "fp", "left").select("fp", F.when(F.col("found"), F.col("top")).otherwise(F.col("rep")).alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = linked.join(smallest.hint("merge"), "comp").select("fp", "top", F.lit(True).alias("found"))
+    labels = nodes.join(named.hint("merge"), "fp", "left").select("fp", F.when(F.col("found"), F.col("top")).otherwise(F.col("rep")).alias("component_id"))
+    return prints.join(labels.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

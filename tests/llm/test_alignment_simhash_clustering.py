@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from test_operators import COLUMNS, EDGE, lower  # same folder
 
-from ledgerline.llm import alignment, clustering, encoders, golay, perfecthash, queries, simhash
+from ledgerline.llm import alignment, clustering, components, encoders, golay, perfecthash, queries, simhash
 
 A_FILE, B_FILE = queries.tokenizer_path(), queries.tokenizer_path("piece_bpe_32k.model")
 
@@ -246,6 +246,24 @@ def test_simhash_edges(spark, edge):
     assert simhash.near_duplicates(edge.limit(0)).count() == 0
 
 
+def test_simhash_broadcasts_nothing(spark, small):
+    plan = simhash.near_duplicates(small)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """No round is spent on seeing that nothing changes, and longer paths still end whole."""
+    made = []
+    monkeypatch.setattr(components, "written", lambda df, name, write=components.written: (made.append(name), write(df, name))[1])
+    one = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert {tuple(r) for r in components.components(one).collect()} == {(2, 1), (3, 1)}
+    assert made.count("small") == 1
+    path = [(i, i + 1) for i in range(40)] + [(50, 51), (60, 60)]
+    random.Random(1).shuffle(path)
+    got = {tuple(r) for r in components.components(spark.createDataFrame(path, "a long, b long")).collect()}
+    assert got == {(i, 0) for i in range(1, 41)} | {(51, 50)}
+
+
 # --- clusters -------------------------------------------------------------------------------
 
 
