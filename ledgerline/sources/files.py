@@ -475,11 +475,11 @@ def load_ops_files(spark: SparkSession, paths: list[str], mapping: DataFrame) ->
         "tag")
 
 
-def upsert_latest(new: DataFrame, old: DataFrame, key: list[str], version: str) -> DataFrame:
+def upsert_latest(new: DataFrame, old: DataFrame, key: list[str], version: str, hashed: list[str] | None = None) -> DataFrame:
     """Last write wins per key: the newest version, on equal versions the new row (of several
-    new ones the one of the largest hash)."""
+    new ones the one of the largest hash, over the columns ``hashed`` or all)."""
     u = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.col("_new").desc(), F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]).desc())
+    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.col("_new").desc(), F.xxhash64(*[F.col(f"`{c}`") for c in hashed or new.columns]).desc())
     return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_new")
 
 

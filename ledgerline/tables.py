@@ -24,6 +24,8 @@ Parts = dict[str, str]
 
 #: Hash buckets of a keyed table.
 BUCKETS = 32
+#: Shares of a bucket that are merged and written by tasks of their own.
+SPLITS = 16
 _NONE = "__none__"
 
 
@@ -70,10 +72,13 @@ def commit(spark: SparkSession, root: str, number: int, changes: dict[str, dict[
 def write_parts(df: DataFrame, root: str, table: str, part: Column) -> Parts:
     """Write ``df`` to new folders by ``part`` (a string; null is a part of its own), without
     committing; a large part is written by several tasks.  The listing of parts reaches the driver."""
+    return _write_by_part(df.withColumn("_part", F.coalesce(part.cast("string"), F.lit(_NONE))).hint("rebalance", "_part"), root, table)
+
+
+def _write_by_part(df: DataFrame, root: str, table: str) -> Parts:
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
-    (df.withColumn("_part", F.coalesce(part.cast("string"), F.lit(_NONE))).hint("rebalance", "_part")
-     .write.partitionBy("_part").parquet(folder))
+    df.write.partitionBy("_part").parquet(folder)
     fs, base = _fs(spark, folder)
     names = [s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory()]
     return {unquote(n.split("=", 1)[1]): f"{folder}/{n}" for n in names if n.startswith("_part=")}
@@ -109,7 +114,10 @@ def upsert(spark: SparkSession, new: DataFrame, root: str, table: str, key: list
         return []
     current = {p: folder for p, folder in tables.get(table, {}).items() if p in touched}
     old = read_parts(spark, current) if current else new.limit(0)
-    changes = write_parts(upsert_latest(new, old, key, version), root, table, part)
+    # one shuffle for both the merge and the write: rows are dealt by part and, within it, by key
+    dealt = [part.alias("_part"), F.pmod(F.xxhash64(F.lit(1), *key), F.lit(SPLITS)).alias("_split")]
+    merged = upsert_latest(new.select("*", *dealt), old.select("*", *dealt), ["_part", "_split", *key], version, new.columns)
+    changes = _write_by_part(merged.drop("_split"), root, table)
     commit(spark, root, number, {table: changes})
     return touched
 
