@@ -208,7 +208,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     aside = np.arange(len(labels)) % 5 == 4
     parts = {held: [features[i] for i in np.flatnonzero(aside == held)] for held in (False, True)}
     table = fit(parts[False], labels[~aside], len(languages), buckets, dimensions)
-    return Model(languages, table, *calibrate(parts[True], labels[aside], table, reject), trained_on=len(parts[False]))
+    model = Model(languages, table, *calibrate(parts[True], labels[aside], table, reject), trained_on=len(parts[False]))
+    # the sample and what training needed go back to the system before the driver plans the next stages
+    del taken, features, parts
+    return_memory()
+    return model
 
 
 def _predictions(model: Model | None, column: pa.Array) -> tuple[list, list, list]:

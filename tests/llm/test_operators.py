@@ -464,3 +464,23 @@ def test_text_parts(monkeypatch):
     assert [a for a, _ in ranges] == [0, *[b for _, b in ranges[:-1]]] and ranges[-1][1] == len(texts)
     assert all(b - a == 1 or (b - a <= 3 and sum(len(t or "") for t in texts[a:b].to_pylist()) <= 10) for a, b in ranges)
     assert list(words.text_parts(texts.slice(0, 0))) == []
+
+
+def test_training_returns_the_drivers_memory(spark, monkeypatch):
+    """Pipeline: what the language model was trained with does not stay with the driver."""
+    calls = []
+    monkeypatch.setattr(langid, "return_memory", lambda: calls.append(1))
+    docs = spark.createDataFrame([(i, f"das ist ein text {i}", "de") for i in range(20)] + [(i, f"this is a text {i}", "en") for i in range(20, 40)],
+                                 "doc_id long, text string, lang string")
+    assert langid.train(docs).languages == ["de", "en"] and calls
+
+
+def test_verdicts_are_made_once(spark, monkeypatch):
+    """Pipeline: the stage's last plan and its filter read one written table of verdicts."""
+    made, write = [], neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, name: (made.append(name), write(df, name))[1])
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (3, None), (3, None), (None, "x y"), (None, "x y"),
+                                  (4, "p q r s t u"), (4, "p q r s t u")], "doc_id long, text string")
+    out = neardup.drop_near_duplicates(docs)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a b c d e f g"), (3, None), (None, "x y"), (4, "p q r s t u")], key=str)
+    assert made.count("verdicts") == 1 and not {"kept", "dropped"} & set(made)
