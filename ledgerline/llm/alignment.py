@@ -339,7 +339,7 @@ def align(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id",
         mine = functions.where(F.col("shard").isin(shard_list)) if len(blocks) > 1 else functions
         hashes = spark.sparkContext.broadcast({r.shard: (r.n, bytes(r.sizes), bytes(r.bits)) for r in mine.select("shard", "n", "sizes", "bits").collect()})
         pairs = sum(n for n, _, _ in hashes.value.values())
-        tasks = max(1, min(reported // max(1, FILL * pairs), 1 << 16))
+        tasks = max(1, min(int(reported // max(1, FILL * pairs)), 1 << 16))
         counted = _tree_sum(_vectors(partials, hashes, shards, tasks), tasks, shards)
         tables.append(written(mine.join(counted, "shard"), "pair-counts"))
         hashes.unpersist()
