@@ -571,9 +571,10 @@ def export_named_csv(df: DataFrame, root: str, key_cols: list[str], name_fn, spl
 def export_detailed(pa: DataFrame, root: str) -> dict[str, list[str]]:
     """PlayerRecord rows → detailed-format files ``<brand>/<brand>_yyyy_mm.csv``, by brand."""
     inv = {v: k for k, v in DETAILED_HEADERS.items()}
-    cols = [F.col(v).cast("string").alias(inv[v]) for v in DETAILED_HEADERS.values()
+    # numbers are dealt as numbers; the CSV writer makes the texts where the files are written
+    cols = [F.col(v).alias(inv[v]) for v in DETAILED_HEADERS.values()
             if v not in ("reactivation_date", "campaign_start_date") and v in pa.columns]
-    cols.append(F.col("bonus_total").cast("string").alias("Bonus Cost (Total)  €"))
+    cols.append(F.col("bonus_total").alias("Bonus Cost (Total)  €"))
     key = F.lower(F.regexp_replace("brand", "[^A-Za-z]", ""))
     x = pa.select(*cols, key.alias("_bk"), F.col("report_month").alias("_m"))
     files = export_named_csv(x, root, ["_bk", "_m"], lambda b, m: f"{b}/{b}_{m.replace('-', '_')}.csv")
