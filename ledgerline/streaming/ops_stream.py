@@ -94,6 +94,14 @@ def judge_deliveries(heads: DataFrame, known: DataFrame | None) -> DataFrame:
     return judged.withColumn("status", status)
 
 
+def _stored(df: DataFrame, table: str, name: str) -> DataFrame:
+    """``df`` written once beside ``table`` and read back (a checkpoint computes its rows twice); a
+    later batch or a replay writes over it."""
+    path = f"{table.rstrip('/')}_{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS,
                    manifest_path: str | None = None):
     """R2 + R3 as a ``foreachBatch`` function.
@@ -149,7 +157,7 @@ def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_d
             heads = dated.groupBy("ops_month", "ops_date", "unit").agg(
                 F.max("_at").alias("at"), F.first("_source").alias("source"), F.count(F.lit(1)).alias("rows"))
             judged = judge_deliveries(heads, None if entries is None else entries.where(F.col("ops_month").isin(months)))
-            judged = judged.checkpoint(eager=True)
+            judged = _stored(judged, live_path, "judged")
             accepted = dated.join(judged.where("status <> 'stale'").selectExpr("ops_date", "unit", "at _at"), ["ops_date", "unit", "_at"])
             live = accepted.select(*columns, "_source", "_at", "_file", "ops_month", F.lit(epoch_id).cast("long").alias("_batch"))
             if path_exists(spark, live_path):
@@ -157,10 +165,10 @@ def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_d
                     F.col("ops_month").isin(months) & (F.col("_batch") != epoch_id)).withColumn("unit", _unit())
                 replaced = judged.where("status in ('new', 'newer')").select("ops_date", "unit")
                 live = live.unionByName(current.join(replaced, ["ops_date", "unit"], "left_anti").drop("unit"))
-            # Cut lineage (reliable checkpoint) before overwriting partitions of the path just read.
+            # Cut lineage before overwriting partitions of the path just read.
             last = F.struct("_at", "_file", F.xxhash64(*columns))
-            live = (live.groupBy("ops_date", "campaign_name", "_source").agg(F.max_by(F.struct(*live.columns), last).alias("r"))
-                    .select("r.*").checkpoint(eager=True))
+            live = _stored(live.groupBy("ops_date", "campaign_name", "_source").agg(F.max_by(F.struct(*live.columns), last).alias("r"))
+                           .select("r.*"), live_path, "live")
             # a month's rows together, large months in several tasks
             (live.hint("rebalance", "ops_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ops_month").parquet(live_path))
