@@ -41,7 +41,7 @@ def in_months(fact: DataFrame, params: dict) -> DataFrame:
 
 @report("full_financial_export")
 def full_financial_export(fact: DataFrame, params: dict) -> Tabs:
-    summary = FIN.monthly_brand_summary(fact)
+    summary = FIN.monthly_brand_summary(fact).persist()  # a row a brand and month, read by two tabs
     return {"brands": summary, "both_business": FIN.both_business_summary(summary), "segmentation": FIN.segmentation(fact),
             "cohorts": K.cohort_retention_matrix(fact)}
 
@@ -72,8 +72,12 @@ def compute(spark: SparkSession, name: str, fact_path: str, params: dict | None
 
 def store_report(spark: SparkSession, name: str, fact_path: str, root: str, params: dict | None = None) -> dict[str, str]:
     """Compute a report and write its tabs to the report store (W6), below its name."""
-    return {tab: sinks.write_report(FIN.as_report(df), f"{root.rstrip('/')}/{name}", tab)
-            for tab, df in compute(spark, name, fact_path, params).items()}
+    tabs = compute(spark, name, fact_path, params)
+    try:
+        return {tab: sinks.write_report(FIN.as_report(df), f"{root.rstrip('/')}/{name}", tab) for tab, df in tabs.items()}
+    finally:
+        for df in tabs.values():
+            df.unpersist()
 
 
 # ---------------------------------------------------------------------------
