@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import MONEY, dbl, distinct_count, money_sum, month_index, safe_div, safe_pct
-from ..session import shuffle_partitions
+from .. import session
 from .ranking import rank_in_groups
 
 # Profile labels (output values of the recommendation rules).
@@ -201,9 +201,10 @@ def _cohort_rows(pa: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct (keys, id, month) with the player's first month in ``keys``.
 
     One exchange on (keys, id) serves both the per-player aggregate and the
-    first-month window; its parts are counted, as in ``cohort_counts``."""
+    first-month window; its parts follow the rows, as in ``cohort_counts``."""
+    parts = session.counted_parts(pa, session.COHORT_ROWS_A_TASK)
     base = pa.where(F.col("id").isNotNull() & F.col("report_month").isNotNull())
-    rows = base.repartition(shuffle_partitions(pa.sparkSession), *keys, "id").groupBy(*keys, "id", F.col("report_month").alias("month")).agg(
+    rows = base.repartition(parts, *keys, "id").groupBy(*keys, "id", F.col("report_month").alias("month")).agg(
         money_sum("revenue").alias("revenue"))
     w = Window.partitionBy(*keys, "id")
     return rows.withColumn("cohort_month", F.min("month").over(w))
