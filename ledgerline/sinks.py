@@ -76,6 +76,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path.rstrip("/") + "/_CURRENT")
     if not fs.exists(p):

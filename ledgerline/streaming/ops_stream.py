@@ -19,12 +19,13 @@ log, re-pulls a 14-day tail and keeps the daily pulse current.  Here:
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import path_exists
-
+from ..session import lean_steps
+from ..sinks import path_exists, remove_path
 from ..sources.testdata import finish_ops_rows
 
 LATE_HORIZON_DAYS = 14
@@ -60,7 +61,7 @@ def read_ops_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
 
 
 def parse_stream(raw: DataFrame) -> DataFrame:
-    """The stateless batch projections (C1–C14, J4) applied to the stream."""
+    """The stateless batch projections (C1–C14, J4) applied to the stream's batches."""
     return finish_ops_rows(raw)
 
 
@@ -94,17 +95,46 @@ def judge_deliveries(heads: DataFrame, known: DataFrame | None) -> DataFrame:
     return judged.withColumn("status", status)
 
 
-def _stored(df: DataFrame, table: str, name: str) -> DataFrame:
+def _stored(df: DataFrame, table: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` written once beside ``table`` and read back (a checkpoint computes its rows twice); a
     later batch or a replay writes over it."""
     path = f"{table.rstrip('/')}_{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Files of a month in the live table; beyond that, a batch that touches it gathers them.
+FILES_A_MONTH = 16
+
+
+def _crowded(spark: SparkSession, live_path: str, months: list[str]) -> bool:
+    """Whether these months of the live table lie in too many files."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{live_path.rstrip('/')}/ops_month={{{','.join(months)}}}/part-*")
+    found = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(files)
+    return len(found or ()) > FILES_A_MONTH * len(months)
+
+
+#: What the live table holds once.
+LIVE_KEY = ("ops_date", "campaign_name", "_source")
+
+
+def newest_rows(rows: DataFrame, last: Column, table: str) -> DataFrame:
+    """Of the rows of one ``LIVE_KEY`` the one of the largest ``last``.  Only hashes of keys are
+    shuffled; whole rows move only where a hash comes twice."""
+    rows = rows.withColumn("_key", F.xxhash64(*LIVE_KEY))
+    twice = _stored(rows.groupBy("_key").count().where("count > 1").select("_key"), table, "twice")
+    if twice.isEmpty():
+        return rows.drop("_key")
+    columns = [c for c in rows.columns if c != "_key"]
+    newest = (rows.join(twice, "_key", "left_semi").groupBy(*LIVE_KEY)
+              .agg(F.max_by(F.struct(*columns), last).alias("r")).select("r.*"))
+    return rows.join(twice, "_key", "left_anti").select(*columns).unionByName(newest)
+
+
 def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_days: int = LATE_HORIZON_DAYS,
-                   manifest_path: str | None = None):
-    """R2 + R3 as a ``foreachBatch`` function.
+                   manifest_path: str | None = None, parse: Callable[[DataFrame], DataFrame] | None = None):
+    """R2 + R3 as a ``foreachBatch`` function; ``parse`` makes a batch's rows the fact's (without it
+    they are).
 
     Several sources deliver a day, each as one or more files, and deliver it again when late
     numbers arrive.  The live table holds, for each (day, source), the rows of its newest
@@ -127,63 +157,79 @@ def ops_sink_batch(live_path: str, snapshot_path: str, late_path: str, horizon_d
     Every table is safe to replay: snapshots, late rows and manifest are replaced by batch id,
     and a batch first takes back what an earlier attempt of its own put into the live table.
     Only touched months are rewritten (dynamic partition overwrite).
+
+    Whole rows are shuffled once, by month and before they are parsed; the parsed batch is then kept
+    as files by month until the batch ends, and every table is written from these as they lie.  (They
+    move again where deliveries are too many to broadcast, as campaigns without a source may be.)
     """
-    from pyspark import StorageLevel
     manifest = manifest_path or live_path.rstrip("/") + "_manifest"
 
     def by_batch(df: DataFrame, epoch_id: int, path: str) -> None:
-        (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).hint("rebalance", "ops_month").write.mode("overwrite")
+        (df.withColumn("batch_id", F.lit(epoch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "ops_month").parquet(path))
 
-    def fn(batch: DataFrame, epoch_id: int) -> None:
+    def ingest(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        given = {f.name for f in batch.schema["delivery"].dataType.fields} if "delivery" in batch.columns else set()
+        month = F.date_format("ops_date", "yyyy-MM")
+        # a month's rows together, large months in several tasks
+        rows = batch.withColumn("_month", month).hint("rebalance", "_month").drop("_month")
+        rows = parse(rows) if parse else rows
+        given = {f.name for f in rows.schema["delivery"].dataType.fields} if "delivery" in rows.columns else set()
         meta = [(F.col(f"delivery.{c}") if c in given else F.lit(None)).cast("string").alias(f"_{c}") for c in ("source", "at", "file")]
-        columns = [c for c in batch.columns if c != "delivery"]
-        b = (batch.select(*columns, *meta, F.date_format("ops_date", "yyyy-MM").alias("ops_month"))
-             .withColumn("_at", F.coalesce("_at", F.lit(""))).persist(StorageLevel.MEMORY_AND_DISK))
+        columns = [c for c in rows.columns if c != "delivery"]
+        b = _stored(rows.select(*columns, *meta, month.alias("ops_month")).withColumn("_at", F.coalesce("_at", F.lit(""))),
+                    live_path, "batch", ("ops_month",))
+        entries = read_manifest(spark, manifest, epoch_id)
+        seen = None if entries is None else entries.agg(F.max("ops_date")).first()[0]
+        by_batch(b.select(*columns, "ops_month").withColumn("snapshot_timestamp", F.current_timestamp()), epoch_id, snapshot_path)
+        dated = b.where(F.col("ops_date").isNotNull()).withColumn("unit", _unit())
+        # Months in a batch: bounded by the calendar.
+        months = sorted(r[0] for r in dated.select("ops_month").distinct().collect())
+        if not months:
+            return
+        if seen is not None:
+            by_batch(dated.where(F.col("ops_date") < F.date_sub(F.lit(seen), horizon_days)).select(*columns, "ops_month"),
+                     epoch_id, late_path)
+        # The largest text of many rows would sort them all: deliveries are counted first.
+        heads = dated.groupBy("ops_month", "ops_date", "unit", "_source", "_at").count().groupBy("ops_month", "ops_date", "unit").agg(
+            F.max("_at").alias("at"), F.first("_source").alias("source"), F.sum("count").alias("rows"))
+        judged = judge_deliveries(heads, None if entries is None else entries.where(F.col("ops_month").isin(months)))
+        judged = _stored(judged, live_path, "judged")
+        accepted = dated.join(judged.where("status <> 'stale'").selectExpr("ops_date", "unit", "at _at"), ["ops_date", "unit", "_at"])
+        live = accepted.select(*columns, "_source", "_at", "_file", "ops_month", F.lit(epoch_id).cast("long").alias("_batch"))
+        kept, crowded = None, False
+        if path_exists(spark, live_path):
+            current = spark.read.schema(live.schema).parquet(live_path).where(
+                F.col("ops_month").isin(months) & (F.col("_batch") != epoch_id)).withColumn("unit", _unit())
+            status = judged.select("ops_date", "unit", "status")
+            # Rows of a delivery of which more files came may meet the same keys again; other kept rows do not.
+            same = current.join(status.where("status = 'same'"), ["ops_date", "unit"], "left_semi")
+            kept = current.join(status.where("status <> 'stale'"), ["ops_date", "unit"], "left_anti").select(*live.columns)
+            live = live.unionByName(same.select(*live.columns))
+            crowded = _crowded(spark, live_path, months)
+        live = newest_rows(live, F.struct("_at", "_file", F.xxhash64(*columns)), live_path)
+        live = live if kept is None else live.unionByName(kept)
+        # Spark swaps the months when all their rows are written.
+        ((live.hint("rebalance", "ops_month") if crowded else live).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("ops_month").parquet(live_path))
+        by_batch(judged.select("ops_date", "unit", "source", "at", "known_at", "status", "rows", "ops_month")
+                 .hint("rebalance", "ops_month"), epoch_id, manifest)
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
         try:
-            entries = read_manifest(spark, manifest, epoch_id)
-            seen = None if entries is None else entries.agg(F.max("ops_date")).first()[0]
-            by_batch(b.select(*columns, "ops_month").withColumn("snapshot_timestamp", F.current_timestamp()), epoch_id, snapshot_path)
-            dated = b.where(F.col("ops_date").isNotNull()).withColumn("unit", _unit())
-            # Months in a batch: bounded by the calendar.
-            months = sorted(r[0] for r in dated.select("ops_month").distinct().collect())
-            if not months:
-                return
-            if seen is not None:
-                by_batch(dated.where(F.col("ops_date") < F.date_sub(F.lit(seen), horizon_days)).select(*columns, "ops_month"),
-                         epoch_id, late_path)
-            heads = dated.groupBy("ops_month", "ops_date", "unit").agg(
-                F.max("_at").alias("at"), F.first("_source").alias("source"), F.count(F.lit(1)).alias("rows"))
-            judged = judge_deliveries(heads, None if entries is None else entries.where(F.col("ops_month").isin(months)))
-            judged = _stored(judged, live_path, "judged")
-            accepted = dated.join(judged.where("status <> 'stale'").selectExpr("ops_date", "unit", "at _at"), ["ops_date", "unit", "_at"])
-            live = accepted.select(*columns, "_source", "_at", "_file", "ops_month", F.lit(epoch_id).cast("long").alias("_batch"))
-            if path_exists(spark, live_path):
-                current = spark.read.schema(live.schema).parquet(live_path).where(
-                    F.col("ops_month").isin(months) & (F.col("_batch") != epoch_id)).withColumn("unit", _unit())
-                replaced = judged.where("status in ('new', 'newer')").select("ops_date", "unit")
-                live = live.unionByName(current.join(replaced, ["ops_date", "unit"], "left_anti").drop("unit"))
-            # Cut lineage before overwriting partitions of the path just read.
-            last = F.struct("_at", "_file", F.xxhash64(*columns))
-            live = _stored(live.groupBy("ops_date", "campaign_name", "_source").agg(F.max_by(F.struct(*live.columns), last).alias("r"))
-                           .select("r.*"), live_path, "live")
-            # a month's rows together, large months in several tasks
-            (live.hint("rebalance", "ops_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("ops_month").parquet(live_path))
-            by_batch(judged.select("ops_date", "unit", "source", "at", "known_at", "status", "rows", "ops_month"), epoch_id, manifest)
+            with lean_steps(batch.sparkSession):
+                ingest(batch, epoch_id)
         finally:
-            b.unpersist()
+            remove_path(batch.sparkSession, live_path.rstrip("/") + "_batch")
     return fn
 
 
 def start_ops_ingest(spark: SparkSession, source: str, out_root: str, checkpoint: str,
                      available_now: bool = True, max_files_per_trigger: int = 8):
     """R1–R3 end to end; returns the running query."""
-    stream = parse_stream(read_ops_stream(spark, source, max_files_per_trigger))
+    stream = read_ops_stream(spark, source, max_files_per_trigger)
     fn = ops_sink_batch(os.path.join(out_root, "ops_live"), os.path.join(out_root, "ops_snapshots"),
-                        os.path.join(out_root, "ops_late"))
+                        os.path.join(out_root, "ops_late"), parse=parse_stream)
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
